@@ -41,6 +41,15 @@ def percent(num, den) -> Column:
     return F.lit(100.0) * as_double(num) / F.nullif(as_double(den), F.lit(0.0))
 
 
+def score_round(c, digits: int = 1) -> Column:
+    """Half-even rounding that ignores the last bits of a sum.
+
+    Distributed sums differ in their last bits from run to run; dropping those
+    first keeps exact ties from falling to either side.
+    """
+    return F.bround(F.round(_col(c), 9), digits)
+
+
 def count_rows() -> Column:
     return F.count(F.lit(1))
 

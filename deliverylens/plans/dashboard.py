@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from deliverylens.functions.scalars import as_double, count_rows, in_order, month_of, week_of
+from deliverylens.functions.scalars import as_double, count_rows, in_order, month_of, score_round, week_of
 from deliverylens.operators.profile import histogram, share_of_total, unpivot_columns
 from deliverylens.operators.quantiles import box_stats
 from deliverylens.plans.risk import COMPONENTS
@@ -73,28 +73,28 @@ def executive_cards(f: Tables) -> DataFrame:
         f["issues"]
         .select(
             F.struct(
-                F.bround(F.avg(F.when(F.col("resolved_date").isNotNull(), F.col("cycle_time_days"))), 1).alias("cycle"),
-                F.bround(F.avg(F.coalesce(as_double(F.col("issue_type") == "Bug"), F.lit(0.0))) * 100, 1).alias("bugs"),
+                score_round(F.avg(F.when(F.col("resolved_date").isNotNull(), F.col("cycle_time_days"))), 1).alias("cycle"),
+                score_round(F.avg(F.coalesce(as_double(F.col("issue_type") == "Bug"), F.lit(0.0))) * 100, 1).alias("bugs"),
             )
         )
         .scalar()
     )
     weekly = f["deployments"].groupBy(week_of("deployment_timestamp").alias("week")).agg(count_rows().alias("n"))
     deploys = weekly.select(
-        F.bround(as_double(F.sum("n")) / F.greatest(F.lit(1), F.count("week")), 1)
+        score_round(as_double(F.sum("n")) / F.greatest(F.lit(1), F.count("week")), 1)
     ).scalar()
     success = (
         f["releases"]
-        .select(F.bround(F.avg(F.coalesce(as_double(F.col("status") == "On Time"), F.lit(0.0))) * 100, 1))
+        .select(score_round(F.avg(F.coalesce(as_double(F.col("status") == "On Time"), F.lit(0.0))) * 100, 1))
         .scalar()
     )
     at_risk = f["release_risk_scores"].select(F.count_if(F.col("risk_tier") == "High Risk")).scalar()
     completion = f["kpi_team_summary"].select(
         F.struct(
-            count_rows().alias("n"), F.bround(F.avg("avg_sprint_completion_rate") * 100, 1).alias("rate")
+            count_rows().alias("n"), score_round(F.avg("avg_sprint_completion_rate") * 100, 1).alias("rate")
         )
     ).scalar()
-    health = f["kpi_project_health"].agg(F.bround(F.avg("project_health_score"), 1).alias("project_health"))
+    health = f["kpi_project_health"].agg(score_round(F.avg("project_health_score"), 1).alias("project_health"))
     zero = F.lit(0.0)
     return health.select(
         "project_health",

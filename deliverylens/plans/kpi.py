@@ -16,6 +16,7 @@ from deliverylens.functions.scalars import (
     days_between,
     percent,
     safe_ratio,
+    score_round,
     week_of,
 )
 from deliverylens.operators.quantiles import exact_quantile
@@ -187,7 +188,7 @@ def with_team_scores(kpis: DataFrame) -> DataFrame:
     )
     return scored.withColumn(
         "team_health_score",
-        F.bround(_health(F.col("quality_score"), F.col("delivery_score"), F.col("devops_score")), 1),
+        score_round(_health(F.col("quality_score"), F.col("delivery_score"), F.col("devops_score")), 1),
     )
 
 
@@ -213,7 +214,7 @@ def project_health(t: Tables) -> DataFrame:
     return (
         aligned.withColumn(
             "project_health_score",
-            F.bround(_health(F.col("quality_score"), F.col("delivery_score"), F.col("devops_score")), 1),
+            score_round(_health(F.col("quality_score"), F.col("delivery_score"), F.col("devops_score")), 1),
         )
         .join(t["projects"].select("project_id", "project_name", "criticality"), "project_id", "left")
         .orderBy(F.asc_nulls_last("project_health_score"), "project_id")
@@ -283,4 +284,4 @@ def with_productivity_score(developers: DataFrame) -> DataFrame:
         + weight["collaboration"] * unit["collaboration"]
         + weight["balance"] * (1 - unit["balance"])
     )
-    return developers.withColumn("engineering_productivity_score", F.bround(score, 1))
+    return developers.withColumn("engineering_productivity_score", score_round(score, 1))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from deliverylens.functions.scalars import count_rows, phrases
+from deliverylens.functions.scalars import count_rows, phrases, score_round
 
 Kpis = Mapping[str, DataFrame]
 
@@ -43,7 +43,7 @@ def recommendations(risk: DataFrame) -> DataFrame:
 def kpi_summary(kpis: Kpis, report_date: str | None = None) -> DataFrame:
     """One org-wide row. Means are unweighted over teams and projects."""
     day = F.lit(report_date) if report_date else F.date_format(F.current_date(), "yyyy-MM-dd")
-    health = kpis["kpi_project_health"].agg(F.bround(F.avg("project_health_score"), 1)).scalar()
+    health = kpis["kpi_project_health"].agg(score_round(F.avg("project_health_score"), 1)).scalar()
     risk = (
         kpis["release_risk_scores"]
         .select(
@@ -55,10 +55,10 @@ def kpi_summary(kpis: Kpis, report_date: str | None = None) -> DataFrame:
         .scalar()
     )
     teams = kpis["kpi_team_summary"].agg(
-        F.bround(F.avg("avg_sprint_completion_rate") * 100, 1).alias("avg_sprint_completion_rate_pct"),
-        F.bround(F.avg("bug_reopen_rate_pct"), 1).alias("avg_bug_reopen_rate_pct"),
-        F.bround(F.avg("avg_pr_review_hours"), 1).alias("avg_pr_review_hours"),
-        F.bround(F.avg("change_failure_rate_pct"), 1).alias("avg_change_failure_rate_pct"),
+        score_round(F.avg("avg_sprint_completion_rate") * 100, 1).alias("avg_sprint_completion_rate_pct"),
+        score_round(F.avg("bug_reopen_rate_pct"), 1).alias("avg_bug_reopen_rate_pct"),
+        score_round(F.avg("avg_pr_review_hours"), 1).alias("avg_pr_review_hours"),
+        score_round(F.avg("change_failure_rate_pct"), 1).alias("avg_change_failure_rate_pct"),
     )
     return teams.select(
         day.alias("report_date"),

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from deliverylens.functions.scalars import as_double, count_rows, risk_tier
+from deliverylens.functions.scalars import as_double, count_rows, risk_tier, score_round
 from deliverylens.operators.rollup import align_on_key
 from deliverylens.operators.scaling import column_ranges, scaled
 from deliverylens.plans.features import team_sizes
@@ -91,7 +91,7 @@ def with_composite(components: DataFrame) -> DataFrame:
     """Mean of the four components; the tier is read off the rounded score."""
     mean = sum((F.col(c) for c in COMPONENTS), F.lit(0.0)) / len(COMPONENTS)
     return (
-        components.withColumn("release_risk_score", F.bround(mean, 1))
-        .withColumns({c: F.bround(c, 1) for c in COMPONENTS})
+        components.withColumn("release_risk_score", score_round(mean, 1))
+        .withColumns({c: score_round(c, 1) for c in COMPONENTS})
         .withColumn("risk_tier", risk_tier("release_risk_score"))
     )
