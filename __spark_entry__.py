@@ -171,13 +171,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "deploys_per_active_week": _on_tables(lambda t: kpi.deploy_frequency(t["deployments"], t["sprints"])),
         # as-of features
         "feat_open_bugs": _on_tables(
-            lambda t: features.at_cutoff(t, features.issue_events(t["issues"]))
+            lambda t: features.at_cutoff(t, [features.issue_events(t["issues"])])
         ),
         "feat_pr_asof": _on_tables(
-            lambda t: features.at_cutoff(t, features.pull_request_events(t["pull_requests"]))
+            lambda t: features.at_cutoff(t, [features.pull_request_events(t["pull_requests"])])
         ),
         "feat_deploy_14d": _on_tables(
-            lambda t: features.at_cutoff(t, features.deployment_events(t["deployments"]))
+            lambda t: features.at_cutoff(t, [features.deployment_events(t["deployments"])])
         ),
         "feat_hist_delay": _on_tables(features.history_by_plan),
         "feat_hist_known": _on_tables(features.history_known),

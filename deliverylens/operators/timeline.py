@@ -10,14 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def daily_events(df: DataFrame, key: str, day: Column, measures: dict[str, Column]) -> DataFrame:
-    """Sum ``measures`` per key and effective day (rows without a key or day drop out)."""
-    return (
-        df.select(F.col(key), day.alias("day"), *[m.alias(n) for n, m in measures.items()])
-        .filter(F.col(key).isNotNull() & F.col("day").isNotNull())
-        .groupBy(key, "day")
-        .agg(*[F.sum(n).alias(n) for n in measures])
-    )
+def dated_events(df: DataFrame, key: str, events: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """One row per fact and event: key, day and the event's measures (0 where it has none).
+
+    A fact may raise several events, such as being opened and closed; all come
+    from one scan. Events without a key or day drop out.
+    """
+    names = list(dict.fromkeys(n for _, measures in events for n in measures))
+    structs = [
+        F.struct(day.alias("day"), *[measures.get(n, F.lit(0)).alias(n) for n in names])
+        for day, measures in events
+    ]
+    rows = df.filter(F.col(key).isNotNull()).select(key, F.inline(F.array(*structs)))
+    return rows.filter(F.col("day").isNotNull())
 
 
 def totals_as_of(
@@ -28,14 +33,14 @@ def totals_as_of(
     trailing_days: dict[str, int] | None = None,
     strictly_before: bool = False,
 ) -> DataFrame:
-    """Running totals of every measure at each (key, cutoff).
+    """Running totals of every measure at each distinct (key, cutoff).
 
     Measures named in ``trailing_days`` cover only the last so many days up to
     the cutoff, the others all of history. ``strictly_before`` leaves the
     cutoff day itself out.
     """
     trailing = trailing_days or {}
-    marks = cutoffs.select(F.col(key), F.col(cutoff).alias("day"), F.lit(1).alias("_mark")).distinct()
+    marks = cutoffs.select(F.col(key), F.col(cutoff).alias("day"), F.lit(1).alias("_mark"))
     merged = marks
     for frame in events:
         merged = merged.unionByName(frame, allowMissingColumns=True)

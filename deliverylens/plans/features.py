@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from deliverylens.functions.scalars import as_double, count_rows, first_midnight_from, safe_ratio
-from deliverylens.operators.timeline import daily_events, totals_as_of
+from deliverylens.operators.timeline import dated_events, totals_as_of
 
 Tables = Mapping[str, DataFrame]
 
@@ -42,66 +42,68 @@ def release_cutoffs(t: Tables) -> DataFrame:
     return held_releases(t).join(sprints, "sprint_id").withColumnRenamed("sprint_end_date", "cutoff")
 
 
-def issue_events(issues: DataFrame) -> list[DataFrame]:
+def issue_events(issues: DataFrame) -> DataFrame:
     """+1 when an issue (bug, urgent bug) opens and -1 when the bug is resolved."""
     created = first_midnight_from("created_date")
-    closed = F.greatest(created, first_midnight_from("resolved_date"))
+    resolved = first_midnight_from("resolved_date")
+    closed = F.when(resolved.isNotNull(), F.greatest(created, resolved))
     bug = F.coalesce(F.col("issue_type") == "Bug", F.lit(False))
     urgent = bug & F.coalesce(F.col("priority").isin("Critical", "High"), F.lit(False))
-    opening = daily_events(
+    return dated_events(
         issues,
         "project_id",
-        created,
-        {"open_bugs": bug.cast("int"), "critical_bugs": urgent.cast("int"), "issues_to_date": F.lit(1)},
+        [
+            (
+                created,
+                {"open_bugs": bug.cast("int"), "critical_bugs": urgent.cast("int"), "issues_to_date": F.lit(1)},
+            ),
+            (F.when(bug, closed), {"open_bugs": F.lit(-1), "critical_bugs": -urgent.cast("int")}),
+        ],
     )
-    closing = daily_events(
-        issues.filter(bug & F.col("resolved_date").isNotNull()),
-        "project_id",
-        closed,
-        {"open_bugs": F.lit(-1), "critical_bugs": -urgent.cast("int")},
-    )
-    return [opening, closing]
 
 
-def pull_request_events(pull_requests: DataFrame) -> list[DataFrame]:
+def pull_request_events(pull_requests: DataFrame) -> DataFrame:
     """+1 / -1 as a pull request opens and closes; review hours count once it closed."""
     opened = first_midnight_from("opened_date")
-    closed = F.greatest(opened, first_midnight_from("closed_date"))
+    ended = first_midnight_from("closed_date")
+    closed = F.when(ended.isNotNull(), F.greatest(opened, ended))
     hours = as_double("review_time_hours")
-    opening = daily_events(pull_requests, "project_id", opened, {"pending_prs": F.lit(1)})
-    closing = daily_events(
-        pull_requests.filter(F.col("closed_date").isNotNull()),
+    return dated_events(
+        pull_requests,
         "project_id",
-        closed,
-        {
-            "pending_prs": F.lit(-1),
-            "review_hours": F.coalesce(hours, F.lit(0.0)),
-            "reviews": hours.isNotNull().cast("int"),
-        },
+        [
+            (opened, {"pending_prs": F.lit(1)}),
+            (
+                closed,
+                {
+                    "pending_prs": F.lit(-1),
+                    "review_hours": F.coalesce(hours, F.lit(0.0)),
+                    "reviews": hours.isNotNull().cast("int"),
+                },
+            ),
+        ],
     )
-    return [opening, closing]
 
 
-def opened_pull_request_events(pull_requests: DataFrame) -> list[DataFrame]:
+def opened_pull_request_events(pull_requests: DataFrame) -> DataFrame:
     """Today's status and hours of pull requests opened up to the cutoff day's end."""
     hours = as_double("review_time_hours")
-    return [
-        daily_events(
-            pull_requests,
-            "project_id",
-            F.col("opened_date").cast("date"),
-            {
-                "pending_prs": F.coalesce(F.col("status") == "Open", F.lit(False)).cast("int"),
-                "review_hours": F.coalesce(hours, F.lit(0.0)),
-                "reviews": hours.isNotNull().cast("int"),
-            },
-        )
-    ]
+    measures = {
+        "pending_prs": F.coalesce(F.col("status") == "Open", F.lit(False)).cast("int"),
+        "review_hours": F.coalesce(hours, F.lit(0.0)),
+        "reviews": hours.isNotNull().cast("int"),
+    }
+    return dated_events(pull_requests, "project_id", [(F.col("opened_date").cast("date"), measures)])
 
 
-def deployment_events(deployments: DataFrame) -> list[DataFrame]:
+def deployment_events(deployments: DataFrame) -> DataFrame:
     day = first_midnight_from("deployment_timestamp")
-    return [daily_events(deployments, "project_id", day, {"recent_deployment_frequency": F.lit(1)})]
+    return dated_events(deployments, "project_id", [(day, {"recent_deployment_frequency": F.lit(1)})])
+
+
+def release_events(t: Tables, day: str) -> DataFrame:
+    measures = {"late": F.col("is_delayed"), "seen": F.lit(1)}
+    return dated_events(held_releases(t), "project_id", [(F.col(day), measures)])
 
 
 def at_cutoff(t: Tables, events: list[DataFrame], releases: DataFrame | None = None) -> DataFrame:
@@ -119,9 +121,7 @@ def at_cutoff(t: Tables, events: list[DataFrame], releases: DataFrame | None = N
 def history_by_plan(t: Tables) -> DataFrame:
     """Delay rate of the project's earlier-planned releases."""
     releases = release_cutoffs(t)
-    events = daily_events(
-        held_releases(t), "project_id", F.col("planned_release_date"), {"late": F.col("is_delayed"), "seen": F.lit(1)}
-    )
+    events = release_events(t, "planned_release_date")
     past = totals_as_of([events], releases, "project_id", "planned_release_date", strictly_before=True)
     return releases.join(past, ["project_id", "planned_release_date"], "left").select(
         "release_id",
@@ -132,9 +132,7 @@ def history_by_plan(t: Tables) -> DataFrame:
 def history_known(t: Tables) -> DataFrame:
     """Delay rate of the project's releases that had shipped by the cutoff."""
     releases = release_cutoffs(t)
-    events = daily_events(
-        held_releases(t), "project_id", F.col("actual_release_date"), {"late": F.col("is_delayed"), "seen": F.lit(1)}
-    )
+    events = release_events(t, "actual_release_date")
     past = totals_as_of([events], releases, "project_id", "cutoff")
     itself = F.coalesce((F.col("actual_release_date") <= F.col("cutoff")).cast("int"), F.lit(0))
     seen = F.col("seen") - itself
@@ -160,11 +158,11 @@ def release_features(t: Tables, as_of: bool = True, pr_history: str | None = Non
     """
     pr_history = pr_history or ("known" if as_of else "all")
     releases = release_cutoffs(t)
-    events = issue_events(t["issues"]) + deployment_events(t["deployments"])
+    events = [issue_events(t["issues"]), deployment_events(t["deployments"])]
     if pr_history == "known":
-        events += pull_request_events(t["pull_requests"])
+        events.append(pull_request_events(t["pull_requests"]))
     elif pr_history == "opened":
-        events += opened_pull_request_events(t["pull_requests"])
+        events.append(opened_pull_request_events(t["pull_requests"]))
     totals = at_cutoff(t, events, releases)
     joined = releases.join(totals, ["project_id", "cutoff"], "left")
     if pr_history == "all":

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
-_staged: set[str] = set()
+_staged: dict[str, DataFrame] = {}
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -22,6 +22,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -46,9 +47,10 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
     """
     path = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}/{name}"
     if path not in _staged:
-        build().write.mode("overwrite").parquet(path)
-        _staged.add(path)
-    return spark.read.parquet(path)
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        _staged[path] = spark.read.schema(df.schema).parquet(path)
+    return _staged[path]
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
