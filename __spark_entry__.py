@@ -92,11 +92,8 @@ def _model_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     return {
         "train_test_split": _on_tables(
-            lambda t: models.stratified_split(features.release_features(t), "release_id", "is_delayed")
-            .groupBy("is_delayed")
-            .agg(
-                F.count(F.lit(1)).alias("releases"),
-                F.count_if("is_train").alias("train_releases"),
+            lambda t: models.stratified_split(features.release_features(t), "release_id", "is_delayed").select(
+                "release_id", "is_delayed", "is_train"
             )
         ),
         "ml_class_weights": _on_tables(

@@ -41,26 +41,28 @@ def percent_rank_of_counts(counts: DataFrame, column: str) -> DataFrame:
     return counts.join(ranked, column)
 
 
-def hash_positions(df: DataFrame, key: str, by: list[str], seed: int, buckets: int = 4096) -> DataFrame:
+def shuffle_key(key: str, seed: int) -> Column:
+    """A repeatable pseudo-random sort key (hex digest of seed and key)."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+
+
+def hash_positions(df: DataFrame, key: str, by: list[str], seed: int) -> DataFrame:
     """A shuffled 1-based position per group (``position``) and group size (``group_rows``).
 
-    The order is that of a seeded hash of the key. Rows are numbered inside
-    hash buckets, which are even by construction, and shifted by the sizes of
-    the buckets before theirs; no task sees a whole group.
+    The order is that of a seeded digest of the key. Rows are numbered inside
+    4096 digest buckets, which are even by construction, and shifted by the
+    sizes of the buckets before theirs; no task sees a whole group.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    hashed = df.withColumn("_h", h).withColumn("_bucket", F.shiftrightunsigned("_h", 64 - buckets.bit_length() + 1))
+    hashed = df.withColumn("_h", shuffle_key(key, seed)).withColumn("_bucket", F.substring("_h", 1, 3))
     sizes = hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     group = Window.partitionBy(*by)
+    upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = sizes.select(
         *by,
         "_bucket",
-        (F.sum("_size").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")).alias(
-            "_before"
-        ),
+        (F.sum("_size").over(upto) - F.col("_size")).alias("_before"),
         F.sum("_size").over(group).alias("group_rows"),
     )
-    # unsigned hash order inside a bucket: the sign is settled by the bucket's top bits
     inside = Window.partitionBy(*by, "_bucket").orderBy("_h", key)
     return (
         hashed.withColumn("_nth", F.row_number().over(inside))
@@ -71,8 +73,8 @@ def hash_positions(df: DataFrame, key: str, by: list[str], seed: int, buckets: i
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """A repeatable sample of at most ``n`` rows, ordered by a seeded hash."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A repeatable sample of at most ``n`` rows, ordered by a seeded digest."""
+    return df.orderBy(shuffle_key(key, seed), key).limit(n)
 
 
 def above_mean_plus_sigma(df: DataFrame, column: str, sigmas: float = 1.0) -> tuple[DataFrame, Column]:

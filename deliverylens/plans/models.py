@@ -135,7 +135,8 @@ def train_delay_models(features: DataFrame, models=MODELS, seed: int = 42) -> De
     filled = features.select("release_id", F.col(LABEL).cast("double").alias(LABEL), *FEATURES).fillna(
         0, list(FEATURES)
     )
-    table = materialized(stratified_split(filled, "release_id", LABEL, seed=seed), "delay_split")
+    kept = materialized(filled, "delay_features")
+    table = materialized(stratified_split(kept, "release_id", LABEL, seed=seed), "delay_split")
     train = balanced_weights(table.filter("is_train"), LABEL)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)

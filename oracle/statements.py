@@ -544,8 +544,14 @@ def statements() -> dict[str, str]:
         "ex_risk_detail": f"""
             SELECT project_name, risk_tier, release_risk_score FROM {_picked('release_risk_scores')}""",
         "train_test_split": """
-            SELECT is_delayed, count(*) AS releases, CAST(floor(0.75 * count(*) + 0.5) AS BIGINT) AS train_releases
-            FROM release_features GROUP BY 1""",
+            SELECT release_id, is_delayed,
+                   row_number() OVER (PARTITION BY is_delayed ORDER BY md5('42:' || release_id), release_id)
+                       <= floor(0.75 * count(*) OVER (PARTITION BY is_delayed) + 0.5) AS is_train
+            FROM release_features""",
+        "sample_hash": """
+            SELECT pull_request_id, pr_size_lines, round(review_time_hours, 6) AS review_time_hours
+            FROM pull_requests WHERE review_time_hours IS NOT NULL
+            ORDER BY md5('1:' || pull_request_id), pull_request_id LIMIT 1000""",
         "ml_class_weights": """
             SELECT is_delayed, count(*) AS releases,
                    round(sum(count(*)) OVER () / (2 * count(*))::DOUBLE, 6) AS weight
