@@ -65,7 +65,7 @@ class DelayModels:
 
     @property
     def best(self) -> str:
-        return max(self.scores, key=lambda s: (s["f1_score"], s["model"]))["model"]
+        return min(self.scores, key=lambda s: (-s["f1_score"], s["model"]))["model"]
 
     def comparison(self) -> DataFrame:
         columns = ("model", "accuracy", "precision", "recall", "f1_score", "roc_auc")
