@@ -144,7 +144,7 @@ def profile(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFr
         F.min("x").alias("minimum"),
         F.max("x").alias("maximum"),
     )
-    quartiles = exact_quantiles(numbers, "x", [0.25, 0.5, 0.75], ["column_name"], bounded_groups=True).select(
+    quartiles = exact_quantiles(numbers, "x", [0.25, 0.5, 0.75], ["column_name"]).select(
         "column_name",
         F.element_at("quantiles", 1).alias("q1"),
         F.element_at("quantiles", 2).alias("median"),

@@ -13,14 +13,32 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from deliverylens.session import materialized
 
-SKETCH_ACCURACY = 100_000
+SKETCH_ACCURACY = 50_000
+SKETCH_SHARDS = 1024
 
 
-def _cut_points(probs, accuracy):
+def _sketch(rows: DataFrame, probs, by: list[str], accuracy: int) -> DataFrame:
+    """Per group (``_by_`` columns): ``_sketch`` with the interval bounds and the row count.
+
+    Sketches are merged in shards of input partitions, then the widest bounds
+    are taken. If every shard has at least (at most) a share p of its rows
+    below x, so has the whole, hence the widest interval still holds the
+    quantile, and no task merges the sketches of all partitions.
+    """
     slack = 2.0 / accuracy
-    lows = [max(0.0, p - slack) for p in probs]
-    highs = [min(1.0, p + slack) for p in probs]
-    return lows + highs
+    marks = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    keys = [f"_by_{c}" for c in by]
+    sharded = rows.groupBy(
+        *[F.col(c).alias(k) for c, k in zip(by, keys)], F.pmod(F.spark_partition_id(), F.lit(SKETCH_SHARDS)).alias("_shard")
+    ).agg(F.percentile_approx("_v", marks, accuracy).alias("_cuts"), F.count(F.lit(1)).alias("_rows"))
+    m = len(probs)
+    cuts = [F.element_at("_cuts", i + 1) for i in range(2 * m)]
+    return sharded.groupBy(*keys).agg(
+        F.struct(
+            F.array(*[F.min(c) for c in cuts[:m]], *[F.max(c) for c in cuts[m:]]).alias("cuts"),
+            F.sum("_rows").alias("rows"),
+        ).alias("_sketch")
+    )
 
 
 def _wanted_ranks(total: Column, probs) -> Column:
@@ -36,32 +54,24 @@ def exact_quantiles(
     value: str,
     probs: list[float],
     by: list[str] | None = None,
-    bounded_groups: bool = False,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Linear-interpolation quantiles: ``by`` + ``n`` + ``quantiles`` (array, ``probs`` order).
 
-    ``bounded_groups`` states that ``by`` has a fixed small domain, so the
-    sketches may be broadcast. Otherwise they are written out first and the
-    planner broadcasts them only if their measured size allows.
+    The sketches (a few numbers per group) are written out first; the planner
+    then joins them by their measured size.
     """
     by = list(by or [])
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    sketch = rows.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
-        F.struct(
-            F.percentile_approx("_v", [float(p) for p in _cut_points(probs, accuracy)], accuracy).alias("cuts"),
-            F.count(F.lit(1)).alias("rows"),
-        ).alias("_sketch")
-    )
+    sketch = materialized(_sketch(rows, probs, by, accuracy), "sketch")
     if not by:
-        marked = rows.withColumn("_sketch", sketch.scalar())
+        marked = rows.withColumn("_sketch", sketch.select("_sketch").scalar())
     else:
-        side = F.broadcast(sketch) if bounded_groups else materialized(sketch, "sketch")
         same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
         condition = same[0]
         for extra in same[1:]:
             condition = condition & extra
-        marked = rows.join(side, condition)
+        marked = rows.join(sketch, condition)
 
     v, cuts = F.col("_v"), F.col("_sketch.cuts")
     m = len(probs)
@@ -109,12 +119,7 @@ def exact_quantile(df: DataFrame, value: str, prob: float) -> Column:
     return exact_quantiles(df, value, [prob]).select(F.element_at("quantiles", 1)).scalar()
 
 
-def box_stats(
-    df: DataFrame,
-    value: str,
-    by: list[str],
-    bounded_groups: bool = False,
-) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Five-number summary, count and mean per group."""
     summary = df.groupBy(*by).agg(
         F.count(value).alias("n"),
@@ -122,7 +127,7 @@ def box_stats(
         F.min(F.col(value).cast("double")).alias("minimum"),
         F.max(F.col(value).cast("double")).alias("maximum"),
     )
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by, bounded_groups).select(
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by).select(
         *[F.col(c).alias(f"_by_{c}") for c in by],
         F.element_at("quantiles", 1).alias("q1"),
         F.element_at("quantiles", 2).alias("median"),

@@ -23,14 +23,18 @@ def counts_with_standing(counts: DataFrame, column: str, descending: bool = True
     )
 
 
-def running_total_of_counts(counts: DataFrame, column: str) -> DataFrame:
-    """Running total over counts, largest first; equal counts share the total."""
+def running_total_of_counts(counts: DataFrame, column: str, rows: DataFrame | None = None) -> DataFrame:
+    """Add ``running_total``: the total of all counts from the largest down to a row's own.
+
+    Equal counts share the total. ``rows`` limits which rows of ``counts`` are
+    returned, not what is totalled.
+    """
     standing = counts_with_standing(counts, column).select(column, "running_total")
-    return counts.join(standing, column)
+    return (counts if rows is None else rows).join(standing, column)
 
 
-def percent_rank_of_counts(counts: DataFrame, column: str) -> DataFrame:
-    """Ascending PERCENT_RANK of a count column, in ``percent_rank``."""
+def percent_rank_of_counts(counts: DataFrame, column: str, rows: DataFrame | None = None) -> DataFrame:
+    """Add ``percent_rank``: the ascending PERCENT_RANK among all counts (``rows`` as above)."""
     standing = counts_with_standing(counts, column, descending=False)
     total = counts.agg(F.count(F.lit(1))).scalar()
     below = F.col("running_holders") - F.col("holders")
@@ -38,7 +42,7 @@ def percent_rank_of_counts(counts: DataFrame, column: str) -> DataFrame:
         column,
         F.coalesce(below / F.nullif((total - 1).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("percent_rank"),
     )
-    return counts.join(ranked, column)
+    return (counts if rows is None else rows).join(ranked, column)
 
 
 def shuffle_key(key: str, seed: int) -> Column:

@@ -54,16 +54,16 @@ def apply_filters(
 
 def filter_options(t: Tables) -> DataFrame:
     """The values each filter offers: filter_name, value."""
-    options = (
-        t["projects"].select(F.lit("project").alias("filter_name"), F.col("project_name").alias("value")),
-        t["teams"].select(F.lit("team").alias("filter_name"), F.col("team_name").alias("value")),
-        t["issues"].select(F.lit("priority").alias("filter_name"), F.col("priority").alias("value")),
-        t["issues"].select(F.lit("severity").alias("filter_name"), F.col("severity").alias("value")),
+    labelled = (
+        (t["projects"], {"project": "project_name"}),
+        (t["teams"], {"team": "team_name"}),
+        (t["issues"], {"priority": "priority", "severity": "severity"}),
     )
     merged = None
-    for option in options:
-        distinct = option.filter(F.col("value").isNotNull()).distinct()
-        merged = distinct if merged is None else merged.unionAll(distinct)
+    for df, filters in labelled:
+        pairs = [F.struct(F.lit(n).alias("filter_name"), F.col(c).alias("value")) for n, c in filters.items()]
+        values = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull()).distinct()
+        merged = values if merged is None else merged.unionAll(values)
     return merged
 
 
@@ -148,7 +148,7 @@ def productivity_histogram(t: Tables, f: Tables, bins: int = 20) -> DataFrame:
 
 def cycle_time_by_priority(f: Tables) -> DataFrame:
     resolved = f["issues"].filter(F.col("resolved_date").isNotNull() & F.col("priority").isin(*PRIORITIES))
-    return box_stats(resolved, "cycle_time_days", ["priority"], bounded_groups=True).orderBy(
+    return box_stats(resolved, "cycle_time_days", ["priority"]).orderBy(
         in_order("priority", PRIORITIES)
     )
 

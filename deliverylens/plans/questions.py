@@ -247,21 +247,21 @@ def review_time_by_size(t: Tables) -> DataFrame:
 def reviewer_load(t: Tables, k: int = 15) -> DataFrame:
     """Busiest reviewers with a running total; equal loads share it."""
     counts = t["pull_requests"].groupBy("reviewer_id").agg(count_rows().alias("prs_reviewed"))
+    order = [F.desc("prs_reviewed"), F.asc_nulls_last("reviewer_id")]
     return (
-        running_total_of_counts(counts, "prs_reviewed")
-        .orderBy(F.desc("prs_reviewed"), F.asc_nulls_last("reviewer_id"))
-        .limit(k)
+        running_total_of_counts(counts, "prs_reviewed", counts.orderBy(*order).limit(k))
         .select("reviewer_id", "prs_reviewed", F.col("running_total").alias("running_total_prs"))
+        .orderBy(*order)
     )
 
 
 def assignment_percentiles(t: Tables, k: int = 15) -> DataFrame:
     counts = t["issues"].groupBy(F.col("assignee_id").alias("developer_id")).agg(count_rows().alias("issues_assigned"))
+    order = [F.desc("issues_assigned"), F.asc_nulls_last("developer_id")]
     return (
-        percent_rank_of_counts(counts, "issues_assigned")
-        .orderBy(F.desc("issues_assigned"), F.asc_nulls_last("developer_id"))
-        .limit(k)
+        percent_rank_of_counts(counts, "issues_assigned", counts.orderBy(*order).limit(k))
         .select("developer_id", "issues_assigned", F.round("percent_rank", 3).alias("workload_percentile"))
+        .orderBy(*order)
     )
 
 
