@@ -12,21 +12,17 @@ from deliverylens.operators.quantiles import exact_quantiles
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins over the column's range; the last bin is closed."""
-    v = F.col(column).cast("double")
-    span = df.select(F.struct(F.min(v).alias("low"), F.max(v).alias("high"))).scalar()
-    width = (span["high"] - span["low"]) / bins
-    slot = F.when(width > 0, F.least(F.floor((v - span["low"]) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    return (
-        df.filter(v.isNotNull())
-        .groupBy(slot.cast("int").alias("bin"))
+    values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    span = values.select(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
+    v, low, width = F.col("_v"), F.col("_span.low"), (F.col("_span.high") - F.col("_span.low")) / bins
+    slot = F.when(width > 0, F.least(F.floor((v - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    counted = (
+        values.withColumn("_span", span)
+        .groupBy(slot.cast("int").alias("bin"), low.alias("_low"), width.alias("_width"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "bin",
-            (span["low"] + width * F.col("bin")).alias("bin_start"),
-            (span["low"] + width * (F.col("bin") + 1)).alias("bin_end"),
-            "n",
-        )
     )
+    edge = F.col("_low") + F.col("_width") * F.col("bin")
+    return counted.select("bin", edge.alias("bin_start"), (edge + F.col("_width")).alias("bin_end"), "n")
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, domain) -> DataFrame:

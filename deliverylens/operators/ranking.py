@@ -81,10 +81,12 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(shuffle_key(key, seed), key).limit(n)
 
 
-def above_mean_plus_sigma(df: DataFrame, column: str, sigmas: float = 1.0) -> tuple[DataFrame, Column]:
-    """Rows above mean + sigmas * population deviation, and the statistics struct."""
+def above_mean_plus_sigma(df: DataFrame, column: str, sigmas: float = 1.0) -> DataFrame:
+    """Rows above mean + sigmas * population deviation, with ``mean`` and ``dev`` added."""
     stats = df.select(F.struct(F.avg(column).alias("mean"), F.stddev_pop(column).alias("dev"))).scalar()
-    return df.filter(F.col(column) > stats["mean"] + stats["dev"] * F.lit(float(sigmas))), stats
+    placed = df.withColumn("_stats", stats)
+    bound = F.col("_stats.mean") + F.col("_stats.dev") * F.lit(float(sigmas))
+    return placed.filter(F.col(column) > bound).select(*df.columns, "_stats.mean", "_stats.dev")
 
 
 def halves_by_date(df: DataFrame, group: str, date: str, tiebreak: str, value: str) -> DataFrame:

@@ -21,7 +21,7 @@ from deliverylens.functions.scalars import (
 )
 from deliverylens.operators.quantiles import exact_quantile
 from deliverylens.operators.rollup import align_on_key, left_star, rollup_via
-from deliverylens.operators.scaling import column_ranges, scaled
+from deliverylens.operators.scaling import scaled, with_ranges
 from deliverylens.session import materialized
 
 Tables = Mapping[str, DataFrame]
@@ -261,22 +261,23 @@ def productivity(t: Tables, workload: DataFrame) -> DataFrame:
         .agg(F.avg(as_double("reopened")).alias("reopen_rate"))
     )
     joined = workload.join(reopened, "developer_id", "left").fillna(0.0, ["reopen_rate"])
-    # the score needs whole-column ranges and a median, so the joins run once and are kept
-    return with_productivity_score(materialized(joined, "developers")).orderBy(
+    return with_productivity_score(joined).orderBy(
         F.desc_nulls_last("engineering_productivity_score"), "developer_id"
     )
 
 
 def with_productivity_score(developers: DataFrame) -> DataFrame:
-    middle = exact_quantile(developers, "workload_index", 0.5)
+    # a median and then whole-column ranges are needed, so both inputs are kept
+    kept = materialized(developers, "developers")
+    middle = exact_quantile(kept, "workload_index", 0.5)
+    placed = materialized(kept.withColumn("_off_median", F.abs(F.col("workload_index") - middle)), "developers")
     parts = {
         "delivery": as_double(F.col("issues_resolved") + F.col("pr_count")),
         "quality": as_double("reopen_rate"),
         "collaboration": as_double("reviews_given"),
-        "balance": F.abs(F.col("workload_index") - middle),
+        "balance": F.col("_off_median"),
     }
-    ranges = column_ranges(developers, parts)
-    unit = {name: scaled(value, ranges, name) for name, value in parts.items()}
+    unit = {name: scaled(value, name) for name, value in parts.items()}
     weight = {name: F.lit(w) for name, w in PRODUCTIVITY_WEIGHTS.items()}
     score = F.lit(100) * (
         weight["delivery"] * unit["delivery"]
@@ -284,4 +285,6 @@ def with_productivity_score(developers: DataFrame) -> DataFrame:
         + weight["collaboration"] * unit["collaboration"]
         + weight["balance"] * (1 - unit["balance"])
     )
-    return developers.withColumn("engineering_productivity_score", score_round(score, 1))
+    return with_ranges(placed, parts).select(
+        *developers.columns, score_round(score, 1).alias("engineering_productivity_score")
+    )

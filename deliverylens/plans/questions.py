@@ -200,12 +200,11 @@ def unusual_reopen_teams(t: Tables) -> DataFrame:
         .join(t["teams"].select("team_id", "team_name"), "team_id")
         .select("team_id", "team_name", percent("reopened", "bugs").alias("rate"))
     )
-    unusual, stats = above_mean_plus_sigma(per_team, "rate")
-    return unusual.orderBy(F.desc("rate"), "team_id").select(
+    return above_mean_plus_sigma(per_team, "rate").orderBy(F.desc("rate"), "team_id").select(
         "team_name",
         F.round("rate", 1).alias("reopen_rate_pct"),
-        F.round(stats["mean"], 1).alias("org_avg_rate"),
-        F.round(stats["dev"], 1).alias("org_stdev"),
+        F.round("mean", 1).alias("org_avg_rate"),
+        F.round("dev", 1).alias("org_stdev"),
     )
 
 

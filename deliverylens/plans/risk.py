@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from deliverylens.functions.scalars import as_double, count_rows, risk_tier, score_round
 from deliverylens.operators.rollup import align_on_key
-from deliverylens.operators.scaling import column_ranges, scaled
+from deliverylens.operators.scaling import scaled, with_ranges
 from deliverylens.plans.features import team_sizes
 from deliverylens.session import materialized
 
@@ -68,10 +68,9 @@ def risk_components(t: Tables) -> DataFrame:
         align_on_key([undelivered_share(t), defect_burden(t), review_load(t), crew_load(t)], "project_id"), "risk"
     )
     measures = {c: F.col(c) for c in ("undelivered", "defects", "review_hours", "pending", "crew_load")}
-    ranges = column_ranges(raw, measures)
-    part = {c: scaled(measures[c], ranges, c, 100.0) for c in measures}
+    part = {c: scaled(measures[c], c, 100.0) for c in measures}
     review = part["review_hours"] * REVIEW_TIME_SHARE + part["pending"] * PENDING_SHARE
-    return raw.select(
+    return with_ranges(raw, measures).select(
         "project_id",
         part["undelivered"].alias("delivery_risk"),
         part["defects"].alias("quality_risk"),
