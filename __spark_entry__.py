@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +13,9 @@ from deliverylens.operators import quality
 from deliverylens.operators.scaling import minmax_scale
 from deliverylens.plans import cleaning, dashboard, explore, features, kpi, questions, report, risk
 from deliverylens.plans.stages import raw_tables, sample_tables
-from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, TABLES
+from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, KPI_TABLES, TABLES
+from deliverylens.session import scratch_dir
+from deliverylens.sources import tables as tables_io
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -74,8 +77,6 @@ def _range_checks(t) -> DataFrame:
 
 
 def _output_presence(t) -> DataFrame:
-    from deliverylens.schema import KPI_TABLES
-
     return quality.row_counts(t, KPI_TABLES)
 
 
@@ -87,26 +88,53 @@ def entry(spark: SparkSession) -> DataFrame:
 def _model_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from deliverylens.plans import models
 
-    def trained(spark, sf_dir, names=models.MODELS):
-        return models.train_delay_models(features.release_features(sample_tables(spark, sf_dir)), names)
+    def coefficients(t):
+        return models.train_delay_models(t["release_delay_features"], ("Logistic Regression",)).importance()
 
     return {
         "train_test_split": _on_tables(
-            lambda t: models.stratified_split(features.release_features(t), "release_id", "is_delayed").select(
+            lambda t: models.stratified_split(t["release_delay_features"], "release_id", "is_delayed").select(
                 "release_id", "is_delayed", "is_train"
             )
         ),
         "ml_class_weights": _on_tables(
-            lambda t: models.balanced_weights(features.release_features(t), "is_delayed")
+            lambda t: models.balanced_weights(t["release_delay_features"], "is_delayed")
             .groupBy("is_delayed")
             .agg(F.count(F.lit(1)).alias("releases"), F.max("weight").alias("weight"))
         ),
-        "ml_model_comparison": lambda spark, sf: trained(spark, sf).comparison(),
-        "ml_feature_importance": lambda spark, sf: trained(spark, sf, ("Random Forest",)).importance(),
-        "ml_coefficients": lambda spark, sf: trained(spark, sf, ("Logistic Regression",)).importance(),
+        "ml_model_comparison": _on_tables(lambda t: t["model_comparison"]),
+        "ml_best_model": _on_tables(
+            lambda t: t["model_comparison"].orderBy(F.desc("f1_score"), "model").limit(1)
+        ),
+        "ml_feature_importance": _on_tables(lambda t: t["feature_importance"]),
+        "ml_coefficients": _on_tables(coefficients),
     }
 
 
+def _csv_round_trip(table: str):
+    """A table exported to CSV in the scratch folder, read back by name and cleaned."""
+
+    def run(spark, sf_dir):
+        folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
+        raw = raw_tables(spark, sf_dir)[table]
+        # the exported column order differs from the table's, so only names can bind
+        tables_io.write_csv_table(raw.select(*sorted(raw.columns)), f"{folder}/{table}.csv")
+        back = tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table)
+        return _plain(cleaning.CLEANERS[table](back))
+
+    return run
+
+
+def _team_view(spark, sf_dir):
+    questions.register_team_view(spark, sample_tables(spark, sf_dir))
+    return _plain(
+        spark.sql(
+            "SELECT team_name, avg_sprint_completion_pct, bug_reopen_rate_pct, avg_pr_review_hours"
+            " FROM team_performance_summary WHERE avg_sprint_completion_pct > 95"
+        )
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     table_names = list(TABLES)
     q = questions
@@ -243,6 +271,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ex_risk_ranking": _unfiltered(lambda t, f: d.risk_ranking(f)),
         "ex_risk_long": _unfiltered(lambda t, f: d.risk_breakdown(f)),
         "ex_risk_detail": _filtered(lambda t, f: d.risk_detail(f)),
+        # sources, sinks and views
+        "io_csv_sprints": _csv_round_trip("sprints"),
+        "io_csv_releases": _csv_round_trip("releases"),
+        "io_csv_pull_requests": _csv_round_trip("pull_requests"),
+        "io_team_view": _team_view,
         # models
         **_model_queries(),
     }

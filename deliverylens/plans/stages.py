@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.plans import cleaning, kpi, risk
+from deliverylens.plans import cleaning, features, kpi, risk
 from deliverylens.session import staged
 from deliverylens.sources.driver_tables import RAW_LOADERS
 
@@ -37,7 +37,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
 
 
 def delivery_tables(spark: SparkSession, raw: Mapping[str, DataFrame], label: str) -> Lazy:
-    """Cleaned and KPI tables over a raw set, staged under ``label``."""
+    """Cleaned, KPI, feature and model tables over a raw set, staged under ``label``."""
 
     def clean(name):
         return lambda: staged(spark, f"{label}/{name}", lambda: cleaning.CLEANERS[name](raw[name]))
@@ -50,12 +50,30 @@ def delivery_tables(spark: SparkSession, raw: Mapping[str, DataFrame], label: st
         "kpi_developer_workload": lambda: kpi.developer_workload(tables),
         "kpi_developer_productivity": lambda: kpi.productivity(tables, tables["kpi_developer_workload"]),
         "release_risk_scores": lambda: risk.risk_scores(tables),
+        "release_delay_features": lambda: features.release_features(tables),
     }
     for name, build in derived.items():
         tables._builders[name] = lambda name=name, build=build: staged(spark, f"{label}/{name}", build)
+    for name in ("model_comparison", "feature_importance"):
+        tables._builders[name] = lambda name=name: _model_table(spark, tables, label, name)
     return tables
 
 
+def _model_table(spark: SparkSession, tables: Mapping[str, DataFrame], label: str, name: str) -> DataFrame:
+    """The models are fitted once and leave both of their tables."""
+    from deliverylens.plans.models import train_delay_models
+
+    def fit() -> DataFrame:
+        fitted = train_delay_models(tables["release_delay_features"])
+        outputs = {"model_comparison": fitted.comparison(), "feature_importance": fitted.importance()}
+        for other, df in outputs.items():
+            if other != name:
+                staged(spark, f"{label}/{other}", lambda df=df: df)
+        return outputs[name]
+
+    return staged(spark, f"{label}/{name}", fit)
+
+
 def sample_tables(spark: SparkSession, sf_dir: str) -> Lazy:
     """The pipeline over the delivery-shaped sample tables of a directory."""
     label = "sample-" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]

@@ -28,14 +28,22 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder. On a cluster
+    the setting is required, since a folder of one machine is no shared place.
+    """
     global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="deliverylens-")
-        spark.sparkContext.setCheckpointDir(_local_scratch)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_local_scratch)
     return _local_scratch
 
 

@@ -120,6 +120,14 @@ def _cleaned(name: str) -> str:
     return f"SELECT * REPLACE ({_r(*rounded)}) FROM {name}"
 
 
+def _as_text(name: str) -> str:
+    """The cleaned table with its identifiers as text, as they come from a CSV export."""
+    spec = TABLES[name]
+    ids = [spec.primary_key, *spec.references]
+    casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ids)
+    return f"SELECT * REPLACE ({casts}) FROM ({_cleaned(name)})"
+
+
 def statements() -> dict[str, str]:
     drivers = ", ".join(f"CASE WHEN {c} > 60 THEN '{text}' END" for c, text in DRIVERS)
     pairs = [(a, b) for i, a in enumerate(METRICS) for b in METRICS[i + 1 :]]
@@ -543,6 +551,12 @@ def statements() -> dict[str, str]:
         ),
         "ex_risk_detail": f"""
             SELECT project_name, risk_tier, release_risk_score FROM {_picked('release_risk_scores')}""",
+        **{f"io_csv_{name}": _as_text(name) for name in ("sprints", "releases", "pull_requests")},
+        "io_team_view": """
+            SELECT team_name, round(100 * avg_sprint_completion_rate, 1) AS avg_sprint_completion_pct,
+                   round(bug_reopen_rate_pct, 1) AS bug_reopen_rate_pct,
+                   round(avg_pr_review_hours, 1) AS avg_pr_review_hours
+            FROM kpi_team_summary WHERE round(100 * avg_sprint_completion_rate, 1) > 95""",
         "train_test_split": """
             SELECT release_id, is_delayed,
                    row_number() OVER (PARTITION BY is_delayed ORDER BY md5('42:' || release_id), release_id)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deliverylens.plans import cleaning, questions, report
 from deliverylens.plans.stages import sample_tables
 from deliverylens.schema import TABLES
+from deliverylens.session import scratch_dir
 from deliverylens.sources import tables as io
 
 
@@ -93,3 +94,20 @@ def test_catalog_append_binds_by_name(spark, tmp_path):
     io.register_views({"teams_now": a})
     assert spark.table("teams_now").count() == 1
     spark.sql("DROP DATABASE lens CASCADE")
+
+
+class _Session:
+    """Just enough of a session to ask for its scratch folder."""
+
+    def __init__(self, configured, master):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_scratch_folder_is_the_configured_one():
+    assert scratch_dir(_Session("hdfs:///shared/scratch/", "yarn")) == "hdfs:///shared/scratch"
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session(None, "yarn"))

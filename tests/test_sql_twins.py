@@ -22,7 +22,7 @@ def con():
 def test_every_twin_has_a_query():
     assert set(TWINS) <= set(QUERIES)
     without = set(QUERIES) - set(TWINS)
-    assert without == {"ml_model_comparison", "ml_feature_importance", "ml_coefficients"}
+    assert without == {"ml_model_comparison", "ml_best_model", "ml_feature_importance", "ml_coefficients"}
 
 
 @pytest.mark.parametrize("name", sorted(TWINS))
