@@ -28,7 +28,8 @@ def _plain(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            # the same arithmetic as the SQL twins, so ties fall the same way
+            c = F.floor(c * 1e6 + 0.5) / 1e6
         columns.append(c.alias(f.name))
     return df.select(*columns)
 

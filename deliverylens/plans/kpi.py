@@ -14,7 +14,6 @@ from deliverylens.functions.scalars import (
     as_double,
     count_rows,
     days_between,
-    percent,
     safe_ratio,
     score_round,
     week_of,

@@ -19,7 +19,7 @@ METRICS = (
 
 def _r(*columns: str) -> str:
     """Each column rounded to six places under its own name."""
-    return ", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in columns)
+    return ", ".join(f"floor({c}::DOUBLE * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS {c}" for c in columns)
 
 
 def _box(source: str, value: str, key: str) -> str:
