@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -136,6 +137,19 @@ def _team_view(spark, sf_dir):
     )
 
 
+def _has_llm() -> bool:
+    """Whether the training-data subpackage is installed; errors within it are not hidden."""
+    return all(importlib.util.find_spec(name) is not None for name in ("deliverylens.llm", "corpus_pipeline"))
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if not _has_llm():
+        return {}
+    from deliverylens.llm import queries as llm
+
+    return llm.queries()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     table_names = list(TABLES)
     q = questions
@@ -279,10 +293,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "io_team_view": _team_view,
         # models
         **_model_queries(),
+        # training data
+        **_llm_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.statements import statements
 
-    return statements()
+    found = statements()
+    if _has_llm():
+        from deliverylens.llm import queries as llm
+
+        found |= llm.oracle_sql()
+    return found
