@@ -1,3 +1,98 @@
 """DuckDB statements for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+# either case of ASCII letters only, as the contract has it
+_ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+    "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+# kind, pattern, group whose length counts, least length
+_RULES = (
+    ("assign", _ASSIGN, 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("hosted", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 1),
+)
+
+SECRETS = (
+    "WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),\nmatches AS (\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT row_id, {place} AS place, '{kind}' AS kind, {least} AS least,
+       unnest(list_transform(string_split_regex(text, '{pattern}'), lambda x: length(x))[:-2]) AS before,
+       unnest(list_transform(regexp_extract_all(text, '{pattern}'), lambda x: length(x))) AS size,
+       unnest(list_transform(regexp_extract_all(text, '{pattern}', {group}), lambda x: length(x))) AS value_size,
+       generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) AS number
+FROM texts"""
+        for place, (kind, pattern, group, least) in enumerate(_RULES)
+    )
+    + """
+), placed AS (
+  SELECT *, sum(before + size) OVER (PARTITION BY row_id, place ORDER BY number) AS stop FROM matches
+), spans AS (
+  SELECT row_id, place, kind, (stop - size)::BIGINT AS start, stop::BIGINT AS stop FROM placed WHERE value_size >= least
+), joined AS (
+  SELECT row_id,
+         count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+         count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (WHERE place < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM spans GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (row_id)"""
+)
+
+TOOL_CALLS = """WITH RECURSIVE calls AS (
+  SELECT conv_id, 'call-' || conv_id || '-' || turn AS call_id, turn, text, length(text) AS n,
+         CASE WHEN turn % 4 < 2 THEN 'ask' ELSE 'look_up' END AS tool,
+         'call-' || conv_id || '-' || (turn - 2) AS need
+  FROM conversations WHERE role = 'user'
+), results AS (
+  SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, min(turn) AS result_turn,
+         arg_min(text, turn) AS content, count(*) AS n_results
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+), levels AS (
+  SELECT conv_id, call_id, 0::BIGINT AS level FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.call_id = c.need)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, l.level + 1 FROM calls c JOIN levels l ON l.conv_id = c.conv_id AND l.call_id = c.need
+), linked AS (
+  SELECT *, CASE
+    WHEN tool = 'ask' THEN concat_ws('; ', CASE WHEN n < 1 THEN 'limit: below 1' END,
+      CASE WHEN n > 300 THEN 'limit: above 300' END, CASE WHEN n < 1 THEN 'query: below 1' END)
+    ELSE concat_ws('; ', CASE WHEN n < 20 THEN 'limit: below 20' END, CASE WHEN n < 1 THEN 'query: below 1' END,
+      CASE WHEN n > 200 THEN 'query: above 200' END) END AS errors
+  FROM calls LEFT JOIN levels USING (conv_id, call_id) LEFT JOIN results USING (conv_id, call_id)
+)
+SELECT conv_id, call_id, turn::BIGINT AS turn, tool, level, result_turn::BIGINT AS result_turn,
+       coalesce(n_results, 0)::BIGINT AS n_results,
+       CASE WHEN errors <> '' THEN 'invalid' WHEN n_results IS NULL THEN 'unanswered' ELSE 'ok' END AS status, errors,
+       '{"arguments":{"limit":' || n || ',"query":' || to_json(text) || '},"call_id":' || to_json(call_id)
+         || ',"name":"' || tool || '"' || coalesce(',"result":' || to_json(content), '') || '}' AS json
+FROM linked
+UNION ALL
+SELECT conv_id, call_id, NULL, NULL, NULL, result_turn::BIGINT, n_results::BIGINT, 'orphan', '',
+       '{"call_id":' || to_json(call_id) || ',"result":' || to_json(content) || '}'
+FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)"""
+
+NEAR_VECTORS = """WITH RECURSIVE unit AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM unit
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counted USING (vec_id)"""
+
+ORACLES = {"op2_secret_scan": SECRETS, "op8_tool_calls": TOOL_CALLS, "op9_near_vectors": NEAR_VECTORS}

@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deliverylens.llm import bpe, decontaminate, licenses, pages, quality, secrets, simhash, tokenstore
+from deliverylens.llm import (
+    bpe,
+    decontaminate,
+    hnsw,
+    licenses,
+    pages,
+    quality,
+    secrets,
+    simhash,
+    tokenstore,
+    toolcalls,
+)
 from deliverylens.llm.oracles import ORACLES
 
 END_ID = 2  # Fixed value: the id that ends a document in token files
@@ -51,6 +61,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations")
+    return toolcalls.link_tools(toolcalls.calls_of(messages), toolcalls.results_of(messages), toolcalls.SCHEMAS)
+
+
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +83,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_main_text": op5_main_text,
         "op6_bpe": op6_bpe,
         "op7_simhash": op7_simhash,
+        "op8_tool_calls": op8_tool_calls,
+        "op9_near_vectors": op9_near_vectors,
         "op10_quality": op10_quality,
         "pipeline": corpus_pipeline.run,
     }
