@@ -53,7 +53,7 @@ RULES = BASE_RULES + MORE_RULES
 
 LEDGER = (
     "blob binary, rules array<string>,"
-    " spans array<struct<start:bigint, place:int, kind:string, stop:bigint, covered:bigint>>"
+    " spans array<struct<start:bigint, place:int, kind:string, stop:bigint>>"
 )
 
 
@@ -109,11 +109,7 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         .withColumn("start", F.col("stop") - F.col("size"))
         .withColumn("holds", F.coalesce("holds", F.lit(False)))
     )
-    so_far = (
-        Window.partitionBy("blob").orderBy("start", "place").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    covered = F.coalesce(F.max(F.when(F.col("holds"), F.col("stop"))).over(so_far), F.lit(0).cast("long"))
-    span = F.struct("start", "place", "kind", "stop", covered.alias("covered"))
+    span = F.struct("start", "place", "kind", "stop")
     return (
         placed.select("blob", "todo", F.when(F.col("holds"), span).alias("span"))
         .groupBy("blob")
@@ -151,20 +147,22 @@ def update_ledger(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES)
         todo = F.array_except(wanted, F.coalesce("rules", F.expr("cast(array() as array<string>)")))
         unseen = blobs.join(read, "blob", "left").select("blob", "text", todo.alias("todo")).where(F.size("todo") > 0)
     scan_blobs(unseen, rules).write.mode("append").parquet(folder)
-    kinds = [r.kind for r in rules]
-    rows = open_ledger(spark, folder)
-    return rows.groupBy("blob").agg(
-        F.sort_array(
-            F.array_distinct(F.flatten(F.collect_list(F.filter("spans", lambda s: s["kind"].isin(kinds)))))
-        ).alias("spans")
+    asked = F.create_map(*(F.lit(x) for r in rules for x in (r.kind, r.name)))
+    places = F.create_map(*(F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)))
+    # of a kind, only what the asked version found; its place is that of today's list
+    own = F.transform(
+        F.filter("spans", lambda s: F.array_contains("rules", asked[s["kind"]])),
+        lambda s: F.struct(s["start"], places[s["kind"]].alias("place"), s["kind"], s["stop"]),
     )
+    rows = open_ledger(spark, folder).select("blob", own.alias("spans"))
+    return rows.groupBy("blob").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def scan_secrets(docs: DataFrame, folder: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id and spans (start, place, kind, stop, covered) for every row of ``docs``.
+    """doc_id and spans (start, place, kind, stop) for every row of ``docs``.
 
-    Positions count code points from 0, ``stop`` is exclusive, ``covered`` is the
-    furthest stop of earlier spans. Null and empty texts are one blob without spans.
+    Positions count code points from 0, ``stop`` is exclusive, ``place`` is that of
+    the kind among the rules. Null and empty texts are one blob without spans.
     Repeated rows and null ids stay. Other columns are not read; an empty table gives
     an empty result. Without a folder the ledger is a new one.
     """
@@ -193,12 +191,21 @@ def secret_digest(found: DataFrame) -> DataFrame:
     )
 
 
+def covered_spans(found: DataFrame) -> DataFrame:
+    """The spans of each blob with ``covered``, the furthest stop of those before."""
+    before = Window.partitionBy("blob").orderBy("start", "place").rowsBetween(Window.unboundedPreceding, -1)
+    rows = found.select("blob", F.inline("spans")).withColumn(
+        "covered", F.coalesce(F.max("stop").over(before), F.lit(0).cast("long"))
+    )
+    return rows.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "covered", "stop"))).alias("spans"))
+
+
 def redact(docs: DataFrame, folder: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with each secret's text replaced by [secret], spans that overlap by
     one; n_chars, where there is one, follows the new text. Rows without secrets, and
     all other columns, stay as they are."""
     folder = folder or fresh_folder(docs.sparkSession, "ledger")
-    found = update_ledger(docs, folder, rules).where(F.size("spans") > 0).select(
+    found = covered_spans(update_ledger(docs, folder, rules)).select(
         F.col("blob").alias("__blob"), F.col("spans").alias("__spans")
     )
     joined = docs.withColumn("__blob", blob_id(F.col("text"))).join(found, "__blob", "left")
