@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deliverylens.llm.storage import fresh_folder
+from deliverylens.llm.storage import fresh_folder, written
 
 
 @dataclass(frozen=True)
@@ -167,8 +167,9 @@ def scan_secrets(docs: DataFrame, folder: str | None = None, rules: tuple[Rule,
     an empty result. Without a folder the ledger is a new one.
     """
     folder = folder or fresh_folder(docs.sparkSession, "ledger")
-    # only blobs with findings take part in the join
-    found = update_ledger(docs, folder, rules).where(F.size("spans") > 0)
+    # only blobs with findings take part in the join; from a written table, so that its
+    # size is known and a blob that many rows carry can be split
+    found = written(update_ledger(docs, folder, rules).where(F.size("spans") > 0), "findings")
     carried = docs.select("doc_id", blob_id(F.col("text")).alias("blob"))
     return carried.join(found, "blob", "left").select(
         "doc_id", F.coalesce("spans", F.expr(f"cast(array() as {LEDGER.split(' spans ')[1]})")).alias("spans")
@@ -205,7 +206,7 @@ def redact(docs: DataFrame, folder: str | None = None, rules: tuple[Rule, ...] =
     one; n_chars, where there is one, follows the new text. Rows without secrets, and
     all other columns, stay as they are."""
     folder = folder or fresh_folder(docs.sparkSession, "ledger")
-    found = covered_spans(update_ledger(docs, folder, rules)).select(
+    found = written(covered_spans(update_ledger(docs, folder, rules)), "findings").select(
         F.col("blob").alias("__blob"), F.col("spans").alias("__spans")
     )
     joined = docs.withColumn("__blob", blob_id(F.col("text"))).join(found, "__blob", "left")
