@@ -1,44 +1,64 @@
-"""Exact interpolated quantiles that never hold a large group in one place.
+"""Exact interpolated quantiles by descending through the bits of the values.
 
-A bounded sketch proposes a narrow interval around every wanted rank. Values
-inside an interval are counted one by one, all others only as a total, so the
-ranks are exact while just a sliver of each group is ordered. Groups small
-enough to be ordered whole skip the intervals. The result does not depend on
-the sketch: a rank that fell outside its interval fails the job.
+Doubles are mapped to 64-bit keys that sort the same way. Rows are counted by the
+first 16 bits of their keys; of those counts, at most 65,536 a group, the one that
+holds a wanted rank is followed into the next 16 bits, four times in all. Every
+wanted rank of every group goes down in the same passes. No values are ordered and
+no step depends on how many there are or on how they lie in the input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from deliverylens.session import materialized
-
-SKETCH_ACCURACY = 50_000
-SKETCH_SHARDS = 1024
-
-
-def _sketch(rows: DataFrame, probs, by: list[str], accuracy: int) -> DataFrame:
-    """Per group (``_by_`` columns): ``_sketch`` with the interval bounds and the row count.
-
-    Sketches are merged in shards of input partitions, then the widest bounds
-    are taken. If every shard has at least (at most) a share p of its rows
-    below x, so has the whole, hence the widest interval still holds the
-    quantile, and no task merges the sketches of all partitions.
-    """
-    slack = 2.0 / accuracy
-    marks = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    keys = [f"_by_{c}" for c in by]
-    sharded = rows.groupBy(
-        *[F.col(c).alias(k) for c, k in zip(by, keys)], F.pmod(F.spark_partition_id(), F.lit(SKETCH_SHARDS)).alias("_shard")
-    ).agg(F.percentile_approx("_v", marks, accuracy).alias("_cuts"), F.count(F.lit(1)).alias("_rows"))
-    m = len(probs)
-    cuts = [F.element_at("_cuts", i + 1) for i in range(2 * m)]
-    return sharded.groupBy(*keys).agg(
-        F.struct(
-            F.array(*[F.min(c) for c in cuts[:m]], *[F.max(c) for c in cuts[m:]]).alias("cuts"),
-            F.sum("_rows").alias("rows"),
-        ).alias("_sketch")
+DIGIT_BITS = 16
+LEVELS = 64 // DIGIT_BITS
+# Fixed values of IEEE 754 doubles
+_SIGN = -(1 << 63)
+_FRACTION_BITS = 52
+_INFINITE = 0x7FF << _FRACTION_BITS
+_SMALLEST_NORMAL = 2.0**-1022
+
+
+def _two_to(power) -> Column:
+    """Exact for whole powers in the range of doubles."""
+    return F.pow(F.lit(2.0), power)
+
+
+def _order_key(value: Column) -> Column:
+    """A number whose bits sort unsigned as the doubles do: their IEEE 754 bits, negative
+    ones inverted. Both zeros are one, NaN is last."""
+    size = F.abs(value)
+    # the logarithm may be off by one next to a power of two
+    guess = F.floor(F.log2(size))
+    scaled = size * _two_to(-guess)
+    above, below = scaled >= 2, scaled < 1
+    exponent = F.when(above, guess + 1).when(below, guess - 1).otherwise(guess)
+    mantissa = F.when(above, scaled / 2).when(below, scaled * 2).otherwise(scaled)
+    bits = (
+        F.when(F.isnan(value), F.lit(_INFINITE + 1))
+        .when(size == float("inf"), F.lit(_INFINITE))
+        .when(size < _SMALLEST_NORMAL, (size * _two_to(F.lit(537)) * _two_to(F.lit(537))).cast("bigint"))
+        .otherwise(
+            F.shiftleft((exponent + 1023).cast("bigint"), _FRACTION_BITS)
+            + ((mantissa - 1) * _two_to(F.lit(_FRACTION_BITS))).cast("bigint")
+        )
+    )
+    return F.when(value < 0, F.bitwise_not(bits.bitwiseOR(F.lit(_SIGN)))).otherwise(bits.bitwiseXOR(F.lit(_SIGN)))
+
+
+def _key_value(key: Column) -> Column:
+    """The double of an ``_order_key``."""
+    bits = F.when(key < 0, key).otherwise(F.bitwise_not(key)).bitwiseAND(F.lit(~_SIGN))
+    exponent = F.shiftright(bits, _FRACTION_BITS)
+    fraction = bits.bitwiseAND(F.lit((1 << _FRACTION_BITS) - 1))
+    size = (
+        F.when(bits > _INFINITE, F.lit(float("nan")))
+        .when(bits == _INFINITE, F.lit(float("inf")))
+        .when(exponent == 0, fraction * _two_to(F.lit(-537)) * _two_to(F.lit(-537)))
+        .otherwise((1 + fraction / _two_to(F.lit(_FRACTION_BITS))) * _two_to(exponent - 1023))
     )
+    return F.when(key < 0, size).otherwise(-size)
 
 
 def _wanted_ranks(total: Column, probs) -> Column:
@@ -49,69 +69,82 @@ def _wanted_ranks(total: Column, probs) -> Column:
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: list[float],
-    by: list[str] | None = None,
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
+def _ranks_within(counted: DataFrame, by: list[str], wanted: Column) -> DataFrame:
+    """Digits that hold wanted ranks: ``by``, n, prefix, want (rank, and rank among the digit's rows).
+
+    One window row per digit, so a window never holds more than 65,536 rows.
+    """
+    upto = Window.partitionBy(*by, "_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_end")
+    begin = end - F.col("_c")
+    return (
+        counted.withColumn("_end", F.sum("_c").over(upto))
+        .withColumn(
+            "_hits",
+            F.transform(
+                F.filter(wanted, lambda w: (w["at"] >= begin) & (w["at"] < end)),
+                lambda w: F.struct(w["rank"].alias("rank"), (w["at"] - begin).alias("at")),
+            ),
+        )
+        .filter(F.size("_hits") > 0)
+        .select(
+            *by,
+            "n",
+            F.shiftleft(F.col("_prefix"), DIGIT_BITS).bitwiseOR(F.col("_digit")).alias("_prefix"),
+            F.col("_hits").alias("_want"),
+        )
+    )
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Linear-interpolation quantiles: ``by`` + ``n`` + ``quantiles`` (array, ``probs`` order).
 
-    The sketches (a few numbers per group) are written out first; the planner
-    then joins them by their measured size.
+    NULL values are left out, a group of nothing else has no row. ``df`` is read once
+    a level, each time joined to the few digits that are followed; the planner sees
+    their size at run time.
     """
     by = list(by or [])
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    sketch = materialized(_sketch(rows, probs, by, accuracy), "sketch")
-    if not by:
-        marked = rows.withColumn("_sketch", sketch.select("_sketch").scalar())
-    else:
-        same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-        condition = same[0]
-        for extra in same[1:]:
-            condition = condition & extra
-        marked = rows.join(sketch, condition)
-
-    v, cuts = F.col("_v"), F.col("_sketch.cuts")
-    m = len(probs)
-    # a slack of 2/accuracy spans at least two ranks on either side beyond this size
-    inside = F.col("_sketch.rows") <= 2 * accuracy
-    for i in range(m):
-        inside = inside | v.between(F.element_at(cuts, i + 1), F.element_at(cuts, m + i + 1))
-    # even regions lie between cut points, odd ones are the cut points themselves
-    region = F.size(F.filter(cuts, lambda c: c < v)) * 2 + F.array_contains(cuts, v).cast("int")
-    counted = marked.groupBy(
-        *by, region.alias("_region"), F.when(inside | F.array_contains(cuts, v), v).alias("_at")
-    ).agg(F.count(F.lit(1)).alias("_c"))
-
-    group = Window.partitionBy(*by)
-    upto = group.orderBy("_region", "_at")
-    ranked = counted.withColumn("n", F.sum("_c").over(group)).withColumn(
-        "_end", F.sum("_c").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    group = [f"_by_{c}" for c in by]
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *[F.col(c).alias(g) for c, g in zip(by, group)], _order_key(F.col(value).cast("double")).alias("_key")
     )
-    begin = F.col("_end") - F.col("_c")
-    hits = ranked.select(
-        *by,
-        "n",
-        F.when(F.col("_at").isNull(), F.raise_error(F.lit("quantile rank outside its sketch interval")))
-        .otherwise(F.col("_at"))
-        .alias("_at"),
-        F.explode(
-            F.filter(_wanted_ranks(F.col("n"), probs), lambda k: (k >= begin) & (k < F.col("_end")))
-        ).alias("_rank"),
+
+    def digit(level: int) -> Column:
+        shift = 64 - DIGIT_BITS * (level + 1)
+        return F.shiftrightunsigned("_key", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+
+    first = rows.groupBy(*group, digit(0).alias("_digit")).agg(F.count(F.lit(1)).alias("_c"))
+    first = first.withColumn("n", F.sum("_c").over(Window.partitionBy(*group))).withColumn(
+        "_prefix", F.lit(0).cast("bigint")
     )
+    ranks = F.transform(_wanted_ranks(F.col("n"), probs), lambda k: F.struct(k.alias("rank"), k.alias("at")))
+    hits = _ranks_within(first, group, ranks)
+    for level in range(1, LEVELS):
+        followed = hits.select(*[F.col(g).alias(f"{g}_") for g in group], "n", "_prefix", "_want")
+        condition = F.shiftrightunsigned("_key", 64 - DIGIT_BITS * level) == F.col("_prefix")
+        for g in group:
+            condition = condition & F.col(g).eqNullSafe(F.col(f"{g}_"))
+        counted = (
+            rows.join(followed, condition)
+            .groupBy(*group, "_prefix", digit(level).alias("_digit"))
+            .agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), F.first("_want").alias("_want"))
+        )
+        hits = _ranks_within(counted, group, F.col("_want"))
+
     # at most two entries per wanted quantile
-    found = hits.groupBy(*by, "n").agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_at"))).alias("_by_rank")
+    found = (
+        hits.select(*group, "n", _key_value(F.col("_prefix")).alias("_at"), F.explode("_want.rank").alias("_rank"))
+        .groupBy(*group, "n")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_at"))).alias("_by_rank"))
     )
     results = []
     for p in probs:
         position = (F.col("n") - 1).cast("double") * F.lit(float(p))
         low = F.element_at("_by_rank", F.floor(position).cast("bigint"))
         high = F.element_at("_by_rank", F.ceil(position).cast("bigint"))
-        results.append(low + (high - low) * (position - F.floor(position)))
-    return found.select(*by, "n", F.array(*results).alias("quantiles"))
+        part = position - F.floor(position)
+        results.append(F.when(part == 0, low).otherwise(low + (high - low) * part))
+    return found.select(*[F.col(g).alias(c) for c, g in zip(by, group)], "n", F.array(*results).alias("quantiles"))
 
 
 def exact_quantile(df: DataFrame, value: str, prob: float) -> Column:
