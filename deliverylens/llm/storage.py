@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +29,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's address, and its path there."""
     return fs.FileSystem.from_uri(uri)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of about ``size`` bytes of a text column, so
+    that a task works on little at a time however many rows a batch brings."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths) // size
+        edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+        for first, end in zip(edges[:-1], edges[1:], strict=True):
+            yield batch.slice(int(first), int(end - first))
+    pa.default_memory_pool().release_unused()

@@ -20,12 +20,14 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,21 +36,37 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from deliverylens.llm.remember import Remembered
-from deliverylens.llm.storage import fresh_folder, open_folder
+from deliverylens.llm.storage import fresh_folder, open_folder, small_batches
 
 MAGIC = b"BPT1"
 BLOCK_IDS = 65_536
-KEPT_CHUNKS = 250_000  # chunks of text whose ids a worker remembers
-SLICE_CHARS = 2_000_000  # of text held at once, whole texts
+KEPT_PIECES = 150_000  # pieces of text whose ids a worker remembers
+SLICE_CHARS = 4_000_000  # of text held at once, whole texts
 FILE_BYTES = 128 << 20  # of text in one file, about
 
-# texts with these are encoded as one piece
+# elsewhere than in texts with these, the tokenizer never joins what _PIECE tells apart:
+# a space stays with what follows it, of other white space the last character stands alone
 _WHOLE = re.compile("[\x1c-\x1f]")
-# elsewhere the tokenizer never joins what these tell apart: a space stays with what
-# follows it, of other white space the last character stands alone
 _PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # nor a run of letters with what follows it, if that is surely no letter
-_LETTERS = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\\x21-\\x40\\x5b-\\x60\\x7b-\\x7e].*)", re.S)
+_LETTERS = re.compile(
+    "( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\\x21-\\x40\\x5b-\\x60\\x7b-\\x7e].*)", re.S
+)
+# the same of a piece without its space, and a space that does not begin a piece, for RE2
+_LETTERS_AND_REST = (
+    r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+)(?P<rest>[\x{21}-\x{40}\x{5b}-\x{60}\x{7b}-\x{7e}](?s:.*))$"
+)
+_ODD_SPACE = (
+    r" (?:$|[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])|[\x{1c}-\x{1f}]"
+)
+
+
+def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values`` (of these sizes, one after the other) in the order of their
+    numbers, and the sizes in that order."""
+    lengths = sizes[numbers]
+    shift = (np.cumsum(sizes) - sizes)[numbers] - (np.cumsum(lengths) - lengths)
+    return values[np.arange(lengths.sum()) + np.repeat(shift, lengths)], lengths
 
 
 class PieceEncoder:
@@ -59,38 +77,64 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = Remembered(KEPT_CHUNKS)
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        self.known.update(zip(pieces, [array("I", e.ids).tobytes() for e in found], strict=True))
-
-    def _whole(self, text: str) -> bool:
-        return _WHOLE.search(text) is not None or any(s in text for s in self.special)
-
-    def encode_slice(self, texts: list[str]) -> list[bytes]:
+        self.odd = "|".join([_ODD_SPACE, *(re.escape(s) for s in self.special)])
+        self.known = Remembered(KEPT_PIECES)
+
+    def _parts(self, piece: str) -> tuple[str, ...]:
+        """What of a piece is encoded on its own."""
+        if _WHOLE.search(piece) is not None or any(s in piece for s in self.special):
+            return (piece,)
+        out: list[str] = []
+        for small in _PIECE.findall(piece):
+            cut = _LETTERS.fullmatch(small)
+            out += cut.groups() if cut else (small,)
+        return tuple(out)
+
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and how many each has."""
         known = self.known
-        cut = [[text] if self._whole(text) else _PIECE.findall(text) for text in texts]
-        new = known.missing(set().union(*cut))
-        parts = {m[0]: m.groups() for m in map(_LETTERS.fullmatch, new) if m}
-        self._learn(known.missing({*chain.from_iterable(parts.values()), *(p for p in new if p not in parts)}))
-        known.update((piece, known[a] + known[b]) for piece, (a, b) in parts.items())
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        new = known.missing(pieces)
+        parts = {p: self._parts(p) for p in new if not p[1:].isalpha()}
+        words = known.missing({p for p in new if p not in parts} | set(chain.from_iterable(parts.values())))
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        known.update(zip(words, [array("I", e.ids).tobytes() for e in found], strict=True))
+        known.update((p, b"".join(map(known.__getitem__, own))) for p, own in parts.items())
+        out = list(map(known.__getitem__, pieces))
         known.trim()
-        return out
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers; null as empty."""
-        held: list[str] = []
-        size = 0
-        for text in texts:
-            held.append(text or "")
-            size += len(held[-1])
-            if size >= SLICE_CHARS:
-                yield from self.encode_slice(held)
-                held, size = [], 0
-        if held:
-            yield from self.encode_slice(held)
+        return np.frombuffer(b"".join(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out)) // 4
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Pieces are told apart and numbered in bulk; only distinct words and what
+        stands behind them are looked at."""
+        if not texts:
+            return []
+        rows = pa.array(texts, pa.large_string())
+        # texts with odd spaces are one piece here, and cut up later
+        plain = pc.invert(pc.match_substring_regex(rows, self.odd)).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(rows.filter(pa.array(plain)), " ")
+        coded = cut.flatten().dictionary_encode()
+        parts = pc.extract_regex(coded.dictionary, _LETTERS_AND_REST)
+        word = pc.coalesce(pc.struct_field(parts, "word"), coded.dictionary).dictionary_encode()
+        rest = pc.coalesce(pc.struct_field(parts, "rest"), "").dictionary_encode()
+        words = [f" {w}" for w in word.dictionary.to_pylist()]
+        heads = [t.partition(" ")[0] if p else t for t, p in zip(texts, plain.tolist(), strict=True)]
+        values, sizes = self._ids_of(words + rest.dictionary.to_pylist() + heads)
+        # each distinct piece from its two parts, heads as they are
+        n_words, n_rests = len(words), len(rest.dictionary)
+        pairs = np.stack((word.indices.to_numpy(), n_words + rest.indices.to_numpy()), axis=1).astype(np.int64)
+        both = np.append(pairs.reshape(-1), n_words + n_rests + np.arange(len(heads)))
+        values, lengths = gather(values, sizes, both)
+        n_pieces = len(pairs)
+        sizes = np.append(lengths[: 2 * n_pieces].reshape(-1, 2).sum(axis=1), lengths[2 * n_pieces :])
+        # all pieces of all texts; no space stands before the first of a text
+        counts = np.ones(len(texts), np.int64)
+        counts[plain] = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        firsts = np.cumsum(counts) - counts
+        numbers = np.empty(counts.sum(), np.int64)
+        numbers[np.repeat(plain, counts)] = coded.indices.to_numpy()
+        numbers[firsts] = n_pieces + np.arange(len(texts))
+        ids, lengths = gather(values, sizes, numbers)
+        return np.split(ids, np.cumsum(lengths)[firsts[1:] - 1])
 
 
 @cache
@@ -202,6 +246,9 @@ WRITTEN = T.StructType(
         T.StructField("n_ids", T.LongType()),
     ]
 )
+WRITTEN_ARROW = pa.schema(
+    [("part", pa.int32()), ("file", pa.string()), ("bytes", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]
+)
 
 
 def write_token_files(
@@ -215,33 +262,33 @@ def write_token_files(
     the end id alone. An empty table writes no file. The driver holds one row a file.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # several files a core keep tasks short on small inputs, large inputs go by size
     n_files = max(1 + size // file_bytes, spark.sparkContext.defaultParallelism)
     ordered = rows.repartitionByRange(n_files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
         name = f"part-{uuid.uuid4().hex}.bpt"
         system, top = open_folder(folder)
         system.create_dir(top, recursive=True)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.uint32(end_id)
         with system.open_output_stream(f"{top}/{name}") as sink:
             writer = PlaneWriter(sink, unit)
-            for batch in batches:
-                ids = encoder.encode(batch["text"])
-                for doc_id, data in zip(batch["doc_id"], ids, strict=True):
-                    writer.add(None if pd.isna(doc_id) else int(doc_id), np.frombuffer(data + end, "<u4"))
+            for part in small_batches(batches, SLICE_CHARS):
+                ids = encoder.encode(part["text"].to_pylist())
+                for doc_id, own in zip(part["doc_id"].to_pylist(), ids, strict=True):
+                    writer.add(doc_id, np.append(own, end))
             writer.close()
             length = sink.tell()
-        part = TaskContext.get().partitionId()
         if writer.docs:
-            yield pd.DataFrame([(part, name, length, len(writer.docs), writer.n_ids)], columns=WRITTEN.names)
+            row = (TaskContext.get().partitionId(), name, length, len(writer.docs), writer.n_ids)
+            yield pa.RecordBatch.from_pylist([dict(zip(WRITTEN.names, row, strict=True))], WRITTEN_ARROW)
         else:
             system.delete_file(f"{top}/{name}")
 
-    done = sorted(tuple(r) for r in ordered.mapInPandas(write, WRITTEN).collect())
+    done = sorted(tuple(r) for r in ordered.mapInArrow(write, WRITTEN).collect())
     before = accumulate((n for *_, n in done), initial=0)
     manifest = spark.createDataFrame(
         [(k, *row[1:], first) for k, (row, first) in enumerate(zip(done, before, strict=False))],
