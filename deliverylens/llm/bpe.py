@@ -15,23 +15,24 @@ from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from deliverylens.llm.remember import Remembered
+from deliverylens.llm.storage import small_batches
 
 # Fixed value: how the word vocabulary's tokenizer cuts a normalised text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
-KEPT_WORDS = 250_000  # chunks, and pairs of tokens, that a worker remembers
+KEPT_WORDS = 100_000  # chunks, and pairs of tokens, that a worker remembers
 
 # texts of other characters are normalised and cut by the tokenizer's own code
 _PLAIN = regex.compile("[\\t-\\r\\x20-\\x7e\\u00a0-\\u012f\\u0132-\\u024f\\u2010-\\u2027]*")
-SLICE_CHARS = 2_000_000  # of text whose words are held at once, whole texts
+SLICE_CHARS = 1_000_000  # of text whose words are held at once, whole texts
 
 
 @cache
@@ -197,33 +198,39 @@ def encoder_of(path: str) -> TrieEncoder:
     return TrieEncoder(path)
 
 
-ENCODED = T.StructType(
-    [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-)
-
-
-def encode_and_decode(text: Column, path: str) -> Column:
-    """A struct of each text's ids and the text that they decode to. ``path`` names a
-    tokenizers file that every machine has."""
-
-    @F.pandas_udf(ENCODED)
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_of(path)
-        for texts in batches:
-            ids = list(encoder.encode(texts))
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [encoder.decode(i.tolist()) for i in ids]})
-
-    return encoded(text)
-
-
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids and decoded for every row of ``docs``.
 
-    Null and empty texts have no ids and decode to an empty text. Special tokens that
-    stand in a text are encoded as such. Repeated rows and null ids stay, other
-    columns are not read, an empty table gives an empty result.
+    ``path`` names a tokenizers file that every machine has. Null and empty texts have
+    no ids and decode to an empty text. Special tokens that stand in a text are encoded
+    as such. Repeated rows and null ids stay, other columns are not read, an empty
+    table gives an empty result. A task holds a slice of its texts at a time.
     """
-    return docs.select("doc_id", encode_and_decode(F.col("text"), path).alias("e")).select("doc_id", "e.*")
+    rows = docs.select("doc_id", "text")
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", rows.schema["doc_id"].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
+    )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(path)
+        for part in small_batches(batches, SLICE_CHARS):
+            ids = list(encoder.encode(part["text"].to_pylist()))
+            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            values = np.concatenate([*ids, np.empty(0, np.int32)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part["doc_id"],
+                    pa.ListArray.from_arrays(offsets, values),
+                    pa.array([encoder.decode(i.tolist()) for i in ids], pa.string()),
+                ],
+                names=schema.names,
+            )
+
+    return rows.mapInArrow(encode, schema)
 
 
 def digest_encoded(encoded: DataFrame) -> DataFrame:
