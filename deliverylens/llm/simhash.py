@@ -126,7 +126,9 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     ``TILE``; each pair of tiles is one comparison, so that no comparison holds more
     than two tiles however crowded a variant is.
     """
-    keyed = variants(prints)
+    # each fingerprint becomes many rows, so they are dealt out before that
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = variants(prints.select("fp").repartition(tasks, "fp"))
     # a variant with one fingerprint has nothing to compare
     crowd = keyed.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = keyed.join(crowd, "variant").select(
