@@ -70,12 +70,44 @@ def validate(tool: Column, arguments: Column, schemas: dict[str, tuple[Field, ..
     return errors
 
 
+def _chains(single: DataFrame, n: int) -> DataFrame:
+    """(conv_id, call_id, up, far) for calls with one need each: the first call up the
+    chain that is no such call, and how far it is. Each round doubles the length of
+    what is skipped, so rounds follow the logarithm of the longest chain. Calls on a
+    ring, or behind one, are left out."""
+    inner = single.select("conv_id", F.col("call_id").alias("up"), F.lit(True).alias("inner"))
+    steps = written(
+        single.join(inner, ["conv_id", "up"], "left").select(
+            *KEY, "up", F.lit(1).cast("long").alias("far"), F.col("inner").isNull().alias("done")
+        ),
+        "chains",
+    )
+    reach = 1
+    while reach <= n and not steps.where("not done").isEmpty():
+        ahead = steps.select(
+            "conv_id",
+            F.col("call_id").alias("up"),
+            F.col("up").alias("next"),
+            F.col("far").alias("more"),
+            F.col("done").alias("ended"),
+        )
+        moved = (
+            steps.where("not done")
+            .join(ahead, ["conv_id", "up"])
+            .select(*KEY, F.col("next").alias("up"), (F.col("far") + F.col("more")).alias("far"), F.col("ended").alias("done"))
+        )
+        steps = written(steps.where("done").unionAll(moved), "chains")
+        reach *= 2
+    return steps.where("done").drop("done")
+
+
 def topological_levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of calls: 0 for those that need no other call, else one
     more than the highest level they need. Calls on a cycle, or behind one, are left out.
 
-    Needs that name no call of the conversation count for nothing. One round takes away
-    one level; rounds follow the longest chain, not the number of calls. Each round is
+    Needs that name no call of the conversation count for nothing. Chains of calls with
+    one need each are skipped in steps that double; what is left, calls with several
+    needs, goes in rounds, one for each such call on the longest path. Each round is
     written to the shared folder, and nothing but counts comes to the driver.
     """
     nodes = written(calls.select(*KEY).where("conv_id is not null and call_id is not null").distinct(), "calls")
@@ -86,18 +118,47 @@ def topological_levels(calls: DataFrame) -> DataFrame:
         .join(nodes.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi"),
         "needs",
     )
-    placed = written(nodes.join(edges, KEY, "left_anti"), "level")
-    levels = [placed.withColumn("level", F.lit(0).cast("long"))]
-    while not placed.isEmpty() and not edges.isEmpty():
-        gone = placed.select("conv_id", F.col("call_id").alias("need"))
-        rest = written(edges.join(gone, ["conv_id", "need"], "left_anti"), "needs")
-        placed = written(edges.select(*KEY).distinct().join(rest, KEY, "left_anti"), "level")
-        levels.append(placed.withColumn("level", F.lit(len(levels)).cast("long")))
-        edges = rest
-    out = levels[0]
+    needed = written(edges.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("up")), "needed")
+    chains = _chains(written(needed.where("n = 1").select(*KEY, "up"), "single"), nodes.count())
+    placed = written(nodes.join(needed, KEY, "left_anti").withColumn("level", F.lit(0).cast("long")), "level")
+    # calls with several needs, each need as the end of its chain
+    several = edges.join(needed.where("n > 1").select(*KEY), KEY, "left_semi")
+    over = chains.select("conv_id", F.col("call_id").alias("need"), "up", "far")
+    open_ = written(
+        several.join(over, ["conv_id", "need"], "left").select(
+            *KEY,
+            F.coalesce("up", "need").alias("need"),
+            (1 + F.coalesce("far", F.lit(0))).alias("far"),
+            F.lit(None).cast("long").alias("at"),
+        ),
+        "open",
+    )
+    levels, last = [placed], placed
+    while not last.isEmpty() and not open_.isEmpty():
+        below = last.select("conv_id", F.col("call_id").alias("need"), "level")
+        reached = written(
+            open_.join(below, ["conv_id", "need"], "left").select(
+                *KEY, "need", "far", F.coalesce("at", F.col("level") + F.col("far")).alias("at")
+            ),
+            "open",
+        )
+        last = written(
+            reached.groupBy(*KEY)
+            .agg(F.every(F.col("at").isNotNull()).alias("ready"), F.max("at").alias("level"))
+            .where("ready")
+            .drop("ready"),
+            "level",
+        )
+        levels.append(last)
+        open_ = written(reached.join(last, KEY, "left_anti"), "open")
+    ends = levels[0]
     for level in levels[1:]:
-        out = out.unionAll(level)
-    return out
+        ends = ends.unionAll(level)
+    ends = written(ends, "ends")
+    tops = ends.select("conv_id", F.col("call_id").alias("up"), "level")
+    return ends.unionAll(
+        chains.join(tops, ["conv_id", "up"]).select(*KEY, (F.col("level") + F.col("far")).alias("level"))
+    )
 
 
 def link_tools(calls: DataFrame, results: DataFrame, schemas: dict[str, tuple[Field, ...]]) -> DataFrame:

@@ -261,6 +261,10 @@ def test_levels(spark):
     rng = random.Random(9)
     calls = [(c, f"c{k}", [f"c{rng.randrange(12)}" for _ in range(rng.choice([0, 0, 1, 2]))]) for c in range(8) for k in range(10)]
     calls += [(1, "c3", ["c4"]), (9, "self", ["self"]), (9, "behind", ["self"]), (9, "free", None)]
+    # a long chain, with a fork and a ring of single needs
+    calls += [(10, f"k{k}", [f"k{k - 1}"] if k else []) for k in range(70)]
+    calls += [(10, "fork", ["k50", "k9"]), (10, "after", ["fork"]), (10, "join", ["after", "k69", "k69"])]
+    calls += [(11, f"r{k}", [f"r{(k + 1) % 5}"]) for k in range(5)] + [(11, "tail", ["r0"]), (11, "two", ["tail", "lone"]), (11, "lone", [])]
     df = spark.createDataFrame(calls, "conv_id long, call_id string, needs array<string>")
     found = {(r.conv_id, r.call_id): r.level for r in toolcalls.topological_levels(df).collect()}
     assert found == plain_levels(calls)
