@@ -19,14 +19,10 @@ class Remembered(dict):
 
     def missing(self, keys: Iterable) -> list:
         """Those of the keys that neither generation has; the others are at hand afterwards."""
-        older, out = self.older, []
-        for key in keys:
-            if key not in self:
-                if key in older:
-                    self[key] = older[key]
-                else:
-                    out.append(key)
-        return out
+        absent = [key for key in keys if key not in self]
+        older = self.older
+        self.update((key, older[key]) for key in absent if key in older)
+        return [key for key in absent if key not in older]
 
     def trim(self) -> None:
         """Drop the older generation if the newer one is full."""

@@ -42,7 +42,7 @@ MAGIC = b"BPT1"
 BLOCK_IDS = 65_536
 KEPT_PIECES = 150_000  # pieces of text whose ids a worker remembers
 SLICE_CHARS = 4_000_000  # of text held at once, whole texts
-FILE_BYTES = 128 << 20  # of text in one file, about
+FILE_BYTES = 64 << 20  # of text in one file, about
 
 # elsewhere than in texts with these, the tokenizer never joins what _PIECE tells apart:
 # a space stays with what follows it, of other white space the last character stands alone
@@ -65,8 +65,11 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
     """Runs of ``values`` (of these sizes, one after the other) in the order of their
     numbers, and the sizes in that order."""
     lengths = sizes[numbers]
+    # what a slice of texts holds is far below 2^31
     shift = (np.cumsum(sizes) - sizes)[numbers] - (np.cumsum(lengths) - lengths)
-    return values[np.arange(lengths.sum()) + np.repeat(shift, lengths)], lengths
+    places = np.repeat(shift.astype(np.int32), lengths)
+    places += np.arange(len(places), dtype=np.int32)
+    return values[places], lengths
 
 
 class PieceEncoder:
