@@ -4,26 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deliverylens.schema import TABLES, TableSpec
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with header, every column as text. Columns are named by the header."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+# quotes within a value are doubled, as other tools read and write them
+QUOTING = {"quote": '"', "escape": '"'}
+# exports keep all six places of a second
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV with header, every column as text. Columns are named by the header.
+
+    ``multi_line`` also reads values with line breaks; each file is then one task, since
+    a file cannot be split where a break may stand within a value.
+    """
+    reader = spark.read.options(**QUOTING).option("header", True).option("inferSchema", False)
+    return reader.option("multiLine", multi_line).csv(path)
+
+
+def _whole_number(column: Column, f) -> Column:
+    """Whole numbers, also when written with a fraction of zero ("120.0"); any other
+    fraction is unreadable."""
+    value = column.try_cast("double")
+    whole = F.when(value == F.floor(value), value.try_cast(f.type))
+    exact = column.try_cast(f.type)
+    return F.coalesce(exact, whole) if f.lenient else F.coalesce(exact, whole, column.cast(f.type))
 
 
 def typed_columns(spec: TableSpec, processed: bool) -> list[Column]:
     """The table's columns by name. Strict ones fail on unreadable text, lenient ones become NULL."""
-    return [
-        (F.col(f.name).try_cast(f.type) if f.lenient else F.col(f.name).cast(f.type)).alias(f.name)
-        for f in spec.columns(processed)
-    ]
+    columns = []
+    for f in spec.columns(processed):
+        text = F.col(f.name)
+        if f.type in ("int", "bigint"):
+            value = _whole_number(text, f)
+        else:
+            value = text.try_cast(f.type) if f.lenient else text.cast(f.type)
+        columns.append(value.alias(f.name))
+    return columns
 
 
 def read_csv_table(
-    spark: SparkSession, path: str, table: str, processed: bool = False, with_arrival: bool = False
+    spark: SparkSession,
+    path: str,
+    table: str,
+    processed: bool = False,
+    with_arrival: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One table from CSV. ``with_arrival`` adds the file order of the rows for keep-first rules."""
     columns = typed_columns(TABLES[table], processed)
@@ -36,7 +67,7 @@ def read_csv_table(
                 F.monotonically_increasing_id().alias("line"),
             ).alias("arrival")
         )
-    return read_csv_text(spark, path).select(*columns)
+    return read_csv_text(spark, path, multi_line).select(*columns)
 
 
 def read_csv_set(spark: SparkSession, folder: str, names=None, processed: bool = False) -> dict[str, DataFrame]:
@@ -48,7 +79,9 @@ def read_csv_set(spark: SparkSession, folder: str, names=None, processed: bool =
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header and doubled quotes. Values with line breaks need ``multi_line`` when
+    read; Parquet keeps every value and stays splittable."""
+    df.write.mode("overwrite").options(**QUOTING, **EXACT_TIMES).option("header", True).csv(path)
 
 
 def write_parquet_set(tables: Mapping[str, DataFrame], folder: str) -> None:
@@ -60,6 +93,18 @@ def read_parquet_set(spark: SparkSession, folder: str, names) -> dict[str, DataF
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 
+def tables_in(spark: SparkSession, folder: str, names) -> dict[str, DataFrame]:
+    """Those of the named Parquet tables that a folder holds."""
+    found = {}
+    for name in names:
+        try:
+            found[name] = spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return found
+
+
 def append_tables(tables: Mapping[str, DataFrame], database: str) -> None:
     """Append every table to the catalog; columns are matched by name."""
     spark = next(iter(tables.values())).sparkSession
@@ -81,5 +126,5 @@ def write_report(sheets: Mapping[str, DataFrame], folder: str, fmt: str = "csv")
     for name, df in sheets.items():
         writer = df.write.mode("overwrite")
         if fmt == "csv":
-            writer = writer.option("header", True)
+            writer = writer.options(**QUOTING, **EXACT_TIMES).option("header", True)
         writer.format(fmt).save(f"{folder}/{name}")

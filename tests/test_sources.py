@@ -29,6 +29,31 @@ def test_fractional_text_in_line_counts_survives(spark, tmp_path):
     assert io.read_csv_table(spark, p, "commits").first().lines_added == 50.0
 
 
+def test_quotes_and_line_breaks(spark, tmp_path):
+    text = 'team_id,team_name,department,formed_date\nT1,"Core ""A"", infra","a\nb",2023-02-01\n'
+    p = write(tmp_path / "teams.csv", text)
+    row = io.read_csv_table(spark, p, "teams", multi_line=True).first()
+    assert (row.team_name, row.department) == ('Core "A", infra', "a\nb")
+    df = spark.createDataFrame([("T1", 'x "y", z\\', "line\nbreak"), ("T2", "plain", "")], "team_id string, team_name string, department string")
+    io.write_csv_table(df, str(tmp_path / "out.csv"))
+    back = io.read_csv_text(spark, str(tmp_path / "out.csv"), multi_line=True)
+    assert {r.team_id: (r.team_name, r.department or "") for r in back.collect()} == {
+        "T1": ('x "y", z\\', "line\nbreak"),
+        "T2": ("plain", ""),
+    }
+
+
+def test_whole_numbers_with_a_fraction_of_zero(spark, tmp_path):
+    names = [f.name for f in TABLES["pull_requests"].columns(False)]
+    values = {"pull_request_id": "P1", "opened_date": "2024-01-01 00:00:00", "pr_size_lines": "120.0"}
+    p = write(tmp_path / "pull_requests.csv", ",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n")
+    assert io.read_csv_table(spark, p, "pull_requests").first().pr_size_lines == 120
+    values["pr_size_lines"] = "120.5"
+    bad = write(tmp_path / "bad.csv", ",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        io.read_csv_table(spark, bad, "pull_requests").collect()
+
+
 def test_lenient_and_strict_columns(spark, tmp_path):
     head = (
         "release_id,project_id,team_id,sprint_id,planned_release_date,actual_release_date,"
