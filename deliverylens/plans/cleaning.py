@@ -119,10 +119,6 @@ CLEANERS = {
 }
 
 
-def clean_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: cleaner(raw[name]) for name, cleaner in CLEANERS.items()}
-
-
 def _counters(df: DataFrame, table: str, metrics: dict) -> DataFrame:
     """One pass over a table, one output row per counter."""
     row = df.agg(*[c.cast("double").alias(n) for n, c in metrics.items()])
@@ -138,43 +134,43 @@ def _counters(df: DataFrame, table: str, metrics: dict) -> DataFrame:
     )
 
 
-def cleaning_audit(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """What cleaning changed: table_name, metric, value.
+def cleaning_audit(raw: Mapping[str, DataFrame], cleaned: Mapping[str, DataFrame]) -> DataFrame:
+    """What a cleaning run changed: table_name, metric, value.
 
-    ``status_fixes`` counts labels that really change. ``status_fixes_naive``
-    also counts every clean "Won't Fix" and missing label, as a comparison with
-    plain title case would.
+    Counters of what went in come from the raw tables, those of what came out from the
+    cleaned tables of the same run; only label and hour changes, which show in neither
+    alone, meet by key. ``status_fixes`` counts labels that really change.
+    ``status_fixes_naive`` also counts every clean "Won't Fix" and missing label, as a
+    comparison with plain title case would.
     """
     rows, status = count_rows(), F.col("status")
-    first_issues = materialized(_first_arrivals(raw["issues"], "issue_id", "arrival"), "first-issues")
+    # which raw copy was kept is what de-duplication decides, so its narrow part runs here
+    columns = ["issue_id", "status", "resolution_time_hours", "severity"]
+    first = _first_arrivals(raw["issues"], "issue_id", "arrival").select(*columns)
     hours = F.col("resolution_time_hours").cast("double")
-    cap = outlier_cap(first_issues)
+    # the cap is the largest value left
+    cap = cleaned["issues"].agg(F.max("resolution_time_hours")).scalar()
     plain_title = F.when(tidy_label(status) == "Won't Fix", "Won'T Fix").otherwise(tidy_label(status))
+    commits = _first_arrivals(raw["commits"], "commit_id", "arrival").select("lines_added")
     parts = [
         _counters(raw["developers"], "developers", {"rows_in": rows}),
-        _counters(
-            _first_arrivals(raw["developers"], "developer_id", "arrival"), "developers", {"rows_out": rows}
-        ),
+        _counters(cleaned["developers"], "developers", {"rows_out": rows}),
         _counters(raw["sprints"], "sprints", {"rows_in": rows}),
         _counters(raw["issues"], "issues", {"rows_in": rows}),
         _counters(
-            first_issues,
+            first.withColumn("_cap", cap),
             "issues",
             {
                 "rows_out": rows,
                 "status_fixes": F.count_if(status != tidy_label(status)),
                 "status_fixes_naive": F.count_if(status.isNull() | (status != plain_title)),
-                "hours_capped": F.count_if(hours > cap),
-                "hours_cap": F.max(cap),
+                "hours_capped": F.count_if(hours > F.col("_cap")),
+                "hours_cap": F.max("_cap"),
                 "severity_missing": F.count_if(F.col("severity").isNull()),
             },
         ),
         _counters(raw["commits"], "commits", {"rows_in": rows}),
-        _counters(
-            _first_arrivals(raw["commits"], "commit_id", "arrival"),
-            "commits",
-            {"rows_out": rows, "negative_lines": F.count_if(F.col("lines_added") < 0)},
-        ),
+        _counters(commits, "commits", {"rows_out": rows, "negative_lines": F.count_if(F.col("lines_added") < 0)}),
         _counters(
             raw["pull_requests"],
             "pull_requests",

@@ -6,13 +6,12 @@ application, like a scheduled batch would leave them on shared storage.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.plans import cleaning, features, kpi, risk
-from deliverylens.session import staged
+from deliverylens.session import StageStore
 from deliverylens.sources.driver_tables import RAW_LOADERS
 
 
@@ -37,14 +36,15 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
 
 
 def delivery_tables(spark: SparkSession, raw: Mapping[str, DataFrame], label: str) -> Lazy:
-    """Cleaned, KPI, feature and model tables over a raw set, staged under ``label``."""
-
-    def clean(name):
-        return lambda: staged(spark, f"{label}/{name}", lambda: cleaning.CLEANERS[name](raw[name]))
-
-    builders: dict[str, Callable[[], DataFrame]] = {name: clean(name) for name in cleaning.CLEANERS}
-    tables = Lazy(builders)
-    derived = {
+    """Cleaned, KPI, feature and model tables over a raw set, and its cleaning audit.
+
+    Each call has stages of its own; ``label`` only names their folder.
+    """
+    store = StageStore(spark, label)
+    tables = Lazy({})
+    stages: dict[str, Callable[[], DataFrame]] = {
+        **{name: (lambda clean=clean, name=name: clean(raw[name])) for name, clean in cleaning.CLEANERS.items()},
+        "cleaning_audit": lambda: cleaning.cleaning_audit(raw, tables),
         "kpi_team_summary": lambda: kpi.team_kpis(tables),
         "kpi_project_health": lambda: kpi.project_health(tables),
         "kpi_developer_workload": lambda: kpi.developer_workload(tables),
@@ -52,14 +52,14 @@ def delivery_tables(spark: SparkSession, raw: Mapping[str, DataFrame], label: st
         "release_risk_scores": lambda: risk.risk_scores(tables),
         "release_delay_features": lambda: features.release_features(tables),
     }
-    for name, build in derived.items():
-        tables._builders[name] = lambda name=name, build=build: staged(spark, f"{label}/{name}", build)
+    for name, build in stages.items():
+        tables._builders[name] = lambda name=name, build=build: store.get(name, build)
     for name in ("model_comparison", "feature_importance"):
-        tables._builders[name] = lambda name=name: _model_table(spark, tables, label, name)
+        tables._builders[name] = lambda name=name: _model_table(store, tables, name)
     return tables
 
 
-def _model_table(spark: SparkSession, tables: Mapping[str, DataFrame], label: str, name: str) -> DataFrame:
+def _model_table(store: StageStore, tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     """The models are fitted once and leave both of their tables."""
     from deliverylens.plans.models import train_delay_models
 
@@ -68,13 +68,19 @@ def _model_table(spark: SparkSession, tables: Mapping[str, DataFrame], label: st
         outputs = {"model_comparison": fitted.comparison(), "feature_importance": fitted.importance()}
         for other, df in outputs.items():
             if other != name:
-                staged(spark, f"{label}/{other}", lambda df=df: df)
+                store.get(other, lambda df=df: df)
         return outputs[name]
 
-    return staged(spark, f"{label}/{name}", fit)
+    return store.get(name, fit)
+
+
+_samples: dict[tuple[str, str], Lazy] = {}
 
 
 def sample_tables(spark: SparkSession, sf_dir: str) -> Lazy:
-    """The pipeline over the delivery-shaped sample tables of a directory."""
-    label = "sample-" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-    return delivery_tables(spark, raw_tables(spark, sf_dir), label)
+    """The pipeline over the delivery-shaped sample tables of a directory, one set for
+    each directory and application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _samples:
+        _samples[key] = delivery_tables(spark, raw_tables(spark, sf_dir), "sample")
+    return _samples[key]

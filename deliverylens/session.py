@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -9,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
-_staged: dict[str, DataFrame] = {}
+_interim: list[str] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -42,23 +44,45 @@ def scratch_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="deliverylens-")
+        atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_local_scratch)
     return _local_scratch
 
 
-def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write a pipeline stage once per application and read it back.
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    The reader sees real file sizes, so the planner's broadcast decision rests
-    on measured bytes, and a lost executor only costs a re-read.
+
+class StageStore:
+    """Written stages of one table set, each built once.
+
+    Every store has a folder of its own, so sets never see each other's stages,
+    whatever they are called.
     """
-    path = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}/{name}"
-    if path not in _staged:
-        df = build()
-        df.write.mode("overwrite").parquet(path)
-        _staged[path] = spark.read.schema(df.schema).parquet(path)
-    return _staged[path]
+
+    def __init__(self, spark: SparkSession, label: str):
+        self._spark = spark
+        self._folder = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+        self._written: dict[str, DataFrame] = {}
+
+    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Write a stage on first use and read it back.
+
+        The reader sees real file sizes, so the planner's broadcast decision rests
+        on measured bytes, and a lost executor only costs a re-read. Interim
+        results of the stage are deleted once it is written.
+        """
+        if name not in self._written:
+            before = len(_interim)
+            df = build()
+            path = f"{self._folder}/{name}"
+            df.write.parquet(path)
+            self._written[name] = self._spark.read.schema(df.schema).parquet(path)
+            clear_interim(self._spark, before)
+        return self._written[name]
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
@@ -68,4 +92,12 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/interim/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _interim.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_interim(spark: SparkSession, since: int = 0) -> None:
+    """Delete intermediate results, all of them or those written after the first ``since``.
+    Frames that still read them can no longer be used."""
+    while len(_interim) > since:
+        remove_folder(spark, _interim.pop())
