@@ -6,29 +6,37 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from deliverylens.functions.scalars import in_order
 from deliverylens.operators.quantiles import exact_quantiles
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins over the column's range; the last bin is closed."""
+    """Equal-width bins over the column's range, empty ones with n = 0; the last bin is closed.
+
+    A column of one value has one bin of no width, a column of none has no bins.
+    """
     values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    span = values.select(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
-    v, low, width = F.col("_v"), F.col("_span.low"), (F.col("_span.high") - F.col("_span.low")) / bins
-    slot = F.when(width > 0, F.least(F.floor((v - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counted = (
-        values.withColumn("_span", span)
-        .groupBy(slot.cast("int").alias("bin"), low.alias("_low"), width.alias("_width"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    span = values.agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    width = (F.col("_high") - F.col("_low")) / bins
+    last = F.when(width > 0, bins - 1).otherwise(0)
+    edges = span.filter(F.col("_low").isNotNull()).select(
+        F.explode(F.sequence(F.lit(0), last)).alias("bin"), F.col("_low"), width.alias("_width")
     )
+    scalar = span.select(F.struct("_low", width.alias("_width"))).scalar()
+    v, low, step = F.col("_v"), F.col("_span._low"), F.col("_span._width")
+    slot = F.when(step > 0, F.least(F.floor((v - low) / step), F.lit(bins - 1))).otherwise(F.lit(0))
+    counted = values.withColumn("_span", scalar).groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edge = F.col("_low") + F.col("_width") * F.col("bin")
-    return counted.select("bin", edge.alias("bin_start"), (edge + F.col("_width")).alias("bin_end"), "n")
+    return edges.join(counted, "bin", "left").select(
+        "bin", edge.alias("bin_start"), (edge + F.col("_width")).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n")
+    )
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, domain) -> DataFrame:
-    """Row count per (rows, columns) with a fixed column domain and 0 for empty cells."""
+    """Row count per (rows, columns), 0 for empty cells: a column for each value of the
+    domain, and ``other`` for values outside it. NULL counts nowhere."""
     return df.groupBy(rows).agg(
-        *[F.count_if(F.col(columns) == value).alias(value.lower().replace(" ", "_")) for value in domain]
+        *[F.count_if(F.col(columns) == value).alias(value.lower().replace(" ", "_")) for value in domain],
+        F.count_if(~F.col(columns).isin(*domain)).alias("other"),
     )
 
 
@@ -93,10 +101,6 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def order_by_domain(df: DataFrame, column: str, domain) -> DataFrame:
-    return df.orderBy(in_order(column, domain))
-
-
 def profile(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
     """Column profile: count, unique, top, freq and numeric summary.
 

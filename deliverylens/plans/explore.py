@@ -204,10 +204,7 @@ def issue_profile(t: Tables) -> DataFrame:
             "priority",
             "severity",
             "status",
+            "created_date",
+            "resolved_date",
         ],
     )
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first rows a reader would look at; no order is implied."""
-    return df.limit(n)

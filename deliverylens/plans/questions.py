@@ -272,7 +272,7 @@ def deploys_per_week(t: Tables) -> DataFrame:
             t,
             t["deployments"],
             {"total_deployments": count_rows()},
-            keep={"min_ts": F.min("deployment_timestamp"), "max_ts": F.max("deployment_timestamp")},
+            keep={"min_ts": (F.min, "deployment_timestamp"), "max_ts": (F.max, "deployment_timestamp")},
         )
         .select(
             "project_name",
