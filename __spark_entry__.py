@@ -29,8 +29,9 @@ def _plain(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType):
-            # the same arithmetic as the SQL twins, so ties fall the same way
-            c = F.floor(c * 1e6 + 0.5) / 1e6
+            # the same arithmetic as the SQL twins, so ties fall the same way; values too
+            # large for six places, NaN and infinities stay as they are
+            c = F.when(F.abs(c) < 1e9, F.floor(c * 1e6 + 0.5) / 1e6).otherwise(c)
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
@@ -70,16 +71,24 @@ def _range_checks(t) -> DataFrame:
     score = F.col("project_health_score")
     return quality.violations(
         [
-            ("sprint completion rate within 0 and 1.21", t["sprints"], (rate < 0) | (rate > 1.21)),
-            ("no negative added lines", t["commits"], F.col("lines_added") < 0),
-            ("issue status in its domain", t["issues"], cleaning.status_domain_rule()),
-            ("project health within 0 and 100", t["kpi_project_health"], (score < 0) | (score > 100)),
+            quality.Rule("sprint completion rate within 0 and 1.21", t["sprints"], (rate < 0) | (rate > 1.21)),
+            quality.Rule("no negative added lines", t["commits"], F.col("lines_added") < 0, null_breaks=True),
+            quality.Rule("issue status in its domain", t["issues"], cleaning.status_domain_rule(), null_breaks=True),
+            quality.Rule(
+                "project health within 0 and 100", t["kpi_project_health"], (score < 0) | (score > 100), null_breaks=True
+            ),
         ]
     )
 
 
-def _output_presence(t) -> DataFrame:
-    return quality.row_counts(t, KPI_TABLES)
+def _output_presence(spark, sf_dir) -> DataFrame:
+    """Whether each expected output is in the folder that the KPI tables were written to,
+    with one name that is never written, so that an absent one shows."""
+    folder = f"{scratch_dir(spark)}/outputs-{uuid.uuid4().hex}"
+    t = sample_tables(spark, sf_dir)
+    tables_io.write_parquet_set({name: t[name] for name in KPI_TABLES}, folder)
+    found = tables_io.tables_in(spark, folder, [*KPI_TABLES, "weekly_report"])
+    return _plain(quality.output_presence(found, [*KPI_TABLES, "weekly_report"], spark))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -104,6 +113,15 @@ def _model_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             .groupBy("is_delayed")
             .agg(F.count(F.lit(1)).alias("releases"), F.max("weight").alias("weight"))
         ),
+        "ml_metrics_rule": _on_tables(
+            lambda t: models.held_out_scores(
+                t["release_delay_features"].select(
+                    "is_delayed",
+                    F.round("historical_delay_rate", 6).alias("score"),
+                    (F.col("open_bugs") > 3).cast("int").alias("prediction"),
+                )
+            )
+        ),
         "ml_model_comparison": _on_tables(lambda t: t["model_comparison"]),
         "ml_best_model": _on_tables(
             lambda t: t["model_comparison"].orderBy(F.desc("f1_score"), "model").limit(1)
@@ -119,9 +137,13 @@ def _csv_round_trip(table: str):
     def run(spark, sf_dir):
         folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
         raw = raw_tables(spark, sf_dir)[table]
+        ordered = "arrival" in raw.columns
+        # lines in order of arrival, which the reader takes from their places
+        rows = raw.orderBy("arrival") if ordered else raw
         # the exported column order differs from the table's, so only names can bind
-        tables_io.write_csv_table(raw.select(*sorted(raw.columns)), f"{folder}/{table}.csv")
-        back = tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table)
+        names = sorted(c for c in raw.columns if c != "arrival")
+        tables_io.write_csv_table(rows.select(*names), f"{folder}/{table}.csv")
+        back = tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table, with_arrival=ordered)
         return _plain(cleaning.CLEANERS[table](back))
 
     return run
@@ -157,13 +179,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # cleaning and data quality
         **{f"clean_{name}": _cleaned(name) for name in table_names},
-        "clean_audit": _on_raw(cleaning.cleaning_audit),
+        "clean_audit": _on_tables(lambda t: t["cleaning_audit"]),
         "validate_fk": _on_tables(lambda t: quality.validate_references(t, CORE_REFERENCES)),
         "validate_fk_all": _on_tables(lambda t: quality.validate_references(t, ALL_REFERENCES)),
         "pk_check": _on_tables(lambda t: quality.primary_key_checks(t, table_names)),
         "pk_check_raw": _on_raw(lambda raw: quality.primary_key_checks(raw, table_names)),
         "range_checks": _on_tables(_range_checks),
-        "output_presence": _on_tables(_output_presence),
+        "output_presence": _output_presence,
         "table_counts": _on_tables(lambda t: quality.row_counts(t, table_names)),
         # question pack
         "q01_team_completion": _on_tables(q.team_completion),
@@ -287,9 +309,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ex_risk_long": _unfiltered(lambda t, f: d.risk_breakdown(f)),
         "ex_risk_detail": _filtered(lambda t, f: d.risk_detail(f)),
         # sources, sinks and views
-        "io_csv_sprints": _csv_round_trip("sprints"),
-        "io_csv_releases": _csv_round_trip("releases"),
-        "io_csv_pull_requests": _csv_round_trip("pull_requests"),
+        **{f"io_csv_{name}": _csv_round_trip(name) for name in table_names},
         "io_team_view": _team_view,
         # models
         **_model_queries(),

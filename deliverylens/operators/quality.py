@@ -3,31 +3,49 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deliverylens.schema import TABLES
 
 
-def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_key: str, label: str) -> DataFrame:
-    """Child rows whose reference is missing or NULL.
+def orphan_counts(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Child rows whose reference is missing or NULL, per column: column_name, orphans.
 
-    References are counted per value first, so the anti join sees every value once.
+    The child is read once for all of its references; each value is counted before it
+    is looked up, so the anti joins see it once however many rows carry it.
     """
-    used = child.groupBy(F.col(column).alias("_ref")).agg(F.count(F.lit(1)).alias("_rows"))
-    lost = used.join(parent.select(F.col(parent_key).alias("_ref")), "_ref", "left_anti")
-    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphans")).select(
-        F.lit(label).alias("reference"), "orphans"
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_ref")) for c in parents]
+    used = (
+        child.select(F.inline(F.array(*cells)))
+        .groupBy("column_name", "_ref")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
+    known = None
+    for column, (parent, key) in parents.items():
+        keys = parent.select(F.lit(column).alias("column_name"), F.col(key).cast("string").alias("_ref"))
+        known = keys if known is None else known.unionAll(keys)
+    lost = used.join(known, ["column_name", "_ref"], "left_anti")
+    return lost.groupBy("column_name").agg(F.sum("_rows").cast("bigint").alias("orphans"))
 
 
 def validate_references(tables: Mapping[str, DataFrame], references) -> DataFrame:
-    """One row per reference: label, orphans, status."""
-    checks = None
+    """One row per reference: reference, orphans, status."""
+    columns: dict[str, list[str]] = {}
     for child, column in references:
-        parent = TABLES[child].references[column]
-        check = orphan_counts(
-            tables[child], column, tables[parent], TABLES[parent].primary_key, f"{child}.{column} -> {parent}"
+        columns.setdefault(child, []).append(column)
+    checks = None
+    for child, names in columns.items():
+        spec = TABLES[child]
+        parents = {c: (tables[spec.references[c]], TABLES[spec.references[c]].primary_key) for c in names}
+        named = [
+            F.struct(F.lit(c).alias("column_name"), F.lit(f"{child}.{c} -> {spec.references[c]}").alias("reference"))
+            for c in names
+        ]
+        all_names = tables[child].sparkSession.range(1).select(F.inline(F.array(*named)))
+        check = all_names.join(orphan_counts(tables[child], parents), "column_name", "left").select(
+            "reference", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans")
         )
         checks = check if checks is None else checks.unionAll(check)
     return checks.withColumn("status", F.when(F.col("orphans") == 0, "OK").otherwise("FAIL"))
@@ -54,11 +72,22 @@ def primary_key_checks(tables: Mapping[str, DataFrame], names) -> DataFrame:
     return checks
 
 
-def violations(checks: list[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """Rows breaking each rule: rule, violations. An unknown condition is no violation."""
+@dataclass(frozen=True)
+class Rule:
+    """A condition that marks broken rows; ``null_breaks`` says whether an unknown one does."""
+
+    name: str
+    rows: DataFrame
+    broken: Column
+    null_breaks: bool = False
+
+
+def violations(rules: list[Rule]) -> DataFrame:
+    """Rows breaking each rule: rule, violations."""
     result = None
-    for rule, df, broken in checks:
-        row = df.agg(F.count_if(broken).alias("violations")).select(F.lit(rule).alias("rule"), "violations")
+    for r in rules:
+        broken = F.coalesce(r.broken, F.lit(r.null_breaks))
+        row = r.rows.agg(F.count_if(broken).alias("violations")).select(F.lit(r.name).alias("rule"), "violations")
         result = row if result is None else result.unionAll(row)
     return result
 
@@ -71,7 +100,14 @@ def row_counts(tables: Mapping[str, DataFrame], names) -> DataFrame:
     return result
 
 
-def missing_outputs(available, expected) -> list[str]:
-    """Expected table names that are absent."""
-    present = set(available)
-    return [name for name in expected if name not in present]
+def output_presence(found: Mapping[str, DataFrame], expected, spark: SparkSession) -> DataFrame:
+    """One row per expected table: table_name, present, row_count (0 where absent)."""
+    result = None
+    for name in expected:
+        if name in found:
+            row = found[name].agg(F.count(F.lit(1)).alias("row_count"))
+        else:
+            row = spark.range(1).select(F.lit(0).cast("bigint").alias("row_count"))
+        row = row.select(F.lit(name).alias("table_name"), F.lit(name in found).alias("present"), "row_count")
+        result = row if result is None else result.unionAll(row)
+    return result

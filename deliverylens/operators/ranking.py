@@ -92,7 +92,7 @@ def above_mean_plus_sigma(df: DataFrame, column: str, sigmas: float = 1.0) -> Da
 def halves_by_date(df: DataFrame, group: str, date: str, tiebreak: str, value: str) -> DataFrame:
     """Mean of ``value`` in the earlier and later half of each group's rows.
 
-    Rows are first reduced per (group, date); only the date on which a group
+    Rows without a date come first. Rows are first reduced per (group, date); only the date on which a group
     passes its midpoint is looked at row by row.
     """
     v = F.col(value).cast("double")
@@ -110,9 +110,11 @@ def halves_by_date(df: DataFrame, group: str, date: str, tiebreak: str, value: s
         group, (F.col("_before") + F.col("_c") <= F.col("_half")).alias("_early"), "_n", "_s"
     )
     split_days = placed.filter(passes_midpoint).select(group, date, (F.col("_half") - F.col("_before")).alias("_take"))
+    split_days = split_days.select(F.col(group).alias("_group"), F.col(date).alias("_date"), "_take")
+    on_split_day = F.col(group).eqNullSafe(F.col("_group")) & F.col(date).eqNullSafe(F.col("_date"))
     nth = F.row_number().over(Window.partitionBy(group, date).orderBy(tiebreak))
     split = (
-        df.join(split_days, [group, date])
+        df.join(split_days, on_split_day)
         .select(group, (nth <= F.col("_take")).alias("_early"), v.alias("_v"))
         .groupBy(group, "_early")
         .agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))

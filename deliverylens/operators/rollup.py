@@ -6,17 +6,9 @@ partial sums absorb hot keys, and the joins only ever move reduced rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def partial_sums(fact: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
-    return fact.groupBy(*keys).agg(*[measure.alias(name) for name, measure in measures.items()])
-
+from collections.abc import Callable
 
-def resum(df: DataFrame, keys: list, names, keep: dict[str, Column] | None = None) -> DataFrame:
-    """Add partial sums up again over coarser keys."""
-    kept = [c.alias(n) for n, c in (keep or {}).items()]
-    return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names], *kept)
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def rollup_via(
@@ -26,22 +18,22 @@ def rollup_via(
     to: list[str],
     measures: dict[str, Column],
     how: str = "inner",
-    keep: dict[str, Column] | None = None,
+    keep: dict[str, tuple[Callable[[Column], Column], str]] | None = None,
 ) -> DataFrame:
     """Sum ``measures`` per ``key``, look the key up in ``dim``, sum again per ``to``.
 
     Measures must be additive (counts and sums); ratios are taken afterwards.
-    ``keep`` carries non-additive partials such as min and max.
+    ``keep`` carries other partials as (function, column); the function must combine its
+    own results, as min and max do.
     """
     kept = keep or {}
     per_key = fact.groupBy(key).agg(
-        *[m.alias(n) for n, m in measures.items()], *[k.alias(n) for n, k in kept.items()]
+        *[m.alias(n) for n, m in measures.items()], *[f(F.col(c)).alias(n) for n, (f, c) in kept.items()]
     )
     joined = per_key.join(dim, key, how)
-    combine = {"min": F.min, "max": F.max}
     return joined.groupBy(*to).agg(
         *[F.sum(n).alias(n) for n in measures],
-        *[combine[n.split("_")[0]](n).alias(n) for n in kept],
+        *[f(F.col(n)).alias(n) for n, (f, _) in kept.items()],
     )
 
 
@@ -53,10 +45,6 @@ def align_on_key(frames: list[DataFrame], key: str) -> DataFrame:
     return merged.groupBy(key).agg(*[F.max(c).alias(c) for c in merged.columns if c != key])
 
 
-def look_up(df: DataFrame, dim: DataFrame, key: str, columns: list[str], how: str = "inner") -> DataFrame:
-    return df.join(dim.select(key, *columns), key, how)
-
-
 def left_star(base: DataFrame, frames: list[DataFrame], key: str) -> DataFrame:
     """Left-join several key-unique frames onto a base."""
     return base.join(align_on_key(frames, key), key, "left")

@@ -19,7 +19,7 @@ METRICS = (
 
 def _r(*columns: str) -> str:
     """Each column rounded to six places under its own name."""
-    return ", ".join(f"floor({c}::DOUBLE * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS {c}" for c in columns)
+    return ", ".join(f"CASE WHEN abs({c}::DOUBLE) < 1e9 THEN floor({c}::DOUBLE * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE ELSE {c}::DOUBLE END AS {c}" for c in columns)
 
 
 def _box(source: str, value: str, key: str) -> str:
@@ -32,11 +32,12 @@ def _box(source: str, value: str, key: str) -> str:
 
 def _histogram(source: str, value: str, bins: int) -> str:
     return f"""
-        SELECT bin, round(lo + w * bin, 6) AS bin_start, round(lo + w * (bin + 1), 6) AS bin_end, count(*) AS n
-        FROM (SELECT lo, w, CAST(least(floor(({value} - lo) / w), {bins - 1}) AS BIGINT) AS bin
-              FROM {source}, (SELECT min({value})::DOUBLE AS lo, (max({value}) - min({value}))::DOUBLE / {bins} AS w
-                              FROM {source}) WHERE {value} IS NOT NULL)
-        GROUP BY bin, lo, w"""
+        SELECT * FROM (
+        WITH span AS (SELECT min({value})::DOUBLE AS lo, (max({value}) - min({value}))::DOUBLE / {bins} AS w FROM {source})
+        SELECT bin::BIGINT AS bin, round(lo + w * bin, 6) AS bin_start, round(lo + w * (bin + 1), 6) AS bin_end,
+               (SELECT count(*) FROM {source} x
+                WHERE least(floor((x.{value} - lo) / w), {bins - 1}) = bin) AS n
+        FROM span, range({bins}) b(bin))"""
 
 
 def _orphans(references) -> str:
@@ -130,6 +131,11 @@ def _as_text(name: str) -> str:
 
 def statements() -> dict[str, str]:
     drivers = ", ".join(f"CASE WHEN {c} > 60 THEN '{text}' END" for c, text in DRIVERS)
+    all_features = _features(
+        "(SELECT release_id, pending_prs, review_hours / nullif(reviews, 0) AS avg_pr_review_time FROM f_prs)"
+        " USING (release_id)",
+        "f_hist_known",
+    )
     pairs = [(a, b) for i, a in enumerate(METRICS) for b in METRICS[i + 1 :]]
     pair_rows = " UNION ALL ".join(
         f"SELECT '{a}' AS metric_a, '{b}' AS metric_b, round(corr({a}, {b}), 6) AS r FROM pm" for a, b in pairs
@@ -152,6 +158,8 @@ def statements() -> dict[str, str]:
         "priority",
         "severity",
         "status",
+        "created_date",
+        "resolved_date",
     )
     number_columns = ("resolution_time_hours", "reopened", "escaped_defect", "cycle_time_days")
     profile = " UNION ALL ".join(
@@ -205,32 +213,32 @@ def statements() -> dict[str, str]:
         "pk_check_raw": _keys(lambda n: raw_name.get(n, n)),
         "range_checks": """
             SELECT 'sprint completion rate within 0 and 1.21' AS rule, count(*) AS violations FROM sprints
-            WHERE NOT sprint_completion_rate BETWEEN 0 AND 1.21
-            UNION ALL SELECT 'no negative added lines', count(*) FROM commits WHERE lines_added < 0
+            WHERE sprint_completion_rate < 0 OR sprint_completion_rate > 1.21
+            UNION ALL SELECT 'no negative added lines', count(*) FROM commits WHERE lines_added < 0 OR lines_added IS NULL
             UNION ALL SELECT 'issue status in its domain', count(*) FROM issues
-            WHERE status NOT IN ('Done', 'In Progress', 'Reopened', 'Won''t Fix')
+            WHERE status NOT IN ('Done', 'In Progress', 'Reopened', 'Won''t Fix') OR status IS NULL
             UNION ALL SELECT 'project health within 0 and 100', count(*) FROM kpi_project_health
-            WHERE NOT project_health_score BETWEEN 0 AND 100""",
-        "output_presence": _counts(
-            ["kpi_team_summary", "kpi_project_health", "kpi_developer_productivity", "release_risk_scores"]
-        ),
+            WHERE project_health_score < 0 OR project_health_score > 100 OR project_health_score IS NULL""",
+        "output_presence": "SELECT *, true AS present FROM ("
+        + _counts(["kpi_team_summary", "kpi_project_health", "kpi_developer_productivity", "release_risk_scores"])
+        + ") UNION ALL SELECT 'weekly_report', 0, false",
         "table_counts": _counts(TABLES),
         "q01_team_completion": """
             SELECT team_name, round(100 * avg(sprint_completion_rate), 1) AS avg_completion_pct,
                    count(*) AS sprints_analyzed
-            FROM teams JOIN sprints USING (team_id) GROUP BY 1 HAVING sprints_analyzed > 4""",
+            FROM teams JOIN sprints USING (team_id) GROUP BY 1 HAVING count(*) >= 5""",
         "q02_velocity_last5": """
             SELECT team_name, round(avg(completed_story_points), 1) AS avg_velocity_last5
             FROM (SELECT * FROM sprints
-                  QUALIFY rank() OVER (PARTITION BY team_id ORDER BY sprint_start_date DESC, sprint_id) < 6)
+                  QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY sprint_start_date DESC, sprint_id) <= 5)
             JOIN teams USING (team_id) GROUP BY 1""",
         "q03_velocity_trend": """
             SELECT team_name, round(a, 1) AS first_half_avg_velocity, round(b, 1) AS second_half_avg_velocity,
-                   CASE sign(b - a) WHEN 1 THEN 'Improving' WHEN -1 THEN 'Declining' ELSE 'Stable' END AS trend
+                   CASE WHEN b > a THEN 'Improving' WHEN b < a THEN 'Declining' ELSE 'Stable' END AS trend
             FROM (SELECT team_name, avg(completed_story_points) FILTER (WHERE early) AS a,
                          avg(completed_story_points) FILTER (WHERE NOT early) AS b
-                  FROM (SELECT *, 2 * rank() OVER (PARTITION BY team_id ORDER BY sprint_start_date, sprint_id)
-                                  <= count(*) OVER (PARTITION BY team_id) AS early FROM sprints)
+                  FROM (SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY sprint_start_date NULLS FIRST, sprint_id)
+                                  <= count(*) OVER (PARTITION BY team_id) // 2 AS early FROM sprints)
                   JOIN teams USING (team_id) GROUP BY 1)""",
         "q04_cycle_by_priority": """
             SELECT priority, round(m, 2) AS avg_cycle_time_days,
@@ -403,11 +411,7 @@ def statements() -> dict[str, str]:
         "feat_hist_delay": f"SELECT release_id, {_r('historical_delay_rate')} FROM f_hist_plan",
         "feat_hist_known": f"SELECT release_id, {_r('historical_delay_rate')} FROM f_hist_known",
         "feat_workload": f"SELECT release_id, {_r('developer_workload_proxy')} FROM f_base",
-        "feat_release_all": _features(
-            "(SELECT release_id, pending_prs, review_hours / nullif(reviews, 0) AS avg_pr_review_time FROM f_prs)"
-            " USING (release_id)",
-            "f_hist_known",
-        ),
+        "feat_release_all": all_features,
         "feat_release_parity": _features("f_prs_all USING (project_id)", "f_hist_plan"),
         "feat_release_opened": _features("f_prs_opened USING (release_id)", "f_hist_plan"),
         "risk_components": "SELECT project_id, "
@@ -431,8 +435,9 @@ def statements() -> dict[str, str]:
             SELECT strftime(created_date, '%Y-%m') AS month, sum((severity = 'Minor')::INT)::BIGINT AS minor,
                    sum((severity = 'Major')::INT)::BIGINT AS major,
                    sum((severity = 'Critical')::INT)::BIGINT AS critical,
-                   sum((severity = 'Blocker')::INT)::BIGINT AS blocker
-            FROM issues WHERE issue_type = 'Bug' GROUP BY 1""",
+                   sum((severity = 'Blocker')::INT)::BIGINT AS blocker,
+                   sum((severity NOT IN ('Minor', 'Major', 'Critical', 'Blocker'))::INT)::BIGINT AS other
+            FROM issues WHERE issue_type = 'Bug' AND severity IS NOT NULL GROUP BY 1""",
         "eda_reopen_team": """
             SELECT team_name, round(100 * avg(reopened), 6) AS reopen_rate_pct
             FROM teams JOIN issues USING (team_id) WHERE issue_type = 'Bug' GROUP BY 1""",
@@ -551,12 +556,24 @@ def statements() -> dict[str, str]:
         ),
         "ex_risk_detail": f"""
             SELECT project_name, risk_tier, release_risk_score FROM {_picked('release_risk_scores')}""",
-        **{f"io_csv_{name}": _as_text(name) for name in ("sprints", "releases", "pull_requests")},
+        **{f"io_csv_{name}": _as_text(name) for name in TABLES},
         "io_team_view": """
             SELECT team_name, round(100 * avg_sprint_completion_rate, 1) AS avg_sprint_completion_pct,
                    round(bug_reopen_rate_pct, 1) AS bug_reopen_rate_pct,
                    round(avg_pr_review_hours, 1) AS avg_pr_review_hours
             FROM kpi_team_summary WHERE round(100 * avg_sprint_completion_rate, 1) > 95""",
+        "ml_metrics_rule": f"""
+            SELECT * FROM (
+            WITH p AS (SELECT is_delayed = 1 AS y, open_bugs > 3 AS g, round(historical_delay_rate, 6) AS s
+                       FROM ({all_features})),
+                 c AS (SELECT count(*) FILTER (WHERE g AND y)::DOUBLE AS tp, count(*) FILTER (WHERE g AND NOT y)::DOUBLE AS fp,
+                              count(*) FILTER (WHERE NOT g AND y)::DOUBLE AS fn,
+                              count(*) FILTER (WHERE NOT g AND NOT y)::DOUBLE AS tn FROM p)
+            SELECT round((tp + tn) / (tp + fp + fn + tn), 3) AS accuracy, round(tp / (tp + fp), 3) AS precision,
+                   round(tp / (tp + fn), 3) AS recall, round(2 * tp / (2 * tp + fp + fn), 3) AS f1_score,
+                   (SELECT round(avg(CASE WHEN a.s > b.s THEN 1.0::DOUBLE WHEN a.s = b.s THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END), 3)
+                    FROM p a JOIN p b ON a.y AND NOT b.y) AS roc_auc
+            FROM c)""",
         "train_test_split": """
             SELECT release_id, is_delayed,
                    row_number() OVER (PARTITION BY is_delayed ORDER BY md5('42:' || release_id), release_id)

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from deliverylens.functions import scalars as S
 from deliverylens.operators import quality, ranking
+from deliverylens.operators.profile import histogram, pivot_counts
+from deliverylens.operators.ranking import halves_by_date
 from deliverylens.operators.rollup import align_on_key, rollup_via
 from deliverylens.operators.scaling import minmax_scale
 from deliverylens.plans import cleaning, dashboard, features, kpi, questions, report, risk
+from deliverylens.plans.stages import delivery_tables
 
 
 def ts(text):
@@ -120,7 +123,7 @@ def test_naive_status_fixes_overcount(spark):
     raw["developers"] = spark.createDataFrame([], "developer_id string, arrival int")
     raw["commits"] = spark.createDataFrame([], "commit_id string, lines_added double, arrival int")
     raw["issues"] = df.withColumn("arrival", F.lit(1))
-    audit = {(r.table_name, r.metric): r.value for r in cleaning.cleaning_audit(raw).collect()}
+    audit = {(r.table_name, r.metric): r.value for r in cleaning.cleaning_audit(raw, raw).collect()}
     assert audit["issues", "status_fixes"] == 1
     assert audit["issues", "status_fixes_naive"] == 3
 
@@ -213,7 +216,7 @@ def test_identical_developers(spark):
 def test_orphans_include_missing_keys(spark):
     child = spark.createDataFrame([("P1",), ("PX",), ("PX",), (None,)], "project_id string")
     parent = spark.createDataFrame([("P1",)], "project_id string")
-    assert quality.orphan_counts(child, "project_id", parent, "project_id", "x").first().orphans == 3
+    assert quality.orphan_counts(child, {"project_id": (parent, "project_id")}).first().orphans == 3
     checks = quality.validate_references({"releases": child, "projects": parent}, [("releases", "project_id")])
     assert checks.first().status == "FAIL"
     with pytest.raises(ValueError, match="releases.project_id"):
@@ -224,7 +227,44 @@ def test_primary_key_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "team_id string")
     row = quality.primary_key_checks({"teams": df}, ["teams"]).first()
     assert (row.duplicate_keys, row.null_keys) == (1, 1)
-    assert quality.missing_outputs(["a"], ["a", "b"]) == ["b"]
+    found = {r.table_name: (r.present, r.row_count) for r in quality.output_presence({"a": df}, ["a", "b"], spark).collect()}
+    assert found == {"a": (True, 4), "b": (False, 0)}
+
+
+def test_unknown_values_break_the_rules_that_say_so(spark):
+    df = spark.createDataFrame([(1.0,), (-1.0,), (None,)], "x double")
+    rules = [quality.Rule("skips", df, F.col("x") < 0), quality.Rule("counts", df, F.col("x") < 0, null_breaks=True)]
+    assert {r.rule: r.violations for r in quality.violations(rules).collect()} == {"skips": 1, "counts": 2}
+
+
+def test_rows_without_a_date_come_first(spark):
+    rows = [("T", None, f"s{k}", float(k)) for k in range(3)] + [("T", dt.date(2024, 1, 1), "s9", 9.0)]
+    df = spark.createDataFrame(rows, "team string, day date, sprint string, points double")
+    row = halves_by_date(df, "team", "day", "sprint", "points").first()
+    assert (row._n1, row._s1, row._n2, row._s2) == (2, 1.0, 2, 11.0)
+
+
+def test_histogram_shows_empty_bins(spark):
+    df = spark.createDataFrame([(0.0,), (0.5,), (10.0,), (None,)], "x double")
+    assert [r.n for r in histogram(df, "x", 5).orderBy("bin").collect()] == [2, 0, 0, 0, 1]
+    assert [r.n for r in histogram(df.filter("x = 0"), "x", 5).collect()] == [1]
+    assert histogram(df.filter("x > 99"), "x", 5).count() == 0
+
+
+def test_values_outside_the_domain_are_counted(spark):
+    df = spark.createDataFrame([("m", "Minor"), ("m", "Odd"), ("m", None)], "month string, severity string")
+    row = pivot_counts(df, "month", "severity", ["Minor", "Major"]).first()
+    assert (row.minor, row.major, row.other) == (1, 0, 1)
+    base = {"resolved_date": ts("2024-01-02"), "cycle_time_days": 2.0}
+    f = {"issues": issues(spark, [{**base, "priority": p} for p in ("Odd", "Low", "Critical", None)])}
+    assert [r.priority for r in dashboard.cycle_time_by_priority(f).collect()] == ["Low", "Critical", "Odd"]
+
+
+def test_table_sets_do_not_share_stages(spark):
+    empty = {n: spark.createDataFrame([], "x int") for n in ("developers",)}
+    for n in (1, 5):
+        raw = {**empty, "teams": spark.createDataFrame([(f"T{k}", "2024-01-01") for k in range(n)], "team_id string, formed_date string")}
+        assert delivery_tables(spark, raw, "weekly")["teams"].count() == n
 
 
 def test_tier_edges(spark):

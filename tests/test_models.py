@@ -44,7 +44,16 @@ def test_two_models_and_their_explanations(table):
 
 def test_one_class_has_no_auc(spark):
     df = spark.createDataFrame([(1.0, 1.0, 0.9), (1.0, 0.0, 0.4)], "is_delayed double, prediction double, score double")
-    scores = models.held_out_scores(df)
-    assert scores["roc_auc"] is None and scores["recall"] == 0.5 and scores["precision"] == 1.0
+    scores = models.held_out_scores(df).first()
+    assert scores.roc_auc is None and scores.recall == 0.5 and scores.precision == 1.0
     nothing = spark.createDataFrame([(0.0, 0.0, 0.1)], "is_delayed double, prediction double, score double")
-    assert models.held_out_scores(nothing)["f1_score"] == 0.0
+    assert models.held_out_scores(nothing).first().f1_score == 0.0
+    assert models.held_out_scores(df.limit(0)).first().accuracy == 0.0
+
+
+def test_area_counts_ties_by_half(spark):
+    rows = [(float(k % 3 == 0), float(k % 2), round((k * 37 % 11) / 11, 6)) for k in range(200)]
+    df = spark.createDataFrame(rows, "is_delayed double, prediction double, score double")
+    positive, negative = [s for y, _, s in rows if y], [s for y, _, s in rows if not y]
+    wins = sum((p > n) + (p == n) / 2 for p in positive for n in negative)
+    assert models.held_out_scores(df).first().roc_auc == round(wins / len(positive) / len(negative), 3)
