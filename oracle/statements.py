@@ -2,10 +2,54 @@
 
 from __future__ import annotations
 
-from deliverylens.plans.report import DRIVERS, NO_DRIVER, URGENT_ACTION, WATCH_ACTION
-from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, TABLES
 from oracle.tables_sql import with_tables
 
+# The tables with their keys and references, and the report's texts, written
+# out here so that a wrong one in the package shows.
+KEYS = {
+    "teams": "team_id",
+    "developers": "developer_id",
+    "projects": "project_id",
+    "sprints": "sprint_id",
+    "issues": "issue_id",
+    "commits": "commit_id",
+    "pull_requests": "pull_request_id",
+    "code_reviews": "review_id",
+    "deployments": "deployment_id",
+    "releases": "release_id",
+}
+REFERENCES = {
+    "developers": {"team_id": "teams"},
+    "projects": {"team_id": "teams"},
+    "sprints": {"project_id": "projects", "team_id": "teams"},
+    "issues": {"project_id": "projects", "sprint_id": "sprints", "team_id": "teams", "assignee_id": "developers"},
+    "commits": {"project_id": "projects", "sprint_id": "sprints", "developer_id": "developers"},
+    "pull_requests": {"project_id": "projects", "sprint_id": "sprints", "author_id": "developers", "reviewer_id": "developers"},
+    "code_reviews": {"pull_request_id": "pull_requests", "reviewer_id": "developers"},
+    "deployments": {"project_id": "projects", "sprint_id": "sprints"},
+    "releases": {"project_id": "projects", "team_id": "teams", "sprint_id": "sprints"},
+}
+CORE = (
+    ("issues", "project_id"),
+    ("issues", "assignee_id"),
+    ("sprints", "project_id"),
+    ("pull_requests", "author_id"),
+    ("deployments", "project_id"),
+    ("releases", "project_id"),
+)
+DRIVERS = (
+    ("delivery_risk", "sprint completion rate is low"),
+    ("quality_risk", "defect/escape rate is elevated"),
+    ("review_bottleneck_risk", "PR review time is a bottleneck"),
+    ("workload_risk", "team workload is disproportionately high"),
+)
+NO_DRIVER = "multiple risk factors trending negative"
+URGENT_ACTION = (
+    "Recommend immediate leadership review: reallocate reviewer capacity, triage critical-bug backlog, "
+    "and reassess sprint scope."
+)
+WATCH_ACTION = "Recommend monitoring closely and addressing the top driver this sprint."
+
 METRICS = (
     "completion_rate",
     "cycle_time",
@@ -43,8 +87,8 @@ def _histogram(source: str, value: str, bins: int) -> str:
 def _orphans(references) -> str:
     parts = []
     for child, column in references:
-        parent = TABLES[child].references[column]
-        key = TABLES[parent].primary_key
+        parent = REFERENCES[child][column]
+        key = KEYS[parent]
         parts.append(
             f"SELECT '{child}.{column} -> {parent}' AS reference, count(*) AS orphans FROM {child} c"
             f" WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
@@ -56,10 +100,10 @@ def _orphans(references) -> str:
 def _keys(source=lambda name: name) -> str:
     return " UNION ALL ".join(
         f"SELECT '{n}' AS table_name,"
-        f" (SELECT count(*) FROM (SELECT {t.primary_key} FROM {source(n)} WHERE {t.primary_key} IS NOT NULL"
+        f" (SELECT count(*) FROM (SELECT {key} FROM {source(n)} WHERE {key} IS NOT NULL"
         f" GROUP BY 1 HAVING count(*) > 1)) AS duplicate_keys,"
-        f" (SELECT count(*) FROM {source(n)} WHERE {t.primary_key} IS NULL) AS null_keys"
-        for n, t in TABLES.items()
+        f" (SELECT count(*) FROM {source(n)} WHERE {key} IS NULL) AS null_keys"
+        for n, key in KEYS.items()
     )
 
 
@@ -123,8 +167,7 @@ def _cleaned(name: str) -> str:
 
 def _as_text(name: str) -> str:
     """The cleaned table with its identifiers as text, as they come from a CSV export."""
-    spec = TABLES[name]
-    ids = [spec.primary_key, *spec.references]
+    ids = [KEYS[name], *REFERENCES.get(name, {})]
     casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ids)
     return f"SELECT * REPLACE ({casts}) FROM ({_cleaned(name)})"
 
@@ -182,7 +225,7 @@ def statements() -> dict[str, str]:
     raw_name = {"issues": "issues_raw", "commits": "commits_raw"}
 
     sql = {
-        **{f"clean_{name}": _cleaned(name) for name in TABLES},
+        **{f"clean_{name}": _cleaned(name) for name in KEYS},
         "clean_audit": f"""
             SELECT 'developers' AS table_name, 'rows_in' AS metric, count(*)::DOUBLE AS value FROM developers
             UNION ALL SELECT 'developers', 'rows_out', count(DISTINCT developer_id) FROM developers
@@ -207,8 +250,8 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 'deployments', 'rows_in', count(*) FROM deployments
             UNION ALL SELECT 'releases', 'rows_in', count(*) FROM releases
             UNION ALL SELECT 'releases', 'cancelled', count(*) FROM releases WHERE status = 'Cancelled'""",
-        "validate_fk": _orphans(CORE_REFERENCES),
-        "validate_fk_all": _orphans(ALL_REFERENCES),
+        "validate_fk": _orphans(CORE),
+        "validate_fk_all": _orphans([(t, c) for t, columns in REFERENCES.items() for c in columns]),
         "pk_check": _keys(),
         "pk_check_raw": _keys(lambda n: raw_name.get(n, n)),
         "range_checks": """
@@ -222,7 +265,7 @@ def statements() -> dict[str, str]:
         "output_presence": "SELECT *, true AS present FROM ("
         + _counts(["kpi_team_summary", "kpi_project_health", "kpi_developer_productivity", "release_risk_scores"])
         + ") UNION ALL SELECT 'weekly_report', 0, false",
-        "table_counts": _counts(TABLES),
+        "table_counts": _counts(KEYS),
         "q01_team_completion": """
             SELECT team_name, round(100 * avg(sprint_completion_rate), 1) AS avg_completion_pct,
                    count(*) AS sprints_analyzed
@@ -242,7 +285,7 @@ def statements() -> dict[str, str]:
                   JOIN teams USING (team_id) GROUP BY 1)""",
         "q04_cycle_by_priority": """
             SELECT priority, round(m, 2) AS avg_cycle_time_days,
-                   CASE WHEN m > 3 THEN 'Slow' WHEN m > 1 THEN 'Acceptable' ELSE 'Fast' END AS speed_rating
+                   CASE WHEN m <= 1 THEN 'Fast' WHEN m <= 3 THEN 'Acceptable' ELSE 'Slow' END AS speed_rating
             FROM (SELECT priority, avg(cycle_time_days) AS m FROM issues WHERE resolved_date IS NOT NULL GROUP BY 1)""",
         "q05_project_delay_rate": """
             SELECT * FROM (SELECT project_name, count(*) AS total_releases, sum(is_delayed)::BIGINT AS delayed_releases,
@@ -273,7 +316,7 @@ def statements() -> dict[str, str]:
             FROM (SELECT team_name, rate, avg(rate) OVER () AS m, stddev_pop(rate) OVER () AS d
                   FROM (SELECT team_id, team_name, 100 * avg(reopened) AS rate
                         FROM teams JOIN issues USING (team_id) WHERE issue_type = 'Bug' GROUP BY 1, 2))
-            WHERE rate - m > d""",
+            WHERE rate > m + d""",
         "q11_review_by_team": """
             SELECT team_name, round(avg(review_time_hours), 1) AS avg_review_hours, count(review_time_hours) AS prs
             FROM teams JOIN sprints USING (team_id) JOIN pull_requests p USING (sprint_id)
@@ -285,9 +328,8 @@ def statements() -> dict[str, str]:
         "q13_size_bucket": """
             SELECT bucket AS pr_size_bucket, round(avg(review_time_hours), 1) AS avg_review_hours, count(*) AS pr_count
             FROM (SELECT review_time_hours,
-                         CASE WHEN pr_size_lines IS NULL OR pr_size_lines >= 400 THEN '4. 400+ lines'
-                              WHEN pr_size_lines >= 150 THEN '3. 150-400 lines'
-                              WHEN pr_size_lines >= 50 THEN '2. 50-150 lines' ELSE '1. <50 lines' END AS bucket
+                         CASE WHEN pr_size_lines < 50 THEN '1. <50 lines' WHEN pr_size_lines < 150 THEN '2. 50-150 lines'
+                              WHEN pr_size_lines < 400 THEN '3. 150-400 lines' ELSE '4. 400+ lines' END AS bucket
                   FROM pull_requests WHERE review_time_hours IS NOT NULL) GROUP BY 1""",
         "q14_reviewer_running": """
             SELECT reviewer_id, n AS prs_reviewed, sum(n) OVER (ORDER BY n DESC)::BIGINT AS running_total_prs
@@ -556,7 +598,7 @@ def statements() -> dict[str, str]:
         ),
         "ex_risk_detail": f"""
             SELECT project_name, risk_tier, release_risk_score FROM {_picked('release_risk_scores')}""",
-        **{f"io_csv_{name}": _as_text(name) for name in TABLES},
+        **{f"io_csv_{name}": _as_text(name) for name in KEYS},
         "io_team_view": """
             SELECT team_name, round(100 * avg_sprint_completion_rate, 1) AS avg_sprint_completion_pct,
                    round(bug_reopen_rate_pct, 1) AS bug_reopen_rate_pct,

@@ -277,7 +277,7 @@ CTES: dict[str, str] = {
     "risk_raw": """
         SELECT project_id, u, q, h, CASE WHEN h IS NOT NULL THEN p END AS p, w
         FROM (SELECT project_id, 100 - 100 * avg(sprint_completion_rate) AS u FROM sprints GROUP BY 1) a
-        FULL JOIN (SELECT project_id, 50 * avg(escaped_defect) + 50 * avg(reopened) AS q FROM issues
+        FULL JOIN (SELECT project_id, 100 * (0.5::DOUBLE * avg(escaped_defect) + 0.5::DOUBLE * avg(reopened)) AS q FROM issues
                    WHERE issue_type = 'Bug' GROUP BY 1) b USING (project_id)
         FULL JOIN (SELECT project_id, avg(review_time_hours) AS h,
                           count(*) FILTER (WHERE status = 'Open') AS p FROM pull_requests GROUP BY 1) c
@@ -288,8 +288,8 @@ CTES: dict[str, str] = {
     "risk_components": """
         SELECT project_id, coalesce(100 * (u - min(u) OVER ()) / nullif(max(u) OVER () - min(u) OVER (), 0), 0) AS delivery_risk,
                coalesce(100 * (q - min(q) OVER ()) / nullif(max(q) OVER () - min(q) OVER (), 0), 0) AS quality_risk,
-               coalesce(70 * coalesce((h - min(h) OVER ()) / nullif(max(h) OVER () - min(h) OVER (), 0), 0)
-                        + 30 * coalesce((p - min(p) OVER ())::DOUBLE / nullif(max(p) OVER () - min(p) OVER (), 0), 0), 0)
+               0.7::DOUBLE * 100 * coalesce((h - min(h) OVER ()) / nullif(max(h) OVER () - min(h) OVER (), 0), 0)
+                        + 0.3::DOUBLE * 100 * coalesce((p - min(p) OVER ())::DOUBLE / nullif(max(p) OVER () - min(p) OVER (), 0), 0)
                    AS review_bottleneck_risk,
                coalesce(100 * (w - min(w) OVER ()) / nullif(max(w) OVER () - min(w) OVER (), 0), 0) AS workload_risk
         FROM risk_raw""",
