@@ -196,7 +196,8 @@ def keep_one_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
         ),
         "ids",
     )
-    kept = docs.join(ids.where("not stays").select("doc_id"), "doc_id", "left_anti")
+    # merged at every size: what goes grows with the documents, so it is never broadcast
+    kept = docs.join(ids.where("not stays").select("doc_id").hint("merge"), "doc_id", "left_anti")
     repeated = ids.where("stays and n > 1").select("doc_id")
     if not repeated.isEmpty():
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(
