@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin on the smallest sample."""
 
 import os
+import re
 
 import pytest
 
@@ -10,8 +11,9 @@ from compare import connect, differences
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
-QUERIES = entry_point.queries()
-TWINS = entry_point.oracle_sql()
+# training-data queries have tests of their own
+QUERIES = {n: q for n, q in entry_point.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
+TWINS = {n: sql for n, sql in entry_point.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,7 @@ def con():
 
 
 def test_every_twin_has_a_query():
-    assert set(TWINS) <= set(QUERIES)
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
     without = set(QUERIES) - set(TWINS)
     assert without == {"ml_model_comparison", "ml_best_model", "ml_feature_importance", "ml_coefficients"}
 
