@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Element names of the HTML standard, by what they mean for the text.
-UNSHOWN = ("script", "style", "noscript", "template", "head", "svg", "iframe", "object", "textarea", "title")
+CODE = ("script", "style")  # up to their end tag, or else the end of the page, as browsers read them
+RAW = ("title", "textarea", "iframe")  # hold no elements
+UNSHOWN = ("noscript", "template", "svg", "object")  # hold elements, their own kind too
 BOILERPLATE = frozenset(
     "nav header footer aside form menu button select dialog fieldset".split()
 )
@@ -34,47 +36,135 @@ MARKED = frozenset(
     " signup search form pager pagination contentinfo complementary".split()
 )
 
+# those of them whose containers hold articles other than the page's
+OTHERS = frozenset(
+    "ad ads advert adverts advertisement sponsored sponsor promo sidebar widget comment comments disqus replies reply"
+    " respond related".split()
+)
+SOFT = frozenset(("form", "fieldset"))  # elements that may also wrap a whole page
+
 WINDOW = 3  # lines in a block
 SURGE = 86  # characters in a block that start a text where nothing names the article
 
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<({'|'.join(UNSHOWN)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?\]\]>"
+    # a closing slash counts only where no end tag of its own follows
+    rf"|<(?P<code>{'|'.join(CODE)})\b{_ATTRIBUTES}(?:(?<!/)>.*?(?:</(?P=code)\s*>|\Z)|>(?:(?!<(?P=code)\b).)*?</(?P=code)\s*>)"
+    rf"|<(?P<raw>{'|'.join(RAW)})\b{_ATTRIBUTES}>(?:(?!<(?P=raw)\b).)*?</(?P=raw)\s*>|<title\b{_ATTRIBUTES}>[^<]*"
+    rf"|<(?P<end>/?)(?P<name>{'|'.join(UNSHOWN)})\b(?P<rest>{_ATTRIBUTES})>",
     re.S | re.I,
 )
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?|<[a-zA-Z/][^<>]*\Z")
+_TAG = re.compile(rf"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})>|<[!?/][^>]*>?|<[a-zA-Z/][^<>]*\Z")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_STATE = re.compile(r"(?:with|without|has|have|no|non|not)[-_]")  # what a container has, not what it is
 
 
-def _is_marked(attributes: str) -> bool:
-    return any(
-        MARKED.intersection(_WORD.findall("".join(values).lower())) for values in _NAMED.findall(attributes)
-    )
+def _marks(attributes: str) -> set[str]:
+    names = (name for values in _NAMED.findall(attributes) for name in "".join(values).lower().split())
+    return {word for name in names if not _STATE.match(name) for word in _WORD.findall(name) if word in MARKED}
+
+
+def _shown(page: str) -> str:
+    """The page without what browsers do not show. An element that closes itself or has
+    no end tag of its own is empty."""
+    spans: list[tuple[int, int]] = []
+    starts: dict[str, list[re.Match]] = {}
+    for found in _HIDDEN.finditer(page):
+        name = (found["name"] or "").lower()
+        if not name:
+            spans.append(found.span())
+        elif found["end"]:
+            if starts.get(name):
+                spans.append((starts[name].pop().start(), found.end()))
+        elif not (name == "svg" and found["rest"].endswith("/")):
+            starts.setdefault(name, []).append(found)
+    parts, at = [], 0
+    for start, end in sorted(spans):
+        if end > at:
+            parts += (page[at : max(start, at)], " ")
+            at = end
+    return "".join(parts) + page[at:]
+
+
+class _Tree:
+    """Containers of a page in order of their start tags; the first stands for the page."""
+
+    def __init__(self) -> None:
+        self.names = [""]
+        self.parents = [-1]
+        self.marks: list[set[str]] = [set()]
+        self.sizes = [0]  # characters of text
+
+    def add(self, name: str, parent: int, attributes: str) -> int:
+        self.names.append(name)
+        self.parents.append(parent)
+        self.marks.append(set() if name in ("html", "body", *MAIN) else _marks(attributes))
+        self.sizes.append(0)
+        return len(self.names) - 1
+
+    def settle(self) -> tuple[list[bool], list[bool]]:
+        """For each container, whether its text is boilerplate and whether it is within
+        an article. An element of boilerplate drops what it holds unless that is a main;
+        a form or a mark, unless that is a main or an article. Marks of ``OTHERS`` drop
+        articles too, but never the longest of the page."""
+        n = len(self.names)
+        of_articles = [0] * n
+        for k in range(n - 1, 0, -1):
+            self.sizes[self.parents[k]] += self.sizes[k]
+            of_articles[self.parents[k]] += self.sizes[k] if self.names[k] == "article" else of_articles[k]
+            if self.names[k] == "article":
+                of_articles[k] = 0  # comments within an article count as its text
+        # a main weighs what it says outside articles
+        weights = [size - part for size, part in zip(self.sizes, of_articles)]
+        fixed = [False] * n
+        articles, longest = [], 0
+        for k in range(1, n):
+            fixed[k] = fixed[self.parents[k]] or (self.names[k] in BOILERPLATE and self.names[k] not in SOFT)
+            if self.names[k] in MAIN and not fixed[k]:
+                articles.append(k)
+                longest = max(longest, weights[k])
+        # 1 holds an article, 2 the longest, 3 a main
+        holds = [0] * n
+        for k in range(1, n):
+            if self.names[k] == "main":
+                holds[k] = 3
+        for k in articles:
+            holds[k] = max(holds[k], 2 if weights[k] == longest else 1)
+        for k in range(n - 1, 0, -1):
+            holds[self.parents[k]] = max(holds[self.parents[k]], holds[k])
+        dropped, inside = [False] * n, [False] * n
+        for k in range(1, n):
+            name, above = self.names[k], self.parents[k]
+            if name in BOILERPLATE and name not in SOFT:
+                drop = holds[k] < 3
+            elif name in SOFT or self.marks[k]:
+                drop = holds[k] < (2 if self.marks[k] & OTHERS else 1)
+            else:
+                drop = False
+            inside[k] = inside[above] or (name in MAIN and not dropped[above])
+            dropped[k] = dropped[above] or drop
+        return dropped, inside
 
 
 def strip_markup(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """Lines as (text, characters outside links, within an article), and whether the
     page names its article at all. Lines of boilerplate containers are empty."""
-    page = _HIDDEN.sub(" ", page)
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate at or above, article at or above
-    lines: list[tuple[str, int, bool]] = []
-    parts: list[str] = []
-    free = links = 0
-    has_main = False
+    page = _shown(page)
+    tree = _Tree()
+    stack = [0]
+    lines: list[tuple[int, list[tuple[int, str, bool]]]] = []  # container at the end; text by container, in a link
+    parts: list[tuple[int, str, bool]] = []
+    linked = False
 
     def close_line() -> None:
-        nonlocal free
-        text = " ".join(entities.unescape("".join(parts)).split())
-        lines.append((text, free if text else 0, bool(stack) and stack[-1][2]))
+        lines.append((stack[-1], parts.copy()))
         parts.clear()
-        free = 0
 
     def put(text: str) -> None:
-        nonlocal free
-        if not (stack and stack[-1][1]):
-            parts.append(text)
-            free += 0 if links else len(text.strip())
+        parts.append((stack[-1], text, linked))
+        tree.sizes[stack[-1]] += len(text.strip())
 
     at = 0
     for tag in _TAG.finditer(page):
@@ -86,29 +176,32 @@ def strip_markup(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             put(" ")
             continue
         if name == "a":
-            links = 0 if closing else 1
+            linked = not closing
             continue
         if name in BLOCKS:
             close_line()
-            links = 0
+            linked = False
         if not name or name in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
+            for depth in range(len(stack) - 1, 0, -1):
+                if tree.names[stack[depth]] == name:
                     del stack[depth:]
                     break
         elif name in BLOCKS or name in BOILERPLATE:
-            if name in ("p", "li", "td", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
+            if name in ("p", "li", "td", "tr", "dd", "dt", "option") and tree.names[stack[-1]] == name:
                 stack.pop()  # its end tag may be left out
-            hidden, inside = stack[-1][1:] if stack else (False, False)
-            inside = inside or (name in MAIN and not hidden)
-            has_main |= inside
-            dropped = name in BOILERPLATE or (name not in ("html", "body", *MAIN) and _is_marked(tag[3]))
-            stack.append((name, hidden or dropped, inside))
+            stack.append(tree.add(name, stack[-1], tag[3]))
     put(page[at:])
     close_line()
-    return lines, has_main
+
+    dropped, inside = tree.settle()
+    told = []
+    for container, held in lines:
+        held = [(text, link) for k, text, link in held if not dropped[k]]
+        text = " ".join(entities.unescape("".join(text for text, _ in held)).split())
+        told.append((text, sum(len(t.strip()) for t, link in held if not link) if text else 0, inside[container]))
+    return told, any(inside)
 
 
 def main_text(page: str | None) -> str:

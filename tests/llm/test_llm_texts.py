@@ -136,6 +136,44 @@ def test_main_text_without_article():
     assert pages.main_text(page) == f"{long.strip()}\n{long.strip()}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        # an end tag of head may be left out
+        "<html><head><title>t</title><body><article><p>Main.</p></article></body></html>",
+        "<head><meta charset=utf-8><title>t<article><p>Main.</p></article>",
+        "<title>t</title><link rel=x><style>p{}</style><article><p>Main.</p></article>",
+        # what is not shown ends with its end tag, and is empty without one
+        '<article><svg width="1"/><p>Main.</p></article>',
+        "<article><svg><svg/><text>x</text></svg><p>Main.</p></article>",
+        "<article><svg><svg><text>x</text></svg><text>x</text></svg><p>Main.</p></article>",
+        "<article><svg width=1><p>Main.</p><svg><text>x</text></svg></article>",
+        "<article><iframe src=a><p>Main.</p><iframe src=b>x</iframe></article>",
+        '<article><script src="a"/><p>Main.</p><script>x</script></article>',
+        '<article><script src="a"/>x</script><p>Main.</p></article>',
+        "<article><object data=a><textarea><noscript><template><p>Main.</p></article>",
+        "<article><object>x<object>x</object>x</object><p>Main.</p></article>",
+        "<article><!--><p>Main.</p><!-- x --></article>",
+        # marks and forms around an article
+        '<div class="content with-sidebar"><article><p>Main.</p></article></div>',
+        '<div class="no-comments"><p>Main.</p></div>',
+        '<main><div class="sidebar-right"><article><p>Main.</p></article></div></main>',
+        '<main><p>Main.</p><section id="comments"><article>x</article></section></main>',
+        '<div id="search-page"><div class="widget"><main><p>Main.</p></main></div></div>',
+        '<form id="page"><fieldset><article><p>Main.</p></article></fieldset></form>',
+        '<form><nav>x</nav><article><p>Main.</p><div id=reply><article>x</article></div></article></form>',
+        '<article><p>Main.</p></article><section id="comments"><article>x</article></section><aside><article>x</article></aside>',
+    ],
+)
+def test_main_text_of_odd_markup(page):
+    assert pages.main_text(page) == "Main."
+
+
+def test_main_text_of_marked_articles():
+    posts = '<div class="post widget-box"><article>One.</article></div><div class="newsletter"><article>Two.</article></div>'
+    assert pages.main_text(posts) == "One.\nTwo."
+
+
 def test_page_rows(spark):
     table = spark.createDataFrame(
         [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "", "x")],
