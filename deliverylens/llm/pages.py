@@ -28,6 +28,7 @@ BLOCKS = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # words in a class, id or role that mark a container as none of the article
 MARKED = frozenset(
     "ad ads advert adverts advertisement sponsored sponsor promo banner menu nav navbar navigation breadcrumb"
@@ -148,9 +149,9 @@ class _Tree:
         return dropped, inside
 
 
-def strip_markup(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines as (text, characters outside links, within an article), and whether the
-    page names its article at all. Lines of boilerplate containers are empty."""
+def strip_markup(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
+    """Lines as (text, characters outside links, within an article, is a heading), and
+    whether the page names its article at all. Lines of boilerplate containers are empty."""
     page = _shown(page)
     tree = _Tree()
     stack = [0]
@@ -200,7 +201,8 @@ def strip_markup(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     for container, held in lines:
         held = [(text, link) for k, text, link in held if not dropped[k]]
         text = " ".join(entities.unescape("".join(text for text, _ in held)).split())
-        told.append((text, sum(len(t.strip()) for t, link in held if not link) if text else 0, inside[container]))
+        free = sum(len(t.strip()) for t, link in held if not link) if text else 0
+        told.append((text, free, inside[container], tree.names[container] in HEADINGS))
     return told, any(inside)
 
 
@@ -212,17 +214,18 @@ def main_text(page: str | None) -> str:
     A text surges where a block rises from nothing, dives where a block falls to
     nothing again, and counts if its highest block reaches the threshold: any weight
     in a named article, else ``SURGE`` characters or half of the page's highest block,
-    whichever is less.
+    whichever is less. The article is all lines from the first surge to the last dive
+    of those that count, short texts and links between them and headings right before
+    them included.
     """
     if not page:
         return ""
     lines, has_main = strip_markup(page)
-    weights = [(len(t) if inside else 0) if has_main else free for t, free, inside in lines]
+    weights = [(len(t) if inside else 0) if has_main else free for t, free, inside, _ in lines]
     sums = [0, *accumulate(weights)]
     blocks = [sums[min(i + WINDOW, len(weights))] - sums[i] for i in range(len(weights))]
     least = 1 if has_main else min(SURGE, max(blocks, default=0) / 2)
-    kept: list[str] = []
-    i = 0
+    first = last = i = 0
     while i < len(blocks):
         if not blocks[i]:
             i += 1
@@ -231,8 +234,12 @@ def main_text(page: str | None) -> str:
         while i < len(blocks) and blocks[i]:
             i += 1
         if max(blocks[surge:i]) >= least:
-            kept += [t for t, _, inside in lines[surge:i] if t and (inside or not has_main)]
-    return "\n".join(kept)
+            first, last = (first if last else surge), i
+    k = first - 1
+    while k >= 0 and last and (not lines[k][0] or (weights[k] and lines[k][3])):
+        first = k if lines[k][0] else first
+        k -= 1
+    return "\n".join(t for t, _, inside, _ in lines[first:last] if t and (inside or not has_main))
 
 
 @F.pandas_udf(T.StringType())

@@ -174,6 +174,15 @@ def test_main_text_of_marked_articles():
     assert pages.main_text(posts) == "One.\nTwo."
 
 
+def test_short_texts_within_an_article_without_name():
+    long = "A sentence that goes on for quite a while, as those of articles do. " * 3
+    nested = lambda text: f"<div><div><p>{text}</p></div></div>"
+    page = "<body><div>Site</div><h2><a href=1>Home</a></h2><div><h1>Title</h1></div>" + "<div></div>" * 5 + "".join(
+        nested(text) for text in (long, "Short.", "<a href=2>All links.</a>", "<b>Two</b>", long)
+    ) + "<div></div>" * 5 + "<div>Short.</div></body>"
+    assert pages.main_text(page).split("\n") == ["Title", long.strip(), "Short.", "All links.", "Two", long.strip()]
+
+
 def test_page_rows(spark):
     table = spark.createDataFrame(
         [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "", "x")],
