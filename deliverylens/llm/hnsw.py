@@ -3,7 +3,8 @@
 Vectors that may link (equal labels, equal lengths) are dealt into shards of bounded
 size, and each shard's graph is written to a file in the shared folder. Every shard is
 queried with every vector of its label, a pair of shards a task. Beams widen until an
-audit against brute force on a sample of the queries finds enough of its links;
+audit against brute force on a sample of the queries finds enough of its links, or,
+where the sample has few of them, of its nearest neighbours too;
 what a search finds is kept only if its cosine, in double precision, is high enough.
 """
 
@@ -29,6 +30,8 @@ BUILD_BEAM = 48
 BEAM = 16  # the first width of a search
 AUDIT_ROWS = 96
 AUDIT_RECALL = 0.99
+AUDIT_LINKS = 100  # in a sample; with fewer, the nearest neighbours of its queries count too
+AUDIT_NEAREST = 10
 TOGETHER = 256  # searches in step
 
 
@@ -160,15 +163,20 @@ class Graph:
         ids = np.take_along_axis(ids, order, 1)
         return np.where(ids == n, -1, ids), np.take_along_axis(near, order, 1)
 
+    def nearest(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """A beam down the layers: ids and cosines as of ``search_layer``."""
+        beam, near = np.full((len(queries), 1), self.entry, np.int64), np.empty(0)
+        for layer in range(len(self.layers) - 1, -1, -1):
+            beam, near = self.search_layer(queries, beam, layer, 8 if layer else width)
+        return beam, near
+
     def within(self, queries: np.ndarray, width: int, least: float) -> np.ndarray:
         """For each query, which vertices with a cosine of ``least`` or more it meets:
         a beam down the layers, then on from each such vertex to those around it."""
         met = np.zeros((len(queries), len(self.vectors)), bool)
         for first in range(0, len(queries), TOGETHER):
             part = queries[first : first + TOGETHER]
-            beam = np.full((len(part), 1), self.entry, np.int64)
-            for layer in range(len(self.layers) - 1, -1, -1):
-                beam, near = self.search_layer(part, beam, layer, 8 if layer else width)
+            beam, near = self.nearest(part, width)
             for k in range(len(part)):
                 frontier = beam[k][near[k] >= least]
                 if not len(frontier):
@@ -186,19 +194,40 @@ class Graph:
                     hits[frontier] = True
         return met
 
-    def audited(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, int, float]:
+    def audited(self, queries: np.ndarray, least: float, own: bool = False) -> tuple[np.ndarray, int, float]:
+        """What ``audit`` finds, its width and recall."""
+        return self.audit(queries, least, own)[:3]
+
+    def audit(self, queries: np.ndarray, least: float, own: bool = False) -> tuple[np.ndarray, int, float, int]:
         """``within`` at the first width whose recall on an evenly spread sample of the
-        queries is high enough, with that width and recall. A beam as wide as the shard
-        ends the widening: then the audit's own brute force answers."""
+        queries is high enough, with that width, its recall and the number of true
+        vertices that this rests on. Sought are the sample's links; if there are fewer
+        than ``AUDIT_LINKS``, the nearest neighbours of its queries, whatever their
+        cosine, must be found as well, and recall is the lower of both. With ``own`` the
+        queries are the graph's vertices, and none counts as its own neighbour. A beam
+        as wide as the shard ends the widening: then brute force answers."""
         sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT_ROWS, len(queries))).astype(int))
-        truth = queries[sample] @ self.vectors.T >= least
+        near = queries[sample] @ self.vectors.T
+        if own:
+            near[np.arange(len(sample)), sample] = -2.0
+        truth = near >= least
+        links = int(truth.sum())
+        most = min(AUDIT_NEAREST, len(self.vectors) - own) if links < AUDIT_LINKS else 0
+        bounds = np.sort(near, axis=1)[:, -most] - 1e-9 if most else None
+        sought = links + most * len(sample)
         width = BEAM
         while True:
-            recall = (self.within(queries[sample], width, least) & truth).sum() / max(truth.sum(), 1)
-            if recall >= AUDIT_RECALL or not truth.any():
-                return self.within(queries, width, least), width, float(recall)
+            recall = (self.within(queries[sample], width, least) & truth).sum() / links if links else 1.0
+            if most:
+                ids, cosines = self.nearest(queries[sample], width)
+                hits = cosines >= bounds[:, None]
+                if own:
+                    hits &= ids != sample[:, None]
+                recall = min(recall, np.minimum(hits.sum(axis=1), most).sum() / (most * len(sample)))
+            if recall >= AUDIT_RECALL:
+                return self.within(queries, width, least), width, float(recall), sought
             if width >= len(self.vectors):
-                return queries @ self.vectors.T >= least, width, 1.0
+                return queries @ self.vectors.T >= least, width, 1.0, sought
             width *= 2
 
     def save(self, sink) -> None:
@@ -225,8 +254,24 @@ SHARDS = T.StructType(
         T.StructField("weights", T.ArrayType(T.LongType())),
     ]
 )
+AUDIT = T.StructType(
+    [
+        T.StructField("label", T.LongType()),
+        T.StructField("dim", T.IntegerType()),
+        T.StructField("shard_a", T.IntegerType()),
+        T.StructField("shard_b", T.IntegerType()),
+        T.StructField("width", T.LongType()),
+        T.StructField("recall", T.DoubleType()),
+        T.StructField("sought", T.LongType()),
+    ]
+)
 FOUND = T.StructType(
-    [T.StructField("id", T.LongType()), T.StructField("n_links", T.LongType()), T.StructField("least_id", T.LongType())]
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("n_links", T.LongType()),
+        T.StructField("least_id", T.LongType()),
+        T.StructField("audit", AUDIT),
+    ]
 )
 
 
@@ -277,7 +322,7 @@ def _groups(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def query_shards(shards: DataFrame, folder: str, cosine: float = COSINE) -> DataFrame:
     """Query every shard with all vectors of its label. For each pair of shards and
     vector that links there: id, n_links (rows linked in that pair), least_id (the
-    smallest id reached in it)."""
+    smallest id reached in it). A row without id for each pair holds its audit."""
     left = shards.select("label", "dim", *(F.col(c).alias(f"{c}_a") for c in ("shard", "file", "ids", "weights")))
     right = shards.select("label", "dim", *(F.col(c).alias(f"{c}_b") for c in ("shard", "file", "ids", "weights")))
     pairs = left.join(right, ["label", "dim"]).where("shard_a <= shard_b")
@@ -294,11 +339,11 @@ def query_shards(shards: DataFrame, folder: str, cosine: float = COSINE) -> Data
                 ids, weights = np.array(pair.ids_a), np.array(pair.weights_a)
                 if pair.shard_a == pair.shard_b:
                     own = graph(pair.file_a)
-                    linked, _, _ = own.audited(own.vectors, cosine)
+                    linked, *audit = own.audit(own.vectors, cosine, own=True)
                     np.fill_diagonal(linked, False)
                     linked |= linked.T
                 else:
-                    met, _, _ = graph(pair.file_a).audited(graph(pair.file_b).vectors, cosine)
+                    met, *audit = graph(pair.file_a).audit(graph(pair.file_b).vectors, cosine)
                     n = len(ids)
                     ids, weights = np.append(ids, pair.ids_b), np.append(weights, pair.weights_b)
                     linked = np.zeros((len(ids), len(ids)), bool)
@@ -307,23 +352,18 @@ def query_shards(shards: DataFrame, folder: str, cosine: float = COSINE) -> Data
                 counts = linked @ weights
                 least = _groups(linked, ids)
                 some = counts > 0
-                yield pd.DataFrame({"id": ids[some], "n_links": counts[some], "least_id": least[some]})
+                yield pd.DataFrame({"id": ids[some], "n_links": counts[some], "least_id": least[some], "audit": None})
+                audit = (pair.label, pair.dim, pair.shard_a, pair.shard_b, *audit)
+                yield pd.DataFrame(
+                    {"id": [None], "n_links": [None], "least_id": [None], "audit": [dict(zip(AUDIT.names, audit))]}
+                )
 
     n_pairs = max(1, pairs.count())
     return pairs.repartition(n_pairs).mapInPandas(query, FOUND)
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """vec_id, n_links (other rows linked directly), component_id (smallest vec_id
-    reachable) and kept (vec_id = component_id), one row for each input row.
-
-    Rows without a label or id, and vectors that are null, empty, zero or hold null or
-    non-finite components, link with nothing; such a row is its own component (null,
-    and not kept, without an id). Equal vectors of a label are searched once and link
-    with each other. Vectors of other lengths do not link. A vec_id that repeats counts
-    as one name: its rows share links and component. Only vec_id, embedding and label
-    are read; an empty table gives an empty result.
-    """
+def _searched(embeddings: DataFrame, cosine: float, shard_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Usable rows, their distinct vectors, and what ``query_shards`` finds among these."""
     spark = embeddings.sparkSession
     valid = (
         F.col("vec_id").isNotNull()
@@ -343,6 +383,30 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int
     )
     folder = fresh_folder(spark, "graphs")
     found = written(query_shards(build_shards(copies, folder, shard_rows), folder, cosine), "links")
+    return usable, copies, found
+
+
+def audit_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """The audit of each pair of shards that ``near_vectors`` searches: label, dim,
+    shard_a, shard_b, width of the beam, recall, and sought (the true links and
+    neighbours, found by brute force, that the recall rests on)."""
+    found = _searched(embeddings, cosine, shard_rows)[2]
+    return found.where("audit is not null").select("audit.*")
+
+
+def near_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """vec_id, n_links (other rows linked directly), component_id (smallest vec_id
+    reachable) and kept (vec_id = component_id), one row for each input row.
+
+    Rows without a label or id, and vectors that are null, empty, zero or hold null or
+    non-finite components, link with nothing; such a row is its own component (null,
+    and not kept, without an id). Equal vectors of a label are searched once and link
+    with each other. Vectors of other lengths do not link. A vec_id that repeats counts
+    as one name: its rows share links and component. Only vec_id, embedding and label
+    are read; an empty table gives an empty result.
+    """
+    usable, copies, found = _searched(embeddings, cosine, shard_rows)
+    found = found.where("id is not null")
     same = usable.join(copies, ["label", "vector"]).where("weight > 1").select("vec_id", "id", "weight")
     group = connected_components(
         found.select(F.col("id").alias("a"), F.col("least_id").alias("b")).unionAll(

@@ -206,6 +206,56 @@ def test_recall_of_one_graph():
     assert (met & truth).sum() >= 0.98 * truth.sum()
 
 
+def unit_rows(n, dim, seed):
+    vectors = np.random.default_rng(seed).normal(size=(n, dim))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def test_audit_without_links_rests_on_neighbours():
+    vectors, queries = unit_rows(1200, 32, 1), unit_rows(200, 32, 2)
+    graph = hnsw.Graph.build(vectors)
+    for asked, own in ((vectors, True), (queries, False)):
+        near = asked @ vectors.T
+        if own:
+            np.fill_diagonal(near, -2)
+        assert not (near >= 0.93).any()
+        _, width, recall = graph.audited(asked, 0.93, own=own)
+        true = np.argsort(-near, axis=1)[:, :10]
+        shares = [
+            np.mean([len(set(f) & set(t)) / 10 for f, t in zip(graph.nearest(asked, w)[0].tolist(), true.tolist())])
+            for w in (hnsw.BEAM, width)
+        ]
+        assert recall >= 0.99 and shares[1] >= 0.97
+        if not own:  # the first beam misses too many of the nearest ten
+            assert shares[0] < 0.95 and width > hnsw.BEAM
+
+
+def test_hits_of_vectors_on_themselves_are_no_evidence():
+    vectors = unit_rows(96, 16, 3)
+    vectors[1], vectors[3] = vectors[0], vectors[2]
+    true = vectors @ vectors.T >= 0.93
+    assert true.sum() == 96 + 4
+    graph = hnsw.Graph.build(vectors)
+
+    def within(queries, width, least):
+        met = queries @ vectors.T >= least
+        if width == hnsw.BEAM:
+            met[0, 1] = False  # one of four links, but one of a hundred with the vectors themselves
+        return met
+
+    graph.within = within
+    met, width, recall = graph.audited(vectors, 0.93, own=True)
+    assert width > hnsw.BEAM and recall >= 0.99 and (met == true).all()
+
+
+def test_audit_of_each_pair_of_shards(spark):
+    rows = [(k, v.tolist(), k % 2) for k, v in enumerate(unit_rows(300, 16, 4))]
+    audits = hnsw.audit_vectors(spark.createDataFrame(rows, VECTORS), shard_rows=50).collect()
+    assert {r.label for r in audits} == {0, 1} and any(r.shard_a < r.shard_b for r in audits)
+    assert len({(r.label, r.shard_a, r.shard_b) for r in audits}) == len(audits) == 2 * (3 * 4 // 2)
+    assert all(r.dim == 16 and r.recall >= 0.99 and r.sought > 0 for r in audits)
+
+
 # --- tool calls ---
 
 CALLS = "conv_id long, call_id string, turn long, tool string, arguments string, needs array<string>"
