@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from deliverylens.session import materialized
+
+RANGE_ROWS = 1 << 22  # of a date, numbered in one task
+
 
 def counts_with_standing(counts: DataFrame, column: str, descending: bool = True) -> DataFrame:
     """Per distinct count: how many rows share it and totals up to and including it.
@@ -54,10 +60,13 @@ def hash_positions(df: DataFrame, key: str, by: list[str], seed: int) -> DataFra
     """A shuffled 1-based position per group (``position``) and group size (``group_rows``).
 
     The order is that of a seeded digest of the key. Rows are numbered inside
-    4096 digest buckets, which are even by construction, and shifted by the
-    sizes of the buckets before theirs; no task sees a whole group.
+    digest buckets, which are even by construction, and shifted by the sizes of
+    the buckets before theirs; no task sees a whole group. There are 4096 buckets,
+    or 16 times as many as often as it takes to have the square root of the rows.
     """
-    hashed = df.withColumn("_h", shuffle_key(key, seed)).withColumn("_bucket", F.substring("_h", 1, 3))
+    rows = F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))
+    digits = F.greatest(F.lit(3), F.ceil(F.log(16.0, F.sqrt(rows)))).cast("int")
+    hashed = df.withColumn("_h", shuffle_key(key, seed)).withColumn("_bucket", F.col("_h").substr(F.lit(1), digits))
     sizes = hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     group = Window.partitionBy(*by)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -89,11 +98,37 @@ def above_mean_plus_sigma(df: DataFrame, column: str, sigmas: float = 1.0) -> Da
     return placed.filter(F.col(column) > bound).select(*df.columns, "_stats.mean", "_stats.dev")
 
 
-def halves_by_date(df: DataFrame, group: str, date: str, tiebreak: str, value: str) -> DataFrame:
+def ordered_positions(df: DataFrame, by: list[str], order: str, parts: int) -> DataFrame:
+    """Add ``_position``, 1-based per group in ascending order, and ``_part``: rows are numbered
+    inside ranges of the order and shifted by the sizes of the ranges before theirs."""
+    # written, since another run might draw other ranges
+    ranged = materialized(
+        df.repartitionByRange(parts, *by, order).withColumn("_part", F.spark_partition_id()), "ranges"
+    )
+    sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    upto = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    keys = [*by, "_part"]
+    offsets = sizes.select(
+        *(F.col(c).alias(f"_at{k}") for k, c in enumerate(keys)), (F.sum("_size").over(upto) - F.col("_size")).alias("_before")
+    )
+    same = F.lit(True)
+    for k, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_at{k}"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return (
+        ranged.withColumn("_nth", nth)
+        .join(offsets, same)
+        .select(*ranged.columns, (F.col("_before") + F.col("_nth")).alias("_position"))
+    )
+
+
+def halves_by_date(
+    df: DataFrame, group: str, date: str, tiebreak: str, value: str, range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """Mean of ``value`` in the earlier and later half of each group's rows.
 
     Rows without a date come first. Rows are first reduced per (group, date); only the date on which a group
-    passes its midpoint is looked at row by row.
+    passes its midpoint is looked at row by row, in ranges of about ``range_rows`` by the tiebreak.
     """
     v = F.col(value).cast("double")
     daily = df.groupBy(group, date).agg(F.count(F.lit(1)).alias("_c"), F.count(v).alias("_n"), F.sum(v).alias("_s"))
@@ -109,13 +144,18 @@ def halves_by_date(df: DataFrame, group: str, date: str, tiebreak: str, value: s
     settled = placed.filter(~passes_midpoint).select(
         group, (F.col("_before") + F.col("_c") <= F.col("_half")).alias("_early"), "_n", "_s"
     )
-    split_days = placed.filter(passes_midpoint).select(group, date, (F.col("_half") - F.col("_before")).alias("_take"))
-    split_days = split_days.select(F.col(group).alias("_group"), F.col(date).alias("_date"), "_take")
+    split_days = materialized(
+        placed.filter(passes_midpoint).select(
+            F.col(group).alias("_group"), F.col(date).alias("_date"), (F.col("_half") - F.col("_before")).alias("_take"), "_c"
+        ),
+        "split-days",
+    )
+    parts = max(1, ceil((split_days.agg(F.sum("_c")).first()[0] or 0) / range_rows))
     on_split_day = F.col(group).eqNullSafe(F.col("_group")) & F.col(date).eqNullSafe(F.col("_date"))
-    nth = F.row_number().over(Window.partitionBy(group, date).orderBy(tiebreak))
+    on_date = df.join(split_days, on_split_day).select("_group", "_date", F.col(tiebreak).alias("_tie"), "_take", v.alias("_v"))
     split = (
-        df.join(split_days, on_split_day)
-        .select(group, (nth <= F.col("_take")).alias("_early"), v.alias("_v"))
+        ordered_positions(on_date, ["_group", "_date"], "_tie", parts)
+        .select(F.col("_group").alias(group), (F.col("_position") <= F.col("_take")).alias("_early"), "_v")
         .groupBy(group, "_early")
         .agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
     )

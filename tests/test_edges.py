@@ -244,6 +244,19 @@ def test_rows_without_a_date_come_first(spark):
     assert (row._n1, row._s1, row._n2, row._s2) == (2, 1.0, 2, 11.0)
 
 
+def test_a_date_of_many_rows_is_numbered_in_ranges(spark):
+    rows = [(g, None, f"s{k * 7919 % 3000:05d}") for g in ("T", None) for k in range(3000)]
+    df = spark.createDataFrame(rows, "team string, day date, sprint string")
+    placed = ranking.ordered_positions(df, ["team", "day"], "sprint", 8)
+    assert all(r._position == int(r.sprint[1:]) + 1 for r in placed.collect())
+    assert placed.groupBy("team", "_part").count().agg(F.max("count")).first()[0] < 2000
+    points = df.withColumn("points", F.substring("sprint", 2, 5).cast("double"))
+    halves = ranking.halves_by_date(points, "team", "day", "sprint", "points", range_rows=500).collect()
+    for r in halves:
+        assert (r._n1, r._s1, r._n2, r._s2) == (1500, sum(range(1500)), 1500, sum(range(1500, 3000)))
+    assert len(halves) == 2
+
+
 def test_histogram_shows_empty_bins(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (10.0,), (None,)], "x double")
     assert [r.n for r in histogram(df, "x", 5).orderBy("bin").collect()] == [2, 0, 0, 0, 1]
