@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from deliverylens.llm import (
+    alignment,
     bpe,
     decontaminate,
     hnsw,
     licenses,
+    merkle,
     pages,
     quality,
+    rules,
     secrets,
     simhash,
     tokenstore,
@@ -74,6 +77,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.audit_manifest(docs, merkle.without_breaks(docs))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply_rules(table(spark, sf_dir, "documents"), rules.trusted_ids(table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -86,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_tool_calls": op8_tool_calls,
         "op9_near_vectors": op9_near_vectors,
         "op10_quality": op10_quality,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_token_alignment": op12_token_alignment,
+        "op13_quality_rules": op13_quality_rules,
         "pipeline": corpus_pipeline.run,
     }
 

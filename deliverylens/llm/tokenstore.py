@@ -73,13 +73,18 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
 
 
 class PieceEncoder:
-    """Encodes texts with a byte-level tokenizer, each distinct piece only once."""
+    """Encodes texts with a byte-level tokenizer, each distinct piece only once.
 
-    def __init__(self, path: str):
+    With ``plain_specials``, special tokens that stand in a text are text like any other.
+    """
+
+    def __init__(self, path: str, plain_specials: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if plain_specials else [t.content for t in added]
         self.odd = "|".join([_ODD_SPACE, *(re.escape(s) for s in self.special)])
         self.known = Remembered(KEPT_PIECES)
 
