@@ -95,4 +95,131 @@ counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM component LEFT JOIN counted USING (vec_id)"""
 
-ORACLES = {"op2_secret_scan": SECRETS, "op8_tool_calls": TOOL_CALLS, "op9_near_vectors": NEAR_VECTORS}
+# CRC-32 bit by bit, and half a byte at a time with its sixteen remainders
+_POLYNOMIAL = 0xEDB88320
+
+
+def _remainder(n: int, bits: int) -> int:
+    for _ in range(bits):
+        n = n >> 1 ^ (_POLYNOMIAL if n & 1 else 0)
+    return n
+
+
+_CRC_OF_DIGITS = f"""xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1)))),
+    lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * {_POLYNOMIAL})))"""
+_CRC_OF_HEX = f"""xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(range(length(h) // 2),
+    lambda k: [instr('0123456789ABCDEF', h[2 * k + 2]) - 1, instr('0123456789ABCDEF', h[2 * k + 1]) - 1]))),
+    lambda c, n: xor(c >> 4, {[_remainder(n, 4) for n in range(16)]}[(xor(c, n) & 15) + 1])))"""
+
+
+def _framed(field: str) -> str:
+    return f"coalesce(strlen({field}::VARCHAR)::VARCHAR || ':' || {field}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_framed, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _levels(rows: str) -> str:
+    """All levels of trees whose leaves are ``rows`` (tree, level, i, hash)."""
+    return f"""{rows}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, sha256(string_agg(hash, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM self) WHERE n > 1 GROUP BY tree, level, i // 3"""
+
+
+def _steps(name: str) -> str:
+    """What stands before and after each node in its run, below the top of its tree."""
+    run = "OVER (PARTITION BY tree, level, i // 3 ORDER BY i ROWS BETWEEN"
+    return f"""SELECT tree, level, i,
+         coalesce(string_agg(hash, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(hash, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree, level) AS n FROM {name}) WHERE n > 1"""
+
+
+def _walk(start: str, steps: str) -> str:
+    return f"""{start}
+  UNION ALL
+  SELECT w.row_id, w.tree, w.level + 1, w.i // 3, sha256(before || cur || after), proof || before || after
+  FROM self w JOIN {steps} s ON s.tree = w.tree AND s.level = w.level AND s.i = w.i"""
+
+
+MERKLE = f"""WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce('s' || source, '') AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC_OF_DIGITS} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM given
+), source_nodes AS (
+  {_levels("SELECT tree, 0::BIGINT AS level, i, leaf AS hash FROM leaves").replace("self", "source_nodes")}
+), subroots AS (
+  SELECT tree, hash AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM (SELECT tree, arg_max(hash, level) AS hash FROM source_nodes GROUP BY tree)
+), top_nodes AS (
+  {_levels("SELECT 'top' AS tree, 0::BIGINT AS level, place AS i, subroot AS hash FROM subroots").replace("self", "top_nodes")}
+), source_steps AS (
+  {_steps("source_nodes")}
+), top_steps AS (
+  {_steps("top_nodes")}
+), up AS (
+  {_walk("SELECT row_id, tree, 0::BIGINT AS level, i, claimed AS cur, '' AS proof FROM leaves", "source_steps").replace("self", "up")}
+), reached AS (
+  SELECT row_id, tree, arg_max(cur, level) AS cur, arg_max(proof, level) AS proof FROM up GROUP BY row_id, tree
+), over AS (
+  {_walk("SELECT row_id, 'top' AS tree, 0::BIGINT AS level, place AS i, cur, proof FROM reached JOIN subroots USING (tree)", "top_steps").replace("self", "over")}
+), ended AS (
+  SELECT row_id, arg_max(cur, level) AS folded_root, arg_max(proof, level) AS proof FROM over GROUP BY row_id
+), top AS (SELECT arg_max(hash, level) AS root FROM top_nodes)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ended USING (row_id), top"""
+
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+RULES = f"""WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT *, regexp_extract_all(text, {_WORDS}) AS w, regexp_extract_all(lower(text), {_WORDS}) AS lw FROM texts
+), grams AS (
+  SELECT row_id, doc_id,
+         unnest(list_concat(lw, list_transform(range(len(lw) - 1), lambda i: lw[i + 1] || ' ' || lw[i + 2]))) AS gram
+  FROM cut
+), hashed AS (
+  SELECT gram, {_CRC_OF_HEX} % 65536 AS bucket FROM (SELECT DISTINCT gram, hex(gram) AS h FROM grams)
+), trusted AS (
+  SELECT doc_id, 1 AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), counts AS (
+  SELECT bucket, count(*) AS raw, count(good) AS target
+  FROM grams JOIN hashed USING (gram) LEFT JOIN trusted USING (doc_id) GROUP BY bucket
+), weights AS (
+  SELECT bucket, floor(ln((target + 8.0::DOUBLE) / (raw * share + 8.0::DOUBLE)) * 1000000 + 0.5::DOUBLE)::BIGINT AS weight
+  FROM counts, (SELECT coalesce(sum(target)::DOUBLE / sum(raw), 0) AS share FROM counts)
+), scored AS (
+  SELECT row_id, count(*) AS n_grams, sum(weight)::BIGINT AS ratio_sum
+  FROM grams JOIN hashed USING (gram) JOIN weights USING (bucket) GROUP BY row_id
+), windows AS (
+  SELECT row_id, unnest(list_transform(range(len(w) - 2), lambda i: [w[i + 1], w[i + 2], w[i + 3]])) AS win,
+         unnest(range(len(w) - 2)) AS i
+  FROM cut
+), again AS (
+  SELECT row_id, i FROM (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, win) AS n FROM windows) WHERE n > 1
+), repeated AS (
+  SELECT row_id, count(DISTINCT i + d) AS n_repeat_words FROM again, range(3) x(d) GROUP BY row_id
+), counted AS (
+  SELECT row_id, doc_id, len(w) AS n_words, length(list_aggregate(list_concat([''], w), 'string_agg', '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_grams, 0) AS n_grams, coalesce(ratio_sum, 0) AS ratio_sum
+  FROM cut LEFT JOIN repeated USING (row_id) LEFT JOIN scored USING (row_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND ratio_sum >= -100000 * n_grams AS kept, n_grams, ratio_sum
+FROM counted"""
+
+ORACLES = {
+    "op2_secret_scan": SECRETS,
+    "op8_tool_calls": TOOL_CALLS,
+    "op9_near_vectors": NEAR_VECTORS,
+    "op11_merkle_manifest": MERKLE,
+    "op13_quality_rules": RULES,
+}
