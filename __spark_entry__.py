@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import importlib.util
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from deliverylens.operators import profile as P
-from deliverylens.operators import quality
+from deliverylens.operators import quality, sketches
 from deliverylens.operators.scaling import minmax_scale
-from deliverylens.plans import cleaning, dashboard, explore, features, kpi, questions, report, risk
+from deliverylens.plans import cleaning, cube, dashboard, explore, features, kpi, questions, refresh, report, risk
 from deliverylens.plans.stages import raw_tables, sample_tables
 from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, KPI_TABLES, TABLES
-from deliverylens.session import scratch_dir
+from deliverylens.session import materialized, remove_folder, scratch_dir
+from deliverylens.sources import loads
 from deliverylens.sources import tables as tables_io
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -48,18 +49,16 @@ def _cleaned(name: str):
     return _on_raw(lambda raw: cleaning.CLEANERS[name](raw[name]))
 
 
-def _filtered(build):
-    """A dashboard product under a fixed choice of projects, teams and priorities."""
+# a fixed choice for the dashboard's filters
+CHOICE = {
+    "team_names": ["NATION_1", "NATION_3", "NATION_7", "NATION_15", "NATION_16", "NATION_20"],
+    "priorities": ["High", "Critical", "Low"],
+}
 
-    def run(t):
-        f = dashboard.apply_filters(
-            t,
-            team_names=["NATION_1", "NATION_3", "NATION_7", "NATION_15", "NATION_16", "NATION_20"],
-            priorities=["High", "Critical", "Low"],
-        )
-        return build(t, f)
 
-    return _on_tables(run)
+def _filtered(build):
+    """A dashboard product under the fixed choice of teams and priorities."""
+    return _on_tables(lambda t: build(t, dashboard.apply_filters(t, **CHOICE)))
 
 
 def _unfiltered(build):
@@ -81,14 +80,132 @@ def _range_checks(t) -> DataFrame:
     )
 
 
+def _scratch_copy(spark, name: str, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` finds in a folder that ``write`` has filled; the folder is gone afterwards."""
+    folder = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        write(folder)
+        return materialized(read(folder), name)
+    finally:
+        remove_folder(spark, folder)
+
+
 def _output_presence(spark, sf_dir) -> DataFrame:
     """Whether each expected output is in the folder that the KPI tables were written to,
     with one name that is never written, so that an absent one shows."""
-    folder = f"{scratch_dir(spark)}/outputs-{uuid.uuid4().hex}"
     t = sample_tables(spark, sf_dir)
-    tables_io.write_parquet_set({name: t[name] for name in KPI_TABLES}, folder)
-    found = tables_io.tables_in(spark, folder, [*KPI_TABLES, "weekly_report"])
-    return _plain(quality.output_presence(found, [*KPI_TABLES, "weekly_report"], spark))
+    expected = [*KPI_TABLES, "weekly_report"]
+    return _plain(
+        _scratch_copy(
+            spark,
+            "outputs",
+            lambda folder: tables_io.write_parquet_set({name: t[name] for name in KPI_TABLES}, folder),
+            lambda folder: quality.output_presence(tables_io.tables_in(spark, folder, expected), expected, spark),
+        )
+    )
+
+
+def _processed_set(spark, sf_dir) -> DataFrame:
+    """All cleaned tables written as a Parquet set, found again by name, and counted."""
+    t = sample_tables(spark, sf_dir)
+    return _plain(
+        _scratch_copy(
+            spark,
+            "processed",
+            lambda folder: tables_io.write_parquet_set({name: t[name] for name in TABLES}, folder),
+            lambda folder: quality.row_counts(tables_io.tables_in(spark, folder, TABLES), TABLES),
+        )
+    )
+
+
+def _report_sheets(spark, sf_dir) -> DataFrame:
+    """The weekly report written as CSV sheets; the sheet of recommendations read back."""
+    t = sample_tables(spark, sf_dir)
+
+    def read(folder: str) -> DataFrame:
+        sheet = tables_io.read_csv_text(spark, f"{folder}/recommendations")
+        return sheet.withColumn("risk_score", F.col("risk_score").cast("double"))
+
+    return _plain(
+        _scratch_copy(spark, "report", lambda folder: tables_io.write_report(report.weekly_report(t, "2024-07-01"), folder), read)
+    )
+
+
+@contextmanager
+def _database(spark) -> Iterator[str]:
+    """A catalog database of its own below the shared folder, dropped with all it holds."""
+    name = f"lens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark)}/{name}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _repeated_load(spark, sf_dir) -> DataFrame:
+    """All cleaned tables loaded in two loads, each of them twice, and counted once."""
+    t = sample_tables(spark, sf_dir)
+    with _database(spark) as database:
+        for half in (0, 1):
+            rows = {n: t[n].filter(F.pmod(F.xxhash64(TABLES[n].primary_key), F.lit(2)) == half) for n in TABLES}
+            for _ in range(2):
+                loads.load_tables(rows, database, f"half-{half}")
+        counts = quality.row_counts({n: loads.loaded_table(spark, database, n) for n in TABLES}, TABLES)
+        return _plain(materialized(counts, "loaded"))
+
+
+def _catalog_view(spark, sf_dir) -> DataFrame:
+    """A view that the catalog keeps over loaded tables, replaced once, as another session sees it."""
+    t = sample_tables(spark, sf_dir)
+    with _database(spark) as database:
+        t["kpi_team_summary"].write.saveAsTable(f"{database}.team_kpis")
+        columns = "team_name, avg_sprint_velocity, bug_reopen_rate_pct"
+        loads.save_view(spark, f"{database}.fast_teams", f"SELECT {columns} FROM {database}.team_kpis")
+        loads.save_view(
+            spark,
+            f"{database}.fast_teams",
+            f"SELECT {columns} FROM {database}.team_kpis WHERE avg_sprint_velocity > 20",
+        )
+        return _plain(materialized(spark.newSession().table(f"{database}.fast_teams"), "view"))
+
+
+def _weekly_folder(spark, t, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``read`` makes of the state that ten refreshes leave, each of a tenth of the weeks,
+    one of them repeated."""
+
+    def write(folder: str) -> None:
+        weeks = refresh.weeks_of(t)
+        size = max(1, -(-len(weeks) // 10))
+        for first in [*range(0, len(weeks), size), 0]:
+            refresh.refresh(t, folder, weeks[first : first + size])
+
+    return _scratch_copy(spark, "weekly", write, lambda folder: read(refresh.kept_weeks(spark, folder)))
+
+
+def _cycle_quantiles(t, spark) -> DataFrame:
+    """Rank sketches of weeks merged into one a team, and how many of its quartiles miss their
+    rank by more than three times the error bound."""
+    probs = [0.25, 0.5, 0.75, 0.995]
+    merged = _weekly_folder(spark, t, refresh.cycle_sketches)
+    resolved = t["issues"].filter("resolved_date IS NOT NULL").select(F.col("team_id").cast("string"), "cycle_time_days")
+    answers = sketches.sketch_quantiles(merged, probs)
+    return sketches.rank_misses(resolved, "cycle_time_days", ["team_id"], answers, probs, 3 * sketches.rank_error())
+
+
+def _sketched_cap(raw, spark) -> DataFrame:
+    """Issues cleaned with a cap from a sketch: rows, and whether the share of rows at the
+    cap is the one wanted, within three times the error bound."""
+    cleaned = materialized(cleaning.clean_issues(raw["issues"], sketch_size=sketches.SIZE), "sketched")
+    cap = cleaned.agg(F.max("resolution_time_hours")).scalar()
+    hours = F.col("resolution_time_hours")
+    below, upto = F.count_if(hours < F.col("cap")), F.count_if(hours <= F.col("cap"))
+    error = 3 * sketches.rank_error()
+    wanted = cleaning.OUTLIER_QUANTILE
+    return cleaned.withColumn("cap", cap).agg(
+        F.count(F.lit(1)).alias("issues"),
+        F.count(hours).alias("timed"),
+        ((below / F.count(hours) <= wanted + error) & (upto / F.count(hours) >= wanted - error)).alias("within"),
+    )
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -135,16 +252,22 @@ def _csv_round_trip(table: str):
     """A table exported to CSV in the scratch folder, read back by name and cleaned."""
 
     def run(spark, sf_dir):
-        folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
         raw = raw_tables(spark, sf_dir)[table]
         ordered = "arrival" in raw.columns
         # lines in order of arrival, which the reader takes from their places
         rows = raw.orderBy("arrival") if ordered else raw
         # the exported column order differs from the table's, so only names can bind
         names = sorted(c for c in raw.columns if c != "arrival")
-        tables_io.write_csv_table(rows.select(*names), f"{folder}/{table}.csv")
-        back = tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table, with_arrival=ordered)
-        return _plain(cleaning.CLEANERS[table](back))
+        return _plain(
+            _scratch_copy(
+                spark,
+                "export",
+                lambda folder: tables_io.write_csv_table(rows.select(*names), f"{folder}/{table}.csv"),
+                lambda folder: cleaning.CLEANERS[table](
+                    tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table, with_arrival=ordered)
+                ),
+            )
+        )
 
     return run
 
@@ -159,17 +282,19 @@ def _team_view(spark, sf_dir):
     )
 
 
-def _has_llm() -> bool:
-    """Whether the training-data subpackage is installed; errors within it are not hidden."""
-    return all(importlib.util.find_spec(name) is not None for name in ("deliverylens.llm", "corpus_pipeline"))
+def _llm():
+    """The queries of the training-data subpackage, or None where it cannot be imported: it
+    may be left out, and so may the libraries that it needs."""
+    try:
+        from deliverylens.llm import queries as llm
+    except ImportError:
+        return None
+    return llm
 
 
 def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    if not _has_llm():
-        return {}
-    from deliverylens.llm import queries as llm
-
-    return llm.queries()
+    llm = _llm()
+    return llm.queries() if llm else {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -308,9 +433,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ex_risk_ranking": _unfiltered(lambda t, f: d.risk_ranking(f)),
         "ex_risk_long": _unfiltered(lambda t, f: d.risk_breakdown(f)),
         "ex_risk_detail": _filtered(lambda t, f: d.risk_detail(f)),
+        # the same products from cells
+        "cube_cards": _on_tables(cube.executive_cards),
+        "cube_cards_filtered": _on_tables(lambda t: cube.executive_cards(t, **CHOICE)),
+        "cube_completion_trend": _on_tables(cube.completion_trend),
+        "cube_severity_share": _on_tables(cube.severity_share),
+        "cube_bugs_by_project": _on_tables(cube.bugs_by_project),
+        "cube_defect_trend": _on_tables(lambda t: cube.defect_trend(t, **CHOICE)),
+        "cube_deploy_trend": _on_tables(cube.deployment_trend),
+        "cube_release_share": _on_tables(cube.release_outcomes),
+        "cube_filter_counts": _on_tables(lambda t: cube.row_counts(t, **CHOICE)),
+        # kept up to date week by week, and approximate quantiles
+        "kpi_team_weekly": lambda spark, sf_dir: _plain(
+            (lambda t: _weekly_folder(spark, t, lambda kept: refresh.team_kpis(kept, t["teams"])))(sample_tables(spark, sf_dir))
+        ),
+        "sketch_cycle_quantiles": lambda spark, sf_dir: _plain(_cycle_quantiles(sample_tables(spark, sf_dir), spark)),
+        "sketch_outlier_cap": lambda spark, sf_dir: _plain(_sketched_cap(raw_tables(spark, sf_dir), spark)),
         # sources, sinks and views
         **{f"io_csv_{name}": _csv_round_trip(name) for name in table_names},
         "io_team_view": _team_view,
+        "io_catalog_view": _catalog_view,
+        "io_repeated_load": _repeated_load,
+        "io_processed_set": _processed_set,
+        "io_report_sheets": _report_sheets,
+        "io_preview": _on_tables(lambda t: explore.preview(t["issues"], "issue_id")),
         # models
         **_model_queries(),
         # training data
@@ -321,9 +467,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from oracle.statements import statements
 
-    found = statements()
-    if _has_llm():
-        from deliverylens.llm import queries as llm
-
-        found |= llm.oracle_sql()
-    return found
+    llm = _llm()
+    return statements() | (llm.oracle_sql() if llm else {})

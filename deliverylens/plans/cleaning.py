@@ -1,4 +1,7 @@
-"""Cleaning rules for the ten tables, with their audit counters."""
+"""Cleaning rules for the ten tables, with their audit counters.
+
+Every rule takes ``counters``, which the job that writes the table then fills.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +10,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from deliverylens.functions.scalars import cap_at, count_rows, days_between, flag, safe_ratio, tidy_label
-from deliverylens.operators.dedupe import keep_first
+from deliverylens.operators.dedupe import first_copies, keep_first
+from deliverylens.operators.observed import Counters
 from deliverylens.operators.quantiles import exact_quantile
+from deliverylens.operators.sketches import rank_sketches, sketch_quantile
 from deliverylens.schema import ISSUE_STATUSES
 from deliverylens.session import materialized
 
@@ -16,11 +21,31 @@ OUTLIER_QUANTILE = 0.995
 COMPLETION_CAP = 1.2
 
 
-def _first_arrivals(df: DataFrame, key: str, arrival: str | None) -> DataFrame:
-    """Keep the first copy per key; without an arrival column, order by the whole row."""
-    if arrival and arrival in df.columns:
-        return keep_first(df, [key], [arrival]).drop(arrival)
-    return keep_first(df, [key], [F.struct(*[c for c in df.columns if c != key])])
+# tables whose cleaning is counted
+AUDITED = ("developers", "sprints", "issues", "commits", "pull_requests", "code_reviews", "deployments", "releases")
+
+
+def _first_arrivals(
+    df: DataFrame, key: str, arrival: str | None, counters: Counters | None = None, table: str = "", **metrics
+) -> DataFrame:
+    """Keep the first copy per key; without an arrival column, order by the whole row.
+
+    With ``counters``, the job that writes the result also counts the rows that came in, those
+    left, and ``metrics`` of these.
+    """
+    known = bool(arrival) and arrival in df.columns
+    order = [arrival] if known else [F.struct(*[c for c in df.columns if c != key])]
+    if counters is None:
+        first = keep_first(df, [key], order)
+    else:
+        counted = first_copies(df, [key], order, "_copies")
+        rows_in = F.coalesce(F.sum("_copies"), F.lit(0))
+        first = counters.watch(counted, table, rows_in=rows_in, rows_out=count_rows(), **metrics).drop("_copies")
+    return first.drop(arrival) if known else first
+
+
+def _counted(df: DataFrame, counters: Counters | None, table: str, **metrics) -> DataFrame:
+    return df if counters is None else counters.watch(df, table, rows_in=count_rows(), **metrics)
 
 
 def _strict(df: DataFrame, **types: str) -> DataFrame:
@@ -31,50 +56,92 @@ def _lenient(df: DataFrame, **types: str) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
-def clean_teams(df: DataFrame) -> DataFrame:
+def clean_teams(df: DataFrame, counters: Counters | None = None) -> DataFrame:
     return _strict(df, formed_date="date")
 
 
-def clean_projects(df: DataFrame) -> DataFrame:
+def clean_projects(df: DataFrame, counters: Counters | None = None) -> DataFrame:
     return _strict(df, start_date="date")
 
 
-def clean_developers(df: DataFrame, arrival: str | None = "arrival") -> DataFrame:
-    return _strict(_first_arrivals(df, "developer_id", arrival), hire_date="date")
+def clean_developers(df: DataFrame, arrival: str | None = "arrival", counters: Counters | None = None) -> DataFrame:
+    return _strict(_first_arrivals(df, "developer_id", arrival, counters, "developers"), hire_date="date")
 
 
-def clean_sprints(df: DataFrame) -> DataFrame:
+def clean_sprints(df: DataFrame, counters: Counters | None = None) -> DataFrame:
     """Completion rate = completed / planned, capped; NULL when nothing was planned."""
     rate = safe_ratio("completed_story_points", "planned_story_points")
-    return _strict(df, sprint_start_date="date", sprint_end_date="date").withColumn(
+    cleaned = _strict(df, sprint_start_date="date", sprint_end_date="date").withColumn(
         "sprint_completion_rate", cap_at(rate, F.lit(COMPLETION_CAP))
     )
+    return _counted(cleaned, counters, "sprints")
 
 
-def outlier_cap(issues: DataFrame):
-    """The winsorizing cap of resolution hours, taken after de-duplication."""
-    return exact_quantile(issues, "resolution_time_hours", OUTLIER_QUANTILE)
+def outlier_cap(issues: DataFrame, sketch_size: int | None = None):
+    """The winsorizing cap of resolution hours, taken after de-duplication: the exact quantile,
+    or with ``sketch_size`` one from a rank sketch, in one pass (``sketches.rank_error`` says
+    how far its rank may be off)."""
+    if sketch_size is None:
+        return exact_quantile(issues, "resolution_time_hours", OUTLIER_QUANTILE)
+    sketch = rank_sketches(issues, "resolution_time_hours", size=sketch_size)
+    return sketch.select(sketch_quantile(F.col("sketch"), OUTLIER_QUANTILE)).scalar()
 
 
-def clean_issues(df: DataFrame, arrival: str | None = "arrival") -> DataFrame:
-    """First copy per key, tidy status, winsorized hours, cycle time from the dates."""
-    # read three times below, so the de-duplication runs once and is kept
-    first = materialized(_first_arrivals(df, "issue_id", arrival), "first-issues")
+def clean_issues(
+    df: DataFrame,
+    arrival: str | None = "arrival",
+    counters: Counters | None = None,
+    sketch_size: int | None = None,
+) -> DataFrame:
+    """First copy per key, tidy status, winsorized hours, cycle time from the dates.
+
+    Of the audit's counters, ``status_fixes`` counts labels that really change;
+    ``status_fixes_naive`` also counts every clean "Won't Fix" and missing label, as a
+    comparison with plain title case would. ``hours_cap`` is the largest value left.
+    """
+    status = F.col("status")
+    plain_title = F.when(tidy_label(status) == "Won't Fix", "Won'T Fix").otherwise(tidy_label(status))
+    # read again below, for the cap and for the rows, so the de-duplication runs once and is kept
+    first = materialized(
+        _first_arrivals(
+            df,
+            "issue_id",
+            arrival,
+            counters,
+            "issues",
+            status_fixes=F.count_if(status != tidy_label(status)),
+            status_fixes_naive=F.count_if(status.isNull() | (status != plain_title)),
+            severity_missing=F.count_if(F.col("severity").isNull()),
+        ),
+        "first-issues",
+    )
     typed = _lenient(_strict(first, created_date="timestamp_ntz"), resolved_date="timestamp_ntz")
-    return typed.withColumns(
+    cap = outlier_cap(first, sketch_size)
+    cleaned = typed.withColumns(
         {
             "status": tidy_label("status"),
-            "resolution_time_hours": cap_at("resolution_time_hours", outlier_cap(first)),
+            "_over": F.col("resolution_time_hours") > cap,
+            "resolution_time_hours": cap_at("resolution_time_hours", cap),
             "reopened": F.col("reopened").cast("int"),
             "escaped_defect": F.col("escaped_defect").cast("int"),
             "cycle_time_days": days_between("created_date", "resolved_date"),
         }
     )
+    if counters is not None:
+        cleaned = counters.watch(
+            cleaned, "issues", hours_capped=F.count_if("_over"), hours_cap=F.max("resolution_time_hours")
+        )
+    return cleaned.drop("_over")
 
 
-def clean_commits(df: DataFrame, arrival: str | None = "arrival") -> DataFrame:
+def clean_commits(df: DataFrame, arrival: str | None = "arrival", counters: Counters | None = None) -> DataFrame:
     """Negative line counts become the median of the valid ones."""
-    first = materialized(_first_arrivals(df, "commit_id", arrival), "first-commits")
+    first = materialized(
+        _first_arrivals(
+            df, "commit_id", arrival, counters, "commits", negative_lines=F.count_if(F.col("lines_added") < 0)
+        ),
+        "first-commits",
+    )
     valid = first.withColumn("lines_added", F.when(F.col("lines_added") >= 0, F.col("lines_added").cast("double")))
     middle = exact_quantile(valid, "lines_added", 0.5)
     return (
@@ -84,25 +151,29 @@ def clean_commits(df: DataFrame, arrival: str | None = "arrival") -> DataFrame:
     )
 
 
-def clean_pull_requests(df: DataFrame) -> DataFrame:
+def clean_pull_requests(df: DataFrame, counters: Counters | None = None) -> DataFrame:
     typed = _lenient(_strict(df, opened_date="timestamp_ntz"), closed_date="timestamp_ntz")
-    return typed.withColumn("is_merged", flag(F.col("status") == "Merged"))
+    cleaned = typed.withColumn("is_merged", flag(F.col("status") == "Merged"))
+    missing = F.count_if(F.col("review_time_hours").isNull())
+    return _counted(cleaned, counters, "pull_requests", review_time_missing=missing)
 
 
-def clean_code_reviews(df: DataFrame) -> DataFrame:
-    return _strict(df, review_timestamp="timestamp_ntz")
+def clean_code_reviews(df: DataFrame, counters: Counters | None = None) -> DataFrame:
+    return _counted(_strict(df, review_timestamp="timestamp_ntz"), counters, "code_reviews")
 
 
-def clean_deployments(df: DataFrame) -> DataFrame:
-    return _strict(df, deployment_timestamp="timestamp_ntz").withColumn(
+def clean_deployments(df: DataFrame, counters: Counters | None = None) -> DataFrame:
+    cleaned = _strict(df, deployment_timestamp="timestamp_ntz").withColumn(
         "is_failure", flag(F.col("status") == "Failed")
     )
+    return _counted(cleaned, counters, "deployments")
 
 
-def clean_releases(df: DataFrame) -> DataFrame:
+def clean_releases(df: DataFrame, counters: Counters | None = None) -> DataFrame:
     """Cancelled releases stay; they count in rates but carry no delay."""
     typed = _lenient(_strict(df, planned_release_date="date"), actual_release_date="date")
-    return typed.withColumn("is_delayed", flag(F.col("status") == "Delayed"))
+    cleaned = typed.withColumn("is_delayed", flag(F.col("status") == "Delayed"))
+    return _counted(cleaned, counters, "releases", cancelled=F.count_if(F.col("status") == "Cancelled"))
 
 
 CLEANERS = {
@@ -119,71 +190,14 @@ CLEANERS = {
 }
 
 
-def _counters(df: DataFrame, table: str, metrics: dict) -> DataFrame:
-    """One pass over a table, one output row per counter."""
-    row = df.agg(*[c.cast("double").alias(n) for n, c in metrics.items()])
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("metric"), F.col(n).alias("value"))
-                    for n in metrics
-                ]
-            )
-        )
-    )
-
-
-def cleaning_audit(raw: Mapping[str, DataFrame], cleaned: Mapping[str, DataFrame]) -> DataFrame:
+def cleaning_audit(cleaned: Mapping[str, DataFrame], counters: Counters) -> DataFrame:
     """What a cleaning run changed: table_name, metric, value.
 
-    Counters of what went in come from the raw tables, those of what came out from the
-    cleaned tables of the same run; only label and hour changes, which show in neither
-    alone, meet by key. ``status_fixes`` counts labels that really change.
-    ``status_fixes_naive`` also counts every clean "Won't Fix" and missing label, as a
-    comparison with plain title case would.
+    The counters are those of the jobs that wrote the cleaned tables (written here, where
+    they were not), so nothing is read or de-duplicated for the audit.
     """
-    rows, status = count_rows(), F.col("status")
-    # which raw copy was kept is what de-duplication decides, so its narrow part runs here
-    columns = ["issue_id", "status", "resolution_time_hours", "severity"]
-    first = _first_arrivals(raw["issues"], "issue_id", "arrival").select(*columns)
-    hours = F.col("resolution_time_hours").cast("double")
-    # the cap is the largest value left
-    cap = cleaned["issues"].agg(F.max("resolution_time_hours")).scalar()
-    plain_title = F.when(tidy_label(status) == "Won't Fix", "Won'T Fix").otherwise(tidy_label(status))
-    commits = _first_arrivals(raw["commits"], "commit_id", "arrival").select("lines_added")
-    parts = [
-        _counters(raw["developers"], "developers", {"rows_in": rows}),
-        _counters(cleaned["developers"], "developers", {"rows_out": rows}),
-        _counters(raw["sprints"], "sprints", {"rows_in": rows}),
-        _counters(raw["issues"], "issues", {"rows_in": rows}),
-        _counters(
-            first.withColumn("_cap", cap),
-            "issues",
-            {
-                "rows_out": rows,
-                "status_fixes": F.count_if(status != tidy_label(status)),
-                "status_fixes_naive": F.count_if(status.isNull() | (status != plain_title)),
-                "hours_capped": F.count_if(hours > F.col("_cap")),
-                "hours_cap": F.max("_cap"),
-                "severity_missing": F.count_if(F.col("severity").isNull()),
-            },
-        ),
-        _counters(raw["commits"], "commits", {"rows_in": rows}),
-        _counters(commits, "commits", {"rows_out": rows, "negative_lines": F.count_if(F.col("lines_added") < 0)}),
-        _counters(
-            raw["pull_requests"],
-            "pull_requests",
-            {"rows_in": rows, "review_time_missing": F.count_if(F.col("review_time_hours").isNull())},
-        ),
-        _counters(raw["code_reviews"], "code_reviews", {"rows_in": rows}),
-        _counters(raw["deployments"], "deployments", {"rows_in": rows}),
-        _counters(raw["releases"], "releases", {"rows_in": rows, "cancelled": F.count_if(status == "Cancelled")}),
-    ]
-    audit = parts[0]
-    for part in parts[1:]:
-        audit = audit.unionAll(part)
-    return audit
+    written = [cleaned[name] for name in AUDITED]
+    return counters.frame(written[0].sparkSession, AUDITED)
 
 
 def status_domain_rule():

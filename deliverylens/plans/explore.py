@@ -33,6 +33,11 @@ PROJECT_METRICS = (
 )
 
 
+def preview(df: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """The first ``n`` rows by a unique key. Each task sends ``n`` rows at most."""
+    return df.orderBy(key).limit(n)
+
+
 def completion_by_team(t: Tables) -> DataFrame:
     """Completion distribution per team name, best mean first."""
     named = t["sprints"].join(t["teams"].select("team_id", "team_name"), "team_id")

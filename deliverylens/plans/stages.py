@@ -10,7 +10,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.plans import cleaning, features, kpi, risk
+from deliverylens.operators.observed import Counters
+from deliverylens.plans import cleaning, cube, features, kpi, risk
 from deliverylens.session import StageStore
 from deliverylens.sources.driver_tables import RAW_LOADERS
 
@@ -36,21 +37,26 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
 
 
 def delivery_tables(spark: SparkSession, raw: Mapping[str, DataFrame], label: str) -> Lazy:
-    """Cleaned, KPI, feature and model tables over a raw set, and its cleaning audit.
+    """Cleaned, KPI, feature and model tables and filter cells over a raw set, and its cleaning audit.
 
     Each call has stages of its own; ``label`` only names their folder.
     """
     store = StageStore(spark, label)
+    counters = Counters()
     tables = Lazy({})
     stages: dict[str, Callable[[], DataFrame]] = {
-        **{name: (lambda clean=clean, name=name: clean(raw[name])) for name, clean in cleaning.CLEANERS.items()},
-        "cleaning_audit": lambda: cleaning.cleaning_audit(raw, tables),
+        **{
+            name: (lambda clean=clean, name=name: clean(raw[name], counters=counters))
+            for name, clean in cleaning.CLEANERS.items()
+        },
+        "cleaning_audit": lambda: cleaning.cleaning_audit(tables, counters),
         "kpi_team_summary": lambda: kpi.team_kpis(tables),
         "kpi_project_health": lambda: kpi.project_health(tables),
         "kpi_developer_workload": lambda: kpi.developer_workload(tables),
         "kpi_developer_productivity": lambda: kpi.productivity(tables, tables["kpi_developer_workload"]),
         "release_risk_scores": lambda: risk.risk_scores(tables),
         "release_delay_features": lambda: features.release_features(tables),
+        **{name: (lambda build=build: build(tables)) for name, build in cube.CELLS.items()},
     }
     for name, build in stages.items():
         tables._builders[name] = lambda name=name, build=build: store.get(name, build)

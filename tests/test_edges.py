@@ -1,12 +1,16 @@
 """Hand-written rows for every semantic trap."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from deliverylens.functions import scalars as S
 from deliverylens.operators import quality, ranking
+from deliverylens.operators.dedupe import first_copies
 from deliverylens.operators.profile import histogram, pivot_counts
 from deliverylens.operators.ranking import halves_by_date
 from deliverylens.operators.rollup import align_on_key, rollup_via
@@ -106,26 +110,77 @@ def test_negative_lines_become_the_median(spark):
     assert rows == {"a": (15.0, 16.0), "b": (10.0, 11.0), "c": (20.0, 21.0), "d": (15.0, 16.0)}
 
 
-def test_naive_status_fixes_overcount(spark):
+def test_audit_counts_what_the_writing_jobs_see(spark):
+    """Labels, copies of a key, capped hours and tables without rows, through the stages."""
     base = {"created_date": ts("2024-01-01"), "reopened": 0, "escaped_defect": 0}
     labels = ["Done", "DONE  ", "Won't Fix", None]
-    df = issues(spark, [{**base, "issue_id": f"I{i}", "status": s} for i, s in enumerate(labels)])
+    rows = [{**base, "issue_id": f"I{i}", "status": s, "resolution_time_hours": 1.0 + i} for i, s in enumerate(labels)]
+    df = issues(spark, rows + [{**rows[1], "status": "done"}] * 3)
     empty = {
-        "developers": "developer_id string",
-        "sprints": "sprint_id string",
-        "commits": "commit_id string, lines_added double",
-        "pull_requests": "review_time_hours double",
-        "code_reviews": "review_id string",
-        "deployments": "deployment_id string",
-        "releases": "status string",
+        "developers": "developer_id string, hire_date date, arrival int",
+        "sprints": "sprint_id string, sprint_start_date date, sprint_end_date date, completed_story_points int, planned_story_points int",
+        "commits": "commit_id string, lines_added double, lines_deleted int, commit_timestamp timestamp_ntz, arrival int",
+        "pull_requests": "review_time_hours double, status string, opened_date timestamp_ntz, closed_date timestamp_ntz",
+        "code_reviews": "review_id string, review_timestamp timestamp_ntz",
+        "deployments": "deployment_id string, status string, deployment_timestamp timestamp_ntz",
+        "releases": "status string, planned_release_date date, actual_release_date date",
     }
     raw = {n: spark.createDataFrame([], s) for n, s in empty.items()}
-    raw["developers"] = spark.createDataFrame([], "developer_id string, arrival int")
-    raw["commits"] = spark.createDataFrame([], "commit_id string, lines_added double, arrival int")
-    raw["issues"] = df.withColumn("arrival", F.lit(1))
-    audit = {(r.table_name, r.metric): r.value for r in cleaning.cleaning_audit(raw, raw).collect()}
-    assert audit["issues", "status_fixes"] == 1
-    assert audit["issues", "status_fixes_naive"] == 3
+    raw["issues"] = df.withColumn("arrival", F.when(F.col("status") == "done", None).otherwise(1))
+    t = delivery_tables(spark, raw, "audit-test")
+    audit = {(r.table_name, r.metric): r.value for r in t["cleaning_audit"].collect()}
+    assert {m: v for (n, m), v in audit.items() if n == "issues"} == {
+        "rows_in": 7.0,
+        "rows_out": 4.0,
+        # the copies without an arrival come first, and their label is no clean one either
+        "status_fixes": 1.0,
+        "status_fixes_naive": 3.0,
+        "severity_missing": 4.0,
+        "hours_capped": 1.0,
+        "hours_cap": pytest.approx(3.985),
+    }
+    assert audit["commits", "rows_in"] == audit["commits", "negative_lines"] == audit["releases", "cancelled"] == 0.0
+    assert audit["pull_requests", "review_time_missing"] == 0.0
+
+
+AUDIT_WITH_RETRIES = """
+import sys; sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from deliverylens.operators.observed import Counters
+from deliverylens.operators.dedupe import first_copies
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "3").config("spark.sql.adaptive.enabled", "false").getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+def once(batches):
+    for k, batch in enumerate(batches):
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+raw = spark.range(0, 90, 1, 3).select((F.col("id") % 30).alias("k"), F.col("id").alias("v")).mapInPandas(once, "k long, v long")
+counters = Counters()
+first = counters.watch(first_copies(raw, ["k"], ["v"], "n"), "t", rows_in=F.sum("n"), rows_out=F.count(F.lit(1)))
+first.mapInPandas(once, "k long, v long, n long").write.format("noop").mode("overwrite").save()
+print(sorted(counters.found(["t"])))
+"""
+
+
+def test_audit_is_right_after_failed_attempts(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run(
+        [sys.executable, "-c", AUDIT_WITH_RETRIES, root], capture_output=True, text=True, cwd=tmp_path, timeout=300
+    )
+    assert run.stdout.strip().splitlines()[-1] == "[('t', 'rows_in', 90.0), ('t', 'rows_out', 30.0)]", run.stderr[-2000:]
+
+
+def test_counted_first_copies_are_the_first_ones(spark):
+    rows = [("k", i) for i in range(500, 0, -1)] + [(f"u{i}", 1000 + i) for i in range(50)] + [(None, 7), ("n", None), ("n", 1)]
+    df = spark.createDataFrame(rows, "key string, arrival int").repartition(6)
+    kept = {r.key: (r.arrival, r.n) for r in first_copies(df, ["key"], ["arrival"], "n").collect()}
+    assert len(kept) == 53 and kept["k"] == (1, 500) and kept[None] == (7, 1) and kept["n"] == (None, 2)
+    assert {(r.key, r.arrival) for r in cleaning.keep_first(df, ["key"], ["arrival"]).collect()} == {
+        (k, a) for k, (a, _) in kept.items()
+    }
 
 
 def test_missing_group_keys(spark):
