@@ -78,7 +78,7 @@ class PieceEncoder:
     With ``plain_specials``, special tokens that stand in a text are text like any other.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False):
+    def __init__(self, path: str, plain_specials: bool = False, kept: int = KEPT_PIECES):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -86,7 +86,7 @@ class PieceEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [] if plain_specials else [t.content for t in added]
         self.odd = "|".join([_ODD_SPACE, *(re.escape(s) for s in self.special)])
-        self.known = Remembered(KEPT_PIECES)
+        self.known = Remembered(kept)
 
     def _parts(self, piece: str) -> tuple[str, ...]:
         """What of a piece is encoded on its own."""
