@@ -16,7 +16,7 @@ from deliverylens.plans import cleaning, cube, dashboard, explore, features, kpi
 from deliverylens.plans.stages import raw_tables, sample_tables
 from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, KPI_TABLES, TABLES
 from deliverylens.session import materialized, remove_folder, scratch_dir
-from deliverylens.sources import loads
+from deliverylens.sources import layout, loads
 from deliverylens.sources import tables as tables_io
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -169,6 +169,15 @@ def _catalog_view(spark, sf_dir) -> DataFrame:
         return _plain(materialized(spark.newSession().table(f"{database}.fast_teams"), "view"))
 
 
+def _bucketed_metrics(spark, sf_dir) -> DataFrame:
+    """Project metrics from facts in buckets by project."""
+    t = sample_tables(spark, sf_dir)
+    with _database(spark) as database:
+        names = ("projects", "sprints", "issues", "pull_requests", "deployments", "releases")
+        layout.write_bucketed({n: t[n] for n in names}, database, layout.bucket_count(t["issues"].count()))
+        return _plain(materialized(explore.project_metrics(layout.catalog_set(spark, database, names)), "bucketed"))
+
+
 def _weekly_folder(spark, t, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What ``read`` makes of the state that ten refreshes leave, each of a tenth of the weeks,
     one of them repeated."""
@@ -394,6 +403,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eda_load_hist": _on_tables(explore.load_histogram),
         "eda_load_quantiles": _on_tables(explore.load_quantiles),
         "eda_project_metrics": _on_tables(explore.project_metrics),
+        "eda_project_metrics_bucketed": _bucketed_metrics,
         "eda_project_metrics_outer": _on_tables(lambda t: explore.project_metrics(t, keep_unknown=True)),
         "eda_corr_matrix": _on_tables(explore.metric_correlations),
         "eda_corr_pairs": _on_tables(

@@ -101,20 +101,16 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+def profile(df: DataFrame, numeric: list[str], categorical: list[str], keys: list[str] | None = None) -> DataFrame:
     """Column profile: count, unique, top, freq and numeric summary.
 
-    Values are counted per (column, value), so distinct counts and modes are
-    distributed; ties for the mode go to the smallest value.
+    Values of ``categorical`` columns are counted per (column, value), so distinct counts and
+    modes are distributed; ties for the mode go to the smallest value. ``keys`` are columns
+    known to be unique: all their values are modes, so none of them is counted or moved.
     """
     cells = df.select(
         F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
-                    for c in categorical
-                ]
-            )
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in categorical])
         )
     )
     per_value = cells.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
@@ -130,19 +126,38 @@ def profile(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFr
         )
         .select("column_name", "n", "unique_values", F.col("_best.v").alias("top"), (-F.col("_best.c")).alias("freq"))
     )
-    numbers = df.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in numeric]
+    if keys:
+        of_key = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("n"),
+                F.count(c).alias("unique_values"),
+                F.min(F.col(c).cast("string")).alias("top"),
+                F.when(F.count(c) > 0, F.lit(1).cast("bigint")).alias("freq"),
             )
-        )
-    )
-    moments = numbers.groupBy("column_name").agg(
-        F.count("x").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("minimum"),
-        F.max("x").alias("maximum"),
+            for c in keys
+        ]
+        labels = labels.unionByName(df.agg(F.array(*of_key).alias("k")).select(F.inline("k")))
+    if not numeric:
+        return labels
+    x = {c: F.col(c).cast("double") for c in numeric}
+    moments = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.count(x[c]).alias("n"),
+                    F.avg(x[c]).alias("mean"),
+                    F.stddev_samp(x[c]).alias("std"),
+                    F.min(x[c]).alias("minimum"),
+                    F.max(x[c]).alias("maximum"),
+                )
+                for c in numeric
+            ]
+        ).alias("m")
+    ).select(F.inline("m"))
+    numbers = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), x[c].alias("x")) for c in numeric]))
     )
     quartiles = exact_quantiles(numbers, "x", [0.25, 0.5, 0.75], ["column_name"]).select(
         "column_name",
@@ -155,4 +170,3 @@ def profile(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFr
 
 def unpivot_columns(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:
     return df.unpivot(keys, columns, name, value)
-

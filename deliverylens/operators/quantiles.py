@@ -5,6 +5,9 @@ first 16 bits of their keys; of those counts, at most 65,536 a group, the one th
 holds a wanted rank is followed into the next 16 bits, four times in all. Every
 wanted rank of every group goes down in the same passes. No values are ordered and
 no step depends on how many there are or on how they lie in the input.
+
+The input is read once: rows are counted by group and key, and all passes share the
+exchange of that count.
 """
 
 from __future__ import annotations
@@ -96,24 +99,40 @@ def _ranks_within(counted: DataFrame, by: list[str], wanted: Column) -> DataFram
     )
 
 
+def _group(by: list[str]) -> list[str]:
+    return [f"_by_{c}" for c in by]
+
+
+def _value_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """How often each value occurs in each group: ``_by_`` columns, _key and _c. NULL is left out."""
+    x = F.col(value).cast("double")
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *[F.col(c).alias(g) for c, g in zip(by, _group(by))],
+        # never NULL, which also tells the planner to leave the shared part alone
+        F.coalesce(_order_key(x), F.lit(0).cast("bigint")).alias("_key"),
+    )
+    return rows.groupBy(*_group(by), "_key").agg(F.count(F.lit(1)).alias("_c"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Linear-interpolation quantiles: ``by`` + ``n`` + ``quantiles`` (array, ``probs`` order).
 
-    NULL values are left out, a group of nothing else has no row. ``df`` is read once
-    a level, each time joined to the few digits that are followed; the planner sees
-    their size at run time.
+    NULL values are left out, a group of nothing else has no row.
     """
     by = list(by or [])
-    group = [f"_by_{c}" for c in by]
-    rows = df.filter(F.col(value).isNotNull()).select(
-        *[F.col(c).alias(g) for c, g in zip(by, group)], _order_key(F.col(value).cast("double")).alias("_key")
-    )
+    return _quantiles(_value_counts(df, value, by), probs, by)
+
+
+def _quantiles(values: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
+    """Quantiles of counted values. Each level is joined to the few digits that are followed;
+    the planner sees their size at run time."""
+    group = _group(by)
 
     def digit(level: int) -> Column:
         shift = 64 - DIGIT_BITS * (level + 1)
         return F.shiftrightunsigned("_key", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
 
-    first = rows.groupBy(*group, digit(0).alias("_digit")).agg(F.count(F.lit(1)).alias("_c"))
+    first = values.groupBy(*group, digit(0).alias("_digit")).agg(F.sum("_c").alias("_c"))
     first = first.withColumn("n", F.sum("_c").over(Window.partitionBy(*group))).withColumn(
         "_prefix", F.lit(0).cast("bigint")
     )
@@ -125,9 +144,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
         for g in group:
             condition = condition & F.col(g).eqNullSafe(F.col(f"{g}_"))
         counted = (
-            rows.join(followed, condition)
+            values.join(followed, condition)
             .groupBy(*group, "_prefix", digit(level).alias("_digit"))
-            .agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), F.first("_want").alias("_want"))
+            .agg(F.sum("_c").alias("_c"), F.first("n").alias("n"), F.first("_want").alias("_want"))
         )
         hits = _ranks_within(counted, group, F.col("_want"))
 
@@ -153,22 +172,22 @@ def exact_quantile(df: DataFrame, value: str, prob: float) -> Column:
 
 
 def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Five-number summary, count and mean per group."""
-    summary = df.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.avg(F.col(value).cast("double")).alias("mean"),
-        F.min(F.col(value).cast("double")).alias("minimum"),
-        F.max(F.col(value).cast("double")).alias("maximum"),
+    """Five-number summary, count and mean per group, from one look at ``df``."""
+    values = _value_counts(df, value, by)
+    x = _key_value(F.col("_key"))
+    summary = values.groupBy(*_group(by)).agg(
+        F.sum("_c").alias("n"),
+        (F.sum(x * F.col("_c")) / F.sum("_c")).alias("mean"),
+        F.min(x).alias("minimum"),
+        F.max(x).alias("maximum"),
     )
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by).select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
+    q = _quantiles(values, [0.25, 0.5, 0.75], by).select(
+        *by,
         F.element_at("quantiles", 1).alias("q1"),
         F.element_at("quantiles", 2).alias("median"),
         F.element_at("quantiles", 3).alias("q3"),
     )
-    condition = F.col(by[0]).eqNullSafe(F.col(f"_by_{by[0]}"))
-    for c in by[1:]:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return summary.filter(F.col("n") > 0).join(q, condition).select(
-        *by, "n", "mean", "minimum", "q1", "median", "q3", "maximum"
-    )
+    condition = F.lit(True)
+    for c, g in zip(by, _group(by)):
+        condition = condition & F.col(c).eqNullSafe(F.col(g))
+    return summary.join(q, condition).select(*by, "n", "mean", "minimum", "q1", "median", "q3", "maximum")

@@ -217,39 +217,3 @@ def risk_detail(f: Tables) -> DataFrame:
         .select("project_name", "risk_tier", "release_risk_score")
     )
 
-
-PAGES = {
-    "executive": lambda t, f: {
-        "cards": executive_cards(f),
-        "completion_trend": completion_trend(f),
-        "health_ranking": health_ranking(f),
-    },
-    "productivity": lambda t, f: {
-        "velocity": team_ranking(f, "avg_sprint_velocity"),
-        "review_time": team_ranking(f, "avg_pr_review_hours"),
-        "cycle_time": cycle_time_by_priority(f),
-        "score_histogram": productivity_histogram(t, f),
-    },
-    "quality": lambda t, f: {
-        "severity_share": severity_share(f),
-        "bugs_by_project": bugs_by_project(t, f),
-        "reopen_rate": team_ranking(f, "bug_reopen_rate_pct"),
-        "defect_trend": defect_trend(f),
-    },
-    "devops": lambda t, f: {
-        "deployment_trend": deployment_trend(f),
-        "release_outcomes": release_outcomes(f),
-        "change_failure": team_ranking(f, "change_failure_rate_pct"),
-        "release_delay": delay_by_project(t, f),
-    },
-    "risk": lambda t, f: {
-        "ranking": risk_ranking(f),
-        "breakdown": risk_breakdown(f),
-        "detail": risk_detail(f),
-    },
-}
-
-
-def page(t: Tables, name: str, **filters) -> dict[str, DataFrame]:
-    """All data products of one page under the given filters."""
-    return PAGES[name](t, apply_filters(t, **filters))

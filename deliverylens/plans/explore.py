@@ -125,6 +125,7 @@ def monthly_deployments(t: Tables) -> DataFrame:
 
 
 def delay_by_criticality(t: Tables) -> DataFrame:
+    """Box statistics by criticality; delays of projects with no or another one count nowhere."""
     held = t["releases"].filter(F.coalesce("status", F.lit("")) != "Cancelled")
     named = held.join(t["projects"].select("project_id", "criticality"), "project_id").filter(
         F.col("criticality").isin(*CRITICALITIES)
@@ -148,13 +149,12 @@ def load_histogram(t: Tables, bins: int = 25) -> DataFrame:
 
 
 def load_quantiles(t: Tables) -> DataFrame:
-    q = exact_quantiles(issues_per_developer(t), "issues_assigned", [0.5, 0.9])
-    top = issues_per_developer(t).agg(F.max("issues_assigned")).scalar()
+    q = exact_quantiles(issues_per_developer(t), "issues_assigned", [0.5, 0.9, 1.0])
     return q.select(
         F.col("n").alias("developers"),
         F.element_at("quantiles", 1).alias("median_issues"),
         F.element_at("quantiles", 2).alias("p90_issues"),
-        top.alias("max_issues"),
+        F.element_at("quantiles", 3).cast("bigint").alias("max_issues"),
     )
 
 
@@ -200,7 +200,6 @@ def issue_profile(t: Tables) -> DataFrame:
         t["issues"],
         ["resolution_time_hours", "reopened", "escaped_defect", "cycle_time_days"],
         [
-            "issue_id",
             "project_id",
             "sprint_id",
             "team_id",
@@ -212,4 +211,6 @@ def issue_profile(t: Tables) -> DataFrame:
             "created_date",
             "resolved_date",
         ],
+        # cleaning leaves one row a key
+        keys=["issue_id"],
     )

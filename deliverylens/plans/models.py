@@ -54,6 +54,14 @@ def _estimator(name: str, train_rows: int, seed: int):
     return GBTClassifier(**common, maxIter=150, maxDepth=3, stepSize=0.1, seed=seed)
 
 
+def _without_summary(model, spark: SparkSession):
+    """A fitted model without the record of its training. The record holds on to the session,
+    which cannot be sent to tasks any more once a job has been observed."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(spark._jvm.scala.Option.empty())
+    return model
+
+
 @dataclass
 class DelayModels:
     """Fitted models with their held-out scores."""
@@ -164,7 +172,7 @@ def train_delay_models(features: DataFrame, models=MODELS, seed: int = 42) -> De
 
     fitted, scores = {}, []
     for name in models:
-        model = _estimator(name, rows, seed).fit(train)
+        model = _without_summary(_estimator(name, rows, seed).fit(train), spark)
         scored = model.transform(test).withColumn("score", vector_to_array("probability")[1])
         fitted[name] = model
         scores.append({"model": name, **held_out_scores(scored.select(LABEL, "prediction", "score")).first().asDict()})

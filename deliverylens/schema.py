@@ -26,109 +26,196 @@ class TableSpec:
         return [f for f in self.fields if processed or not f.derived]
 
 
-def _spec(name, primary_key, columns, references=None, lenient=(), derived=()):
-    fields = tuple(
-        Field(*column.split(":"), lenient=column.split(":")[0] in lenient, derived=column.split(":")[0] in derived)
-        for column in columns.split()
-    )
-    return TableSpec(name, primary_key, fields, references or {})
-
-
+# The tables, their columns and types, keys and references.
 TABLES: dict[str, TableSpec] = {
-    spec.name: spec
-    for spec in (
-        _spec("teams", "team_id", "team_id:string team_name:string department:string formed_date:date"),
-        _spec(
-            "developers",
-            "developer_id",
-            "developer_id:string full_name:string team_id:string role:string seniority:string"
-            " hire_date:date timezone:string",
-            {"team_id": "teams"},
+    "teams": TableSpec(
+        "teams",
+        "team_id",
+        (
+            Field("team_id", "string"),
+            Field("team_name", "string"),
+            Field("department", "string"),
+            Field("formed_date", "date"),
+        ),
+    ),
+    "developers": TableSpec(
+        "developers",
+        "developer_id",
+        (
+            Field("developer_id", "string"),
+            Field("full_name", "string"),
+            Field("team_id", "string"),
+            Field("role", "string"),
+            Field("seniority", "string"),
+            Field("hire_date", "date"),
+            Field("timezone", "string"),
         ),
-        _spec(
-            "projects",
-            "project_id",
-            "project_id:string project_name:string team_id:string start_date:date criticality:string"
-            " tech_stack:string",
-            {"team_id": "teams"},
+        {
+            "team_id": "teams",
+        },
+    ),
+    "projects": TableSpec(
+        "projects",
+        "project_id",
+        (
+            Field("project_id", "string"),
+            Field("project_name", "string"),
+            Field("team_id", "string"),
+            Field("start_date", "date"),
+            Field("criticality", "string"),
+            Field("tech_stack", "string"),
         ),
-        _spec(
-            "sprints",
-            "sprint_id",
-            "sprint_id:string project_id:string team_id:string sprint_number:int sprint_start_date:date"
-            " sprint_end_date:date planned_story_points:int completed_story_points:int"
-            " sprint_completion_rate:double",
-            {"project_id": "projects", "team_id": "teams"},
-            derived=("sprint_completion_rate",),
+        {
+            "team_id": "teams",
+        },
+    ),
+    "sprints": TableSpec(
+        "sprints",
+        "sprint_id",
+        (
+            Field("sprint_id", "string"),
+            Field("project_id", "string"),
+            Field("team_id", "string"),
+            Field("sprint_number", "int"),
+            Field("sprint_start_date", "date"),
+            Field("sprint_end_date", "date"),
+            Field("planned_story_points", "int"),
+            Field("completed_story_points", "int"),
+            Field("sprint_completion_rate", "double", derived=True),
         ),
-        _spec(
-            "issues",
-            "issue_id",
-            "issue_id:string project_id:string sprint_id:string team_id:string assignee_id:string"
-            " issue_type:string priority:string severity:string status:string created_date:timestamp_ntz"
-            " resolved_date:timestamp_ntz resolution_time_hours:double reopened:int escaped_defect:int"
-            " cycle_time_days:double",
-            {
-                "project_id": "projects",
-                "sprint_id": "sprints",
-                "team_id": "teams",
-                "assignee_id": "developers",
-            },
-            lenient=("resolved_date",),
-            derived=("cycle_time_days",),
+        {
+            "project_id": "projects",
+            "team_id": "teams",
+        },
+    ),
+    "issues": TableSpec(
+        "issues",
+        "issue_id",
+        (
+            Field("issue_id", "string"),
+            Field("project_id", "string"),
+            Field("sprint_id", "string"),
+            Field("team_id", "string"),
+            Field("assignee_id", "string"),
+            Field("issue_type", "string"),
+            Field("priority", "string"),
+            Field("severity", "string"),
+            Field("status", "string"),
+            Field("created_date", "timestamp_ntz"),
+            Field("resolved_date", "timestamp_ntz", lenient=True),
+            Field("resolution_time_hours", "double"),
+            Field("reopened", "int"),
+            Field("escaped_defect", "int"),
+            Field("cycle_time_days", "double", derived=True),
         ),
-        _spec(
-            "commits",
-            "commit_id",
+        {
+            "project_id": "projects",
+            "sprint_id": "sprints",
+            "team_id": "teams",
+            "assignee_id": "developers",
+        },
+    ),
+    "commits": TableSpec(
+        "commits",
+        "commit_id",
+        (
+            Field("commit_id", "string"),
+            Field("project_id", "string"),
+            Field("sprint_id", "string"),
+            Field("developer_id", "string"),
+            Field("commit_timestamp", "timestamp_ntz"),
             # imputation makes lines_added fractional, so it is a double here
-            "commit_id:string project_id:string sprint_id:string developer_id:string"
-            " commit_timestamp:timestamp_ntz lines_added:double lines_deleted:int files_changed:int"
-            " total_churn:double",
-            {"project_id": "projects", "sprint_id": "sprints", "developer_id": "developers"},
-            derived=("total_churn",),
+            Field("lines_added", "double"),
+            Field("lines_deleted", "int"),
+            Field("files_changed", "int"),
+            Field("total_churn", "double", derived=True),
         ),
-        _spec(
-            "pull_requests",
-            "pull_request_id",
-            "pull_request_id:string project_id:string sprint_id:string author_id:string reviewer_id:string"
-            " opened_date:timestamp_ntz closed_date:timestamp_ntz review_time_hours:double"
-            " pr_size_lines:int status:string is_merged:int",
-            {
-                "project_id": "projects",
-                "sprint_id": "sprints",
-                "author_id": "developers",
-                "reviewer_id": "developers",
-            },
-            lenient=("closed_date",),
-            derived=("is_merged",),
+        {
+            "project_id": "projects",
+            "sprint_id": "sprints",
+            "developer_id": "developers",
+        },
+    ),
+    "pull_requests": TableSpec(
+        "pull_requests",
+        "pull_request_id",
+        (
+            Field("pull_request_id", "string"),
+            Field("project_id", "string"),
+            Field("sprint_id", "string"),
+            Field("author_id", "string"),
+            Field("reviewer_id", "string"),
+            Field("opened_date", "timestamp_ntz"),
+            Field("closed_date", "timestamp_ntz", lenient=True),
+            Field("review_time_hours", "double"),
+            Field("pr_size_lines", "int"),
+            Field("status", "string"),
+            Field("is_merged", "int", derived=True),
         ),
-        _spec(
-            "code_reviews",
-            "review_id",
-            "review_id:string pull_request_id:string reviewer_id:string review_round:int"
-            " comments_count:int approved:int review_timestamp:timestamp_ntz",
-            {"pull_request_id": "pull_requests", "reviewer_id": "developers"},
+        {
+            "project_id": "projects",
+            "sprint_id": "sprints",
+            "author_id": "developers",
+            "reviewer_id": "developers",
+        },
+    ),
+    "code_reviews": TableSpec(
+        "code_reviews",
+        "review_id",
+        (
+            Field("review_id", "string"),
+            Field("pull_request_id", "string"),
+            Field("reviewer_id", "string"),
+            Field("review_round", "int"),
+            Field("comments_count", "int"),
+            Field("approved", "int"),
+            Field("review_timestamp", "timestamp_ntz"),
         ),
-        _spec(
-            "deployments",
-            "deployment_id",
-            "deployment_id:string project_id:string sprint_id:string environment:string"
-            " deployment_timestamp:timestamp_ntz status:string rollback:int duration_minutes:double"
-            " is_failure:int",
-            {"project_id": "projects", "sprint_id": "sprints"},
-            derived=("is_failure",),
+        {
+            "pull_request_id": "pull_requests",
+            "reviewer_id": "developers",
+        },
+    ),
+    "deployments": TableSpec(
+        "deployments",
+        "deployment_id",
+        (
+            Field("deployment_id", "string"),
+            Field("project_id", "string"),
+            Field("sprint_id", "string"),
+            Field("environment", "string"),
+            Field("deployment_timestamp", "timestamp_ntz"),
+            Field("status", "string"),
+            Field("rollback", "int"),
+            Field("duration_minutes", "double"),
+            Field("is_failure", "int", derived=True),
         ),
-        _spec(
-            "releases",
-            "release_id",
-            "release_id:string project_id:string team_id:string sprint_id:string planned_release_date:date"
-            " actual_release_date:date release_delay_days:double status:string version:string"
-            " is_delayed:int",
-            {"project_id": "projects", "team_id": "teams", "sprint_id": "sprints"},
-            lenient=("actual_release_date",),
-            derived=("is_delayed",),
+        {
+            "project_id": "projects",
+            "sprint_id": "sprints",
+        },
+    ),
+    "releases": TableSpec(
+        "releases",
+        "release_id",
+        (
+            Field("release_id", "string"),
+            Field("project_id", "string"),
+            Field("team_id", "string"),
+            Field("sprint_id", "string"),
+            Field("planned_release_date", "date"),
+            Field("actual_release_date", "date", lenient=True),
+            Field("release_delay_days", "double"),
+            Field("status", "string"),
+            Field("version", "string"),
+            Field("is_delayed", "int", derived=True),
         ),
-    )
+        {
+            "project_id": "projects",
+            "team_id": "teams",
+            "sprint_id": "sprints",
+        },
+    ),
 }
 
 # the six references checked after every cleaning run

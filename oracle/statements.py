@@ -657,6 +657,7 @@ def statements() -> dict[str, str]:
         "cube_deploy_trend": "ex_deploy_trend",
         "cube_release_share": "ex_release_share",
         "kpi_team_weekly": "kpi_team",
+        "eda_project_metrics_bucketed": "eda_project_metrics",
         "io_repeated_load": "table_counts",
         "io_processed_set": "table_counts",
         "io_report_sheets": "rep_recommendations",

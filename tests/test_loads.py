@@ -1,12 +1,15 @@
 """Repeatable loads, persisted views and bucketed tables."""
 
+import os
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from deliverylens.plans import explore
+from deliverylens.plans.stages import sample_tables
 from deliverylens.schema import TABLES
-from deliverylens.sources import loads
+from deliverylens.sources import layout, loads
 
 
 @pytest.fixture
@@ -82,3 +85,35 @@ def test_a_view_outlives_its_session(spark, database):
     assert [r[0] for r in other.table(f"{database}.named").collect()] == ["team T2"]
     loads.save_view(other, f"{database}.named", f"SELECT team_id FROM {database}.teams")
     assert spark.table(f"{database}.named").count() == 2
+
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def exchanges(df):
+    """Shuffles of the plan before it runs, joins by sorting."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
+def test_work_by_project_on_buckets_needs_fewer_shuffles(spark, database):
+    t = sample_tables(spark, SF_DIR)
+    names = [n for n in TABLES if n != "code_reviews"]
+    layout.write_bucketed({n: t[n] for n in names}, database, 8)
+    laid = layout.catalog_set(spark, database, names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sums = laid["issues"].groupBy("project_id", "sprint_id").agg(F.count("*").alias("n"))
+        joined = sums.join(laid["deployments"].groupBy("project_id").agg(F.count("*").alias("d")), "project_id")
+        assert exchanges(joined) == 0
+        # five sums by project go on as they lie; only their results are brought together
+        in_buckets, as_written = (exchanges(explore.project_metrics(x, keep_unknown=True)) for x in (laid, t))
+        assert in_buckets <= 1 and as_written >= 5
+        # the layout changes no row
+        assert laid["issues"].exceptAll(t["issues"]).count() == 0 == t["issues"].exceptAll(laid["issues"]).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucket_counts_follow_the_rows():
+    assert [layout.bucket_count(n, 10) for n in (0, 80, 81, 1000)] == [8, 8, 16, 128]
