@@ -28,7 +28,9 @@ from deliverylens.llm.storage import small_batches
 # Fixed value: how the word vocabulary's tokenizer cuts a normalised text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
-KEPT_WORDS = 100_000  # chunks, and pairs of tokens, that a worker remembers
+KEPT_WORDS = 300_000  # chunks that a worker remembers, twice as many at most
+KEPT_PAIRS = 400_000  # and pairs of tokens
+ID_BITS = 20
 
 # texts of other characters are normalised and cut by the tokenizer's own code
 _PLAIN = regex.compile("[\\t-\\r\\x20-\\x7e\\u00a0-\\u012f\\u0132-\\u024f\\u2010-\\u2027]*")
@@ -69,7 +71,8 @@ class TrieEncoder:
         self.split = regex.compile(SPLIT)
         self.letter = byte_letters()
         self.byte = {c: b for b, c in enumerate(self.letter)}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.sizes = {i: len(t.removesuffix(WORD_END)) for t, i in self.vocab.items()}
+        self.fits: dict[int, bool] = {}
 
     def follows(self, left: str, right: str) -> bool:
         """Whether BPE keeps ``left`` and ``right`` apart where they meet.
@@ -78,33 +81,26 @@ class TrieEncoder:
         right one, as BPE merges from the left). Each time, the two parts at the
         border must not have had a merge of their own due before the one undone.
         """
-        known = self.fits.get((left, right))
-        if known is not None:
-            return known
-        key, due, fits = (left, right), len(self.rank), True
-        while fits:
+        due = len(self.rank)
+        while True:
             crossing = self.rank.get((left, right))
             if crossing is not None and crossing < due:
-                fits = False
-                break
+                return False
             at_left, at_right = self.made_at.get(left, -1), self.made_at.get(right, -1)
             if at_left < 0 and at_right < 0:
-                break
+                return True
             if at_left > at_right:
                 due, left = at_left, self.made[left][1]
             else:
                 due, right = at_right + 1, self.made[right][0]
-        if len(self.fits) >= KEPT_WORDS:
-            self.fits.clear()
-        self.fits[key] = fits
-        return fits
 
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Each word, in letters of its bytes, with its ids. In sorted order a word
         branches off the path of the one before where the two begin to differ, so the
         path at hand is all of the trie that the walk has to hold."""
-        vocab, fits, longest = self.vocab, self.fits, self.longest
-        last = [""]  # by depth: the last token of the path so far
+        get, fits, longest, sizes, name = self.vocab.get, self.fits, self.longest, self.sizes, self.token
+        fitting = fits.get
+        last = [-1]  # by depth: the last token of the path so far
         before = ""
         for word in sorted(words):
             size = len(word)
@@ -113,29 +109,35 @@ class TrieEncoder:
             while word[:shared] != before[:shared]:
                 shared -= 1
             del last[shared + 1 :]
+            ended = word + WORD_END
             for depth in range(shared + 1, size + 1):
-                end = WORD_END if depth == size else ""
-                for start in range(max(depth - longest, 0), depth):
-                    token = word[start:depth] + end
-                    if token in vocab:
+                stop = depth if depth < size else len(ended)
+                for start in range(depth - longest if depth > longest else 0, depth):
+                    token = get(ended[start:stop])
+                    if token is not None:
                         if not start:
                             break
-                        fit = fits.get((last[start], token))
-                        if self.follows(last[start], token) if fit is None else fit:
+                        pair = last[start] << ID_BITS | token
+                        fit = fitting(pair)
+                        if fit is None:
+                            fit = fits[pair] = self.follows(name[last[start]], name[token])
+                        if fit:
                             break
                 else:
                     raise ValueError(f"no token ends {word[:depth]!r}")
                 last.append(token)
             token = last.pop()
-            ids = [vocab[token]]
-            depth = size - len(token) + len(WORD_END)
+            ids = [token]
+            depth = size - sizes[token]
             while depth:
                 token = last[depth]
-                ids.append(vocab[token])
-                depth -= len(token)
+                ids.append(token)
+                depth -= sizes[token]
             ids.reverse()
             yield word, ids
             before = word
+        if len(fits) > KEPT_PAIRS:
+            fits.clear()
 
     def chunks(self, text: str) -> list[str]:
         """What stands between white space in a normalised text; no word crosses it."""
