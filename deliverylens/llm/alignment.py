@@ -36,7 +36,8 @@ from deliverylens.llm.tokenstore import PieceEncoder, gather
 
 PIECE_ENDS = 1 << 16  # of both sides, that are merged in one go
 SLICE_CHARS = 2_000_000  # of text whose pairs are gathered before they are shuffled, whole texts
-KEPT_WORDS = 60_000  # that a worker remembers of either side
+KEPT_WORDS = 60_000  # that a worker remembers of B
+KEPT_PIECES = 300_000  # and of A
 ID_BITS = 20  # a pair of ids in one number
 MARK = "▁"  # Fixed value: how pieces write a space
 
@@ -127,7 +128,7 @@ class Aligner:
     """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = PieceEncoder(path_a, plain_specials=True, kept=KEPT_WORDS)
+        self.a = PieceEncoder(path_a, plain_specials=True, kept=KEPT_PIECES)
         self.b = WordPieces(path_b)
         with open(path_a, encoding="utf-8") as f:
             spec = json.load(f)

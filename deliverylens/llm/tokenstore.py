@@ -15,11 +15,11 @@ files of lost or repeated task attempts are never read.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, chain
@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from deliverylens.llm.remember import Remembered
 from deliverylens.llm.storage import fresh_folder, open_folder, small_batches
 
 MAGIC = b"BPT1"
 BLOCK_IDS = 65_536
-KEPT_PIECES = 150_000  # pieces of text whose ids a worker remembers
-SLICE_CHARS = 4_000_000  # of text held at once, whole texts
+KEPT_PIECES = 1_000_000  # pieces of text whose ids a worker remembers
+KEPT_BYTES = 64 << 20
+SLICE_CHARS = 6_000_000  # of text held at once, whole texts
 FILE_BYTES = 64 << 20  # of text in one file, about
 
 # elsewhere than in texts with these, the tokenizer never joins what _PIECE tells apart:
@@ -75,10 +75,14 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
 class PieceEncoder:
     """Encodes texts with a byte-level tokenizer, each distinct piece only once.
 
-    With ``plain_specials``, special tokens that stand in a text are text like any other.
+    What pieces encode to is remembered in columns: the pieces, how many ids each has, and
+    the ids, one after the other. With ``plain_specials``, special tokens that stand in a
+    text are text like any other.
     """
 
     def __init__(self, path: str, plain_specials: bool = False, kept: int = KEPT_PIECES):
+        # a task has its own core; threads of the library would take those of others
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -86,63 +90,88 @@ class PieceEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [] if plain_specials else [t.content for t in added]
         self.odd = "|".join([_ODD_SPACE, *(re.escape(s) for s in self.special)])
-        self.known = Remembered(kept)
+        self.kept = kept
+        self._forget()
 
-    def _parts(self, piece: str) -> tuple[str, ...]:
-        """What of a piece is encoded on its own."""
-        if _WHOLE.search(piece) is not None or any(s in piece for s in self.special):
-            return (piece,)
+    def _forget(self) -> None:
+        self.pieces = pa.array([], pa.large_string())
+        self.sizes, self.values = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _parts(self, text: str) -> list[str]:
+        """What of a text is encoded on its own."""
+        if _WHOLE.search(text) is not None or any(s in text for s in self.special):
+            return [text]
         out: list[str] = []
-        for small in _PIECE.findall(piece):
+        for small in _PIECE.findall(text):
             cut = _LETTERS.fullmatch(small)
             out += cut.groups() if cut else (small,)
-        return tuple(out)
-
-    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces, one after the other, and how many each has."""
-        known = self.known
-        new = known.missing(pieces)
-        parts = {p: self._parts(p) for p in new if not p[1:].isalpha()}
-        words = known.missing({p for p in new if p not in parts} | set(chain.from_iterable(parts.values())))
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        known.update(zip(words, [array("I", e.ids).tobytes() for e in found], strict=True))
-        known.update((p, b"".join(map(known.__getitem__, own))) for p, own in parts.items())
-        out = list(map(known.__getitem__, pieces))
-        known.trim()
-        return np.frombuffer(b"".join(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out)) // 4
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Pieces are told apart and numbered in bulk; only distinct words and what
-        stands behind them are looked at."""
-        if not texts:
+        return out
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The places of the pieces in memory, where all of them are afterwards."""
+        coded = pieces.dictionary_encode()
+        if len(self.pieces) > self.kept or self.pieces.nbytes > KEPT_BYTES:
+            self._forget()
+        place = pc.index_in(coded.dictionary, self.pieces)
+        new = coded.dictionary.filter(place.is_null())
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+        places = np.empty(len(place), np.int64)
+        absent = place.is_null().to_numpy(zero_copy_only=False)
+        places[~absent] = place.drop_null().to_numpy()
+        places[absent] = len(self.pieces) + np.arange(len(new))
+        self.pieces = pa.concat_arrays([self.pieces, new])
+        self.sizes = np.append(self.sizes, np.fromiter(map(len, found), np.int64, len(found)))
+        self.values = np.append(self.values, np.fromiter(chain.from_iterable(found), np.uint32))
+        return places[coded.indices.to_numpy()]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text, null as empty. Pieces are told apart and numbered in bulk; only
+        distinct words and what stands behind them are looked at."""
+        rows = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        if not len(rows):
             return []
-        rows = pa.array(texts, pa.large_string())
-        # texts with odd spaces are one piece here, and cut up later
-        plain = pc.invert(pc.match_substring_regex(rows, self.odd)).to_numpy(zero_copy_only=False)
-        cut = pc.split_pattern(rows.filter(pa.array(plain)), " ")
+        plain = pc.invert(pc.match_substring_regex(rows, self.odd))
+        cut = pc.split_pattern(rows.filter(plain), " ")
+        # texts with odd spaces are cut up one by one
+        parts = [self._parts(t) for t in rows.filter(pc.invert(plain)).to_pylist()]
+        plain = plain.to_numpy(zero_copy_only=False)
+        sizes = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
         coded = cut.flatten().dictionary_encode()
-        parts = pc.extract_regex(coded.dictionary, _LETTERS_AND_REST)
-        word = pc.coalesce(pc.struct_field(parts, "word"), coded.dictionary).dictionary_encode()
-        rest = pc.coalesce(pc.struct_field(parts, "rest"), "").dictionary_encode()
-        words = [f" {w}" for w in word.dictionary.to_pylist()]
-        heads = [t.partition(" ")[0] if p else t for t, p in zip(texts, plain.tolist(), strict=True)]
-        values, sizes = self._ids_of(words + rest.dictionary.to_pylist() + heads)
-        # each distinct piece from its two parts, heads as they are
-        n_words, n_rests = len(words), len(rest.dictionary)
-        pairs = np.stack((word.indices.to_numpy(), n_words + rest.indices.to_numpy()), axis=1).astype(np.int64)
-        both = np.append(pairs.reshape(-1), n_words + n_rests + np.arange(len(heads)))
-        values, lengths = gather(values, sizes, both)
-        n_pieces = len(pairs)
-        sizes = np.append(lengths[: 2 * n_pieces].reshape(-1, 2).sum(axis=1), lengths[2 * n_pieces :])
-        # all pieces of all texts; no space stands before the first of a text
-        counts = np.ones(len(texts), np.int64)
-        counts[plain] = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
-        firsts = np.cumsum(counts) - counts
+        split = pc.extract_regex(coded.dictionary, _LETTERS_AND_REST)
+        word = pc.coalesce(pc.struct_field(split, "word"), coded.dictionary).dictionary_encode()
+        rest = pc.coalesce(pc.struct_field(split, "rest"), "").dictionary_encode()
+        # no space stands before the first piece of a text
+        heads = pc.list_element(cut, 0)
+        places = self._numbers(
+            pa.concat_arrays(
+                [
+                    pc.binary_join_element_wise("", word.dictionary.cast(pa.string()), " ").cast(pa.large_string()),
+                    rest.dictionary,
+                    heads,
+                    pa.array(list(chain.from_iterable(parts)), pa.large_string()),
+                ]
+            )
+        )
+        ends = np.cumsum([len(word.dictionary), len(rest.dictionary), len(heads)])
+        of_word, of_rest, of_head, of_part = np.split(places, ends)
+        # each distinct piece from its two parts; heads and parts as they are
+        both = np.stack((of_word[word.indices.to_numpy()], of_rest[rest.indices.to_numpy()]), axis=1).reshape(-1)
+        values, lengths = gather(self.values, self.sizes, np.concatenate((both, of_head, of_part)))
+        n_pieces = len(both) // 2
+        lengths = np.append(lengths[: 2 * n_pieces].reshape(-1, 2).sum(axis=1), lengths[2 * n_pieces :])
+        # all pieces of all texts
+        counts = np.empty(len(rows), np.int64)
+        counts[plain], counts[~plain] = sizes, list(map(len, parts))
         numbers = np.empty(counts.sum(), np.int64)
-        numbers[np.repeat(plain, counts)] = coded.indices.to_numpy()
-        numbers[firsts] = n_pieces + np.arange(len(texts))
-        ids, lengths = gather(values, sizes, numbers)
-        return np.split(ids, np.cumsum(lengths)[firsts[1:] - 1])
+        from_plain = np.repeat(plain, counts)
+        of_plain = coded.indices.to_numpy().astype(np.int64)
+        of_plain[firsts] = n_pieces + np.arange(len(heads))
+        numbers[from_plain] = of_plain
+        numbers[~from_plain] = n_pieces + len(heads) + np.arange(len(of_part))
+        ids, lengths = gather(values, lengths, numbers)
+        upto = np.append(0, np.cumsum(lengths))[np.cumsum(counts)]
+        return np.split(ids, upto[:-1])
 
 
 @cache
@@ -263,7 +292,7 @@ def write_token_files(
     docs: DataFrame, folder: str, path: str, end_id: int, unit: str = "byte", file_bytes: int = FILE_BYTES
 ) -> DataFrame:
     """Encode all texts and write their ids, each document's ended by ``end_id``, in
-    ascending order of doc_id (null first; equal ids by their text). Returns the
+    ascending order of doc_id (null first; equal ids by a hash of their text). Returns the
     manifest: part, file, bytes, n_docs, n_ids, first_id (ids in all files before).
 
     ``path`` names a tokenizers file that every machine has. Null and empty texts give
@@ -274,7 +303,9 @@ def write_token_files(
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # several files a core keep tasks short on small inputs, large inputs go by size
     n_files = max(1 + size // file_bytes, spark.sparkContext.defaultParallelism)
-    ordered = rows.repartitionByRange(n_files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(n_files, "doc_id", F.xxhash64("text")).sortWithinPartitions(
+        "doc_id", F.xxhash64("text"), "text"
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
@@ -285,7 +316,7 @@ def write_token_files(
         with system.open_output_stream(f"{top}/{name}") as sink:
             writer = PlaneWriter(sink, unit)
             for part in small_batches(batches, SLICE_CHARS):
-                ids = encoder.encode(part["text"].to_pylist())
+                ids = encoder.encode(part["text"])
                 for doc_id, own in zip(part["doc_id"].to_pylist(), ids, strict=True):
                     writer.add(doc_id, np.append(own, end))
             writer.close()
