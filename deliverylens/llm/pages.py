@@ -1,5 +1,9 @@
 """HTML extraction by line-block distribution: strip markup into lines, sum text
 lengths over sliding line windows, and keep the text between surge and dive points.
+
+On every page the sums choose the span. Elements and marks correct what they are taken of
+and where the span ends: boilerplate weighs nothing, text of a named article weighs twice,
+and a span that lies in articles is made up to these articles, whole and nothing else.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ BLOCKS = frozenset(
 )
 MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# words in a class, id or role that mark a container as none of the article
+PROSE = frozenset("p td th li dd dt blockquote pre figcaption caption h1 h2 h3 h4 h5 h6".split())
+# names in a class, id or role that mark a container as none of the article
 MARKED = frozenset(
     "ad ads advert adverts advertisement sponsored sponsor promo banner menu nav navbar navigation breadcrumb"
     " breadcrumbs sidebar widget footer header notice notices cookie cookies consent alert popup modal comment"
@@ -37,6 +42,15 @@ MARKED = frozenset(
     " signup search form pager pagination contentinfo complementary".split()
 )
 
+# words that say where or of what kind a marked container is; any other word in a name makes
+# it another thing, such as a share price or a notice period
+PLACES = frozenset(
+    "site page main top bottom left right upper lower middle header footer side bar box container wrapper wrap outer"
+    " inner area section block group list item items row col column slot unit panel content link links button buttons"
+    " icon icons text label global primary secondary tertiary sub mini mobile desktop sticky fixed float inline first"
+    " last new post posts article articles sign up off in log".split()
+)
+
 # those of them whose containers hold articles other than the page's
 OTHERS = frozenset(
     "ad ads advert adverts advertisement sponsored sponsor promo sidebar widget comment comments disqus replies reply"
@@ -45,7 +59,8 @@ OTHERS = frozenset(
 SOFT = frozenset(("form", "fieldset"))  # elements that may also wrap a whole page
 
 WINDOW = 3  # lines in a block
-SURGE = 86  # characters in a block that start a text where nothing names the article
+SURGE = 86  # characters in a block that always start a text
+NAMED = 2  # what a character within a named article weighs
 
 _ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _HIDDEN = re.compile(
@@ -63,8 +78,16 @@ _STATE = re.compile(r"(?:with|without|has|have|no|non|not)[-_]")  # what a conta
 
 
 def _marks(attributes: str) -> set[str]:
-    names = (name for values in _NAMED.findall(attributes) for name in "".join(values).lower().split())
-    return {word for name in names if not _STATE.match(name) for word in _WORD.findall(name) if word in MARKED}
+    """The marks among the names of a container. A name is a mark if it is one as a whole, or
+    if all its words are marks or places."""
+    found: set[str] = set()
+    for values in _NAMED.findall(attributes):
+        for name in "".join(values).lower().split():
+            words = _WORD.findall(name)
+            marks = MARKED.intersection(words)
+            if marks and not _STATE.match(name) and all(w in MARKED or w in PLACES for w in words):
+                found |= marks
+    return found
 
 
 def _shown(page: str) -> str:
@@ -105,12 +128,18 @@ class _Tree:
         self.sizes.append(0)
         return len(self.names) - 1
 
-    def settle(self) -> tuple[list[bool], list[bool]]:
-        """For each container, whether its text is boilerplate and whether it is within
-        an article. An element of boilerplate drops what it holds unless that is a main;
-        a form or a mark, unless that is a main or an article. Marks of ``OTHERS`` drop
-        articles too, but never the longest of the page."""
+    def settle(self) -> tuple[list[bool], list[int]]:
+        """For each container, whether its text is boilerplate, and the outermost article or
+        main that it is within (0 for none).
+
+        An element of boilerplate drops what it holds unless that is a main; a form or a
+        mark, unless that is a main or an article, or more than half of the page's text.
+        Marks of ``OTHERS`` drop articles and any text, but never the longest article of
+        the page. A marked paragraph or cell with the text of a block is prose and stays.
+        Of a header within an article, the headings stay.
+        """
         n = len(self.names)
+        own = list(self.sizes)
         of_articles = [0] * n
         for k in range(n - 1, 0, -1):
             self.sizes[self.parents[k]] += self.sizes[k]
@@ -120,9 +149,10 @@ class _Tree:
         # a main weighs what it says outside articles
         weights = [size - part for size, part in zip(self.sizes, of_articles)]
         fixed = [False] * n
-        articles, longest = [], 0
+        articles, longest, shown = [], 0, own[0]
         for k in range(1, n):
             fixed[k] = fixed[self.parents[k]] or (self.names[k] in BOILERPLATE and self.names[k] not in SOFT)
+            shown += 0 if fixed[k] else own[k]
             if self.names[k] in MAIN and not fixed[k]:
                 articles.append(k)
                 longest = max(longest, weights[k])
@@ -135,23 +165,31 @@ class _Tree:
             holds[k] = max(holds[k], 2 if weights[k] == longest else 1)
         for k in range(n - 1, 0, -1):
             holds[self.parents[k]] = max(holds[self.parents[k]], holds[k])
-        dropped, inside = [False] * n, [False] * n
+        dropped, article = [False] * n, [0] * n
+        of_header = [False] * n  # dropped, by a header within an article alone
         for k in range(1, n):
-            name, above = self.names[k], self.parents[k]
+            name, above, others = self.names[k], self.parents[k], self.marks[k] & OTHERS
+            article[k] = article[above] or (k if name in MAIN and not dropped[above] else 0)
             if name in BOILERPLATE and name not in SOFT:
                 drop = holds[k] < 3
+            elif name in PROSE:
+                drop = bool(self.marks[k]) and self.sizes[k] < SURGE
             elif name in SOFT or self.marks[k]:
-                drop = holds[k] < (2 if self.marks[k] & OTHERS else 1)
+                drop = holds[k] < (2 if others else 1) and (bool(others) or 2 * self.sizes[k] <= shown)
             else:
                 drop = False
-            inside[k] = inside[above] or (name in MAIN and not dropped[above])
-            dropped[k] = dropped[above] or drop
-        return dropped, inside
-
-
-def strip_markup(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """Lines as (text, characters outside links, within an article, is a heading), and
-    whether the page names its article at all. Lines of boilerplate containers are empty."""
+            if name == "header" and article[above] and not dropped[above]:
+                of_header[k] = True
+            elif of_header[above] and not drop:
+                of_header[k] = name not in HEADINGS
+            dropped[k] = drop or (dropped[above] and not (of_header[above] and name in HEADINGS))
+        return dropped, article
+
+
+def strip_markup(page: str) -> tuple[list[tuple[str, int, int, bool]], list[int]]:
+    """Lines as (text, weight, article or main that they are within, is a heading), and the
+    container of each article. Lines of boilerplate containers are empty and weigh nothing;
+    links weigh something within articles only."""
     page = _shown(page)
     tree = _Tree()
     stack = [0]
@@ -196,50 +234,59 @@ def strip_markup(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     put(page[at:])
     close_line()
 
-    dropped, inside = tree.settle()
+    dropped, article = tree.settle()
     told = []
     for container, held in lines:
         held = [(text, link) for k, text, link in held if not dropped[k]]
         text = " ".join(entities.unescape("".join(text for text, _ in held)).split())
         free = sum(len(t.strip()) for t, link in held if not link) if text else 0
-        told.append((text, free, inside[container], tree.names[container] in HEADINGS))
-    return told, any(inside)
+        weight = NAMED * len(text) if article[container] else free
+        told.append((text, weight, article[container], tree.names[container] in HEADINGS))
+    return told, tree.parents
 
 
-def main_text(page: str | None) -> str:
+def spans(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
+    """First lines and ends of the texts among weighed lines. Block i sums the weights of
+    ``window`` lines from line i on. A text surges where a block rises from nothing, dives
+    where a block falls to nothing again, and counts if its highest block reaches ``surge``
+    or half of the highest of all, whichever is less."""
+    sums = [0, *accumulate(weights)]
+    blocks = [sums[min(i + window, len(weights))] - sums[i] for i in range(len(weights))]
+    least = min(surge, max(blocks, default=0) / 2)
+    found, i = [], 0
+    while i < len(blocks):
+        start = i
+        while i < len(blocks) and blocks[i]:
+            i += 1
+        if i > start and max(blocks[start:i]) >= least:
+            found.append((start, i))
+        i += i == start
+    return found
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The article of one page, its blocks joined by line breaks.
 
-    Each line weighs its text outside links; where the page names its article, lines
-    of that weigh their whole text and others nothing. Block i sums the weights of ``WINDOW`` lines from line i on.
-    A text surges where a block rises from nothing, dives where a block falls to
-    nothing again, and counts if its highest block reaches the threshold: any weight
-    in a named article, else ``SURGE`` characters or half of the page's highest block,
-    whichever is less. The article is all lines from the first surge to the last dive
-    of those that count, short texts and links between them and headings right before
-    them included.
+    The sums over windows of lines choose the texts (see ``spans``). Where they lie within
+    named articles, the article is these, and those beside them in the same container, as
+    a whole and nothing else. Elsewhere it is all lines from the first text to the end of
+    the last one, short texts and links between them and headings right before them included.
     """
     if not page:
         return ""
-    lines, has_main = strip_markup(page)
-    weights = [(len(t) if inside else 0) if has_main else free for t, free, inside, _ in lines]
-    sums = [0, *accumulate(weights)]
-    blocks = [sums[min(i + WINDOW, len(weights))] - sums[i] for i in range(len(weights))]
-    least = 1 if has_main else min(SURGE, max(blocks, default=0) / 2)
-    first = last = i = 0
-    while i < len(blocks):
-        if not blocks[i]:
-            i += 1
-            continue
-        surge = i
-        while i < len(blocks) and blocks[i]:
-            i += 1
-        if max(blocks[surge:i]) >= least:
-            first, last = (first if last else surge), i
+    lines, parents = strip_markup(page)
+    chosen = spans([weight for _, weight, _, _ in lines], window, surge)
+    if not chosen:
+        return ""
+    met = {parents[a] for start, end in chosen for _, weight, a, _ in lines[start:end] if a and weight}
+    if met:
+        return "\n".join(t for t, _, a, _ in lines if t and a and parents[a] in met)
+    first, last = chosen[0][0], chosen[-1][1]
     k = first - 1
-    while k >= 0 and last and (not lines[k][0] or (weights[k] and lines[k][3])):
+    while k >= 0 and (not lines[k][0] or (lines[k][1] and lines[k][3])):
         first = k if lines[k][0] else first
         k -= 1
-    return "\n".join(t for t, _, inside, _ in lines[first:last] if t and (inside or not has_main))
+    return "\n".join(t for t, *_ in lines[first:last] if t)
 
 
 @F.pandas_udf(T.StringType())

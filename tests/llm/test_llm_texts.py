@@ -2,8 +2,10 @@
 
 import hashlib
 import io
+import os
 import random
 import re
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -13,8 +15,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from deliverylens.llm import bpe, licenses, pages, tokenstore
+from deliverylens.llm import bpe, licenses, pages, queries, tokenstore
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -183,6 +186,99 @@ def test_short_texts_within_an_article_without_name():
     assert pages.main_text(page).split("\n") == ["Title", long.strip(), "Short.", "All links.", "Two", long.strip()]
 
 
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<p class='share-price'>Main.</p>",
+        "<p id='ad-hoc'>Main.</p>",
+        "<p class='notice-period'>Main.</p>",
+        "<p class='search-results'>Main.</p>",
+        "<table class='menu-prices'><tr><td>Main.</table>",
+        "<div class='login-tutorial'>Main.</div>",
+        "<header><h1>Main.</h1><p>By someone</p><nav>x</nav></header>",
+        "<p>Main.</p><div class='ad-container top'>x</div><ul class=social-share-buttons><li>x</ul><div id='comments-list'>x</div>",
+    ],
+)
+def test_marks_are_whole_names(inside):
+    assert pages.main_text(f"<article>{inside}</article>") == "Main."
+    assert pages.main_text(f"<div id='login-tutorial'>{inside}</div>") == ("" if "header" in inside else "Main.")
+
+
+def test_marks_yield_to_the_text():
+    prose = "A sentence that goes on for quite a while, as those of articles do, and then on. " * 2
+    # a paragraph of prose stays, whatever it is called; a short one called so goes
+    assert pages.main_text(f"<article><p class=notice>{prose}</p><p class=ad>Buy.</p></article>") == prose.strip()
+    # most of a page is not its menu, but comments may be most of a page
+    assert pages.main_text(f"<div class=menu><div>{prose}</div></div><div>x</div>") == f"{prose.strip()}\nx"
+    assert pages.main_text(f"<div>Main.</div><div class=comments><div>{prose * 3}</div></div>") == "Main."
+
+
+def test_sums_over_windows_choose_the_article():
+    """Teasers and the article carry the same names: only how much text stands together tells
+    them apart. Without sums, with the least threshold, the teasers come along."""
+    prose = "A sentence that goes on for quite a while, as those of articles do. " * 3
+    teasers = "".join(f"<article><h2>{k}</h2></article>" + "<div></div>" * 4 for k in range(5))
+    page = f"<body><div>{teasers}</div><div><article><h1>Title</h1><p>{prose}</p><p>Short.</p></article></div></body>"
+    assert pages.main_text(page).split("\n") == ["Title", prose.strip(), "Short."]
+    assert pages.main_text(page, surge=0).split("\n") == ["0", "1", "2", "3", "4", "Title", prose.strip(), "Short."]
+    # lines that weigh little each make a text together
+    lines = "".join(f"<div>line {k} of a text</div>" for k in range(12))
+    page = f"<body><div>Site name</div>{'<div></div>' * 5}{lines}{'<div></div>' * 5}<div>{'x' * 20}</div></body>"
+    assert pages.main_text(page).split("\n")[0] == "line 0 of a text"
+    assert len(pages.main_text(page, window=5).split("\n")) == 12 != len(pages.main_text(page, window=1).split("\n"))
+
+
+class PlainPage(HTMLParser):
+    """The article of a page as the given tables have them, by a parser of its own."""
+
+    SKIPPED = ("script", "style", "title", "nav", "footer", "header", "aside", "form")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.parts, self.skipped, self.depth = [], [], [], 0
+
+    def line(self):
+        text = " ".join("".join(self.parts).split())
+        self.parts = []
+        if text:
+            self.lines.append(text)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag not in ("b", "i", "a", "em", "strong", "span", "meta"):
+            self.line()
+        if tag in self.SKIPPED or (tag == "div" and dict(attrs).get("class") in ("ad", "comments", "sidebar", "cookie")):
+            self.skipped.append(tag)
+        if tag == "article":
+            self.depth += 1
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "i", "a", "em", "strong", "span"):
+            self.line()
+        if self.skipped and self.skipped[-1] == tag:
+            self.skipped.pop()
+        if tag == "article":
+            self.depth -= 1
+
+    def handle_data(self, data):
+        if self.depth and not self.skipped:
+            self.parts.append(data)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
+def test_pages_query_matches_a_plain_parser(spark):
+    found = {r.page_id: r.text for r in queries.op5_main_text(spark, SF_DIR).collect()}
+    given = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
+    assert len(found) == len(given)
+    for row in given:
+        plain = PlainPage()
+        plain.feed(row.html or "")
+        plain.close()
+        plain.line()
+        assert found[row.page_id] == "\n".join(plain.lines)
+
+
 def test_page_rows(spark):
     table = spark.createDataFrame(
         [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "", "x")],
