@@ -1,8 +1,8 @@
 """Embedding near-duplicates over hierarchical navigable small-world graphs.
 
 Vectors that may link (equal labels, equal lengths) are dealt into shards of bounded
-size, and each shard's graph is written to a file in the shared folder. Every shard is
-queried with every vector of its label, a pair of shards a task. Beams widen until an
+size, and each shard's graph is written to a file in the shared folder. Shards are
+queried with the vectors of their label, a pair of shards a task. Beams widen until an
 audit against brute force on a sample of the queries finds enough of its links, or,
 where the sample has few of them, of its nearest neighbours too;
 what a search finds is kept only if its cosine, in double precision, is high enough.
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from deliverylens.llm.components import connected_components
 from deliverylens.llm.storage import fresh_folder, open_folder, written
 
 COSINE = 0.93
-SHARD_ROWS = 4096
+SHARD_ROWS = 16_384
 NEIGHBOURS = 16  # of a vertex above the ground layer, twice as many on it
 BUILD_BEAM = 48
 BEAM = 16  # the first width of a search
@@ -174,32 +174,34 @@ class Graph:
         """For each query, which vertices with a cosine of ``least`` or more it meets:
         a beam down the layers, then on from each such vertex to those around it."""
         met = np.zeros((len(queries), len(self.vectors)), bool)
-        for first in range(0, len(queries), TOGETHER):
-            part = queries[first : first + TOGETHER]
-            beam, near = self.nearest(part, width)
-            for k in range(len(part)):
-                frontier = beam[k][near[k] >= least]
-                if not len(frontier):
-                    continue
-                hits = met[first + k]
+        beam, near = self.nearest(queries, width)
+        for k in np.flatnonzero(near[:, 0] >= least).tolist():
+            frontier = beam[k][near[k] >= least]
+            hits = met[k]
+            hits[frontier] = True
+            looked = hits.copy()
+            while len(frontier):
+                ahead = np.unique(self.layers[0][frontier])
+                ahead = ahead[ahead >= 0]
+                ahead = ahead[~looked[ahead]]
+                looked[ahead] = True
+                frontier = ahead[self.vectors[ahead] @ queries[k] >= least]
                 hits[frontier] = True
-                looked = np.zeros(len(self.vectors), bool)
-                looked[frontier] = True
-                while len(frontier):
-                    ahead = np.unique(self.layers[0][frontier])
-                    ahead = ahead[ahead >= 0]
-                    ahead = ahead[~looked[ahead]]
-                    looked[ahead] = True
-                    frontier = ahead[self.vectors[ahead] @ part[k] >= least]
-                    hits[frontier] = True
         return met
 
+    @staticmethod
+    def packed(queries: np.ndarray, search: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """What a search meets, a bit for each query and vertex, some queries at a time."""
+        parts = (queries[k : k + TOGETHER] for k in range(0, len(queries), TOGETHER))
+        return np.concatenate([np.packbits(search(part), axis=1) for part in parts])
+
     def audited(self, queries: np.ndarray, least: float, own: bool = False) -> tuple[np.ndarray, int, float]:
-        """What ``audit`` finds, its width and recall."""
-        return self.audit(queries, least, own)[:3]
+        """What ``audit`` finds as a matrix of truth values, its width and recall."""
+        bits, width, recall, _ = self.audit(queries, least, own)
+        return np.unpackbits(bits, axis=1, count=len(self.vectors)).astype(bool), width, recall
 
     def audit(self, queries: np.ndarray, least: float, own: bool = False) -> tuple[np.ndarray, int, float, int]:
-        """``within`` at the first width whose recall on an evenly spread sample of the
+        """``within``, in bits, at the first width whose recall on an evenly spread sample of the
         queries is high enough, with that width, its recall and the number of true
         vertices that this rests on. Sought are the sample's links; if there are fewer
         than ``AUDIT_LINKS``, the nearest neighbours of its queries, whatever their
@@ -225,38 +227,38 @@ class Graph:
                     hits &= ids != sample[:, None]
                 recall = min(recall, np.minimum(hits.sum(axis=1), most).sum() / (most * len(sample)))
             if recall >= AUDIT_RECALL:
-                return self.within(queries, width, least), width, float(recall), sought
+                return self.packed(queries, lambda part: self.within(part, width, least)), width, float(recall), sought
             if width >= len(self.vectors):
-                return queries @ self.vectors.T >= least, width, 1.0, sought
+                return self.packed(queries, lambda part: part @ self.vectors.T >= least), width, 1.0, sought
             width *= 2
 
-    def save(self, sink) -> None:
+    def save(self, sink, **columns: np.ndarray) -> None:
+        """Write the graph, and columns of its vertices beside it."""
         held = io.BytesIO()
-        np.savez(held, vectors=self.vectors, entry=self.entry, **{f"layer{k}": x for k, x in enumerate(self.layers)})
+        layers = {f"layer{k}": x for k, x in enumerate(self.layers)}
+        np.savez(held, vectors=self.vectors, entry=self.entry, **layers, **columns)
         sink.write(held.getvalue())
 
     @classmethod
-    def load(cls, source) -> Graph:
-        data = np.load(io.BytesIO(source.read()))
-        self = cls(data["vectors"])
-        self.entry = int(data["entry"])
-        self.layers = [data[f"layer{k}"] for k in range(len(data.files) - 2)]
-        return self
+    def load(cls, source) -> tuple[Graph, dict[str, np.ndarray]]:
+        data = dict(np.load(io.BytesIO(source.read())))
+        self = cls(data.pop("vectors"))
+        self.entry = int(data.pop("entry"))
+        self.layers = [data.pop(f"layer{k}") for k in range(sum(name.startswith("layer") for name in data))]
+        return self, data
 
 
 SHARDS = T.StructType(
     [
-        T.StructField("label", T.LongType()),
+        T.StructField("label", T.StringType()),
         T.StructField("dim", T.IntegerType()),
         T.StructField("shard", T.IntegerType()),
         T.StructField("file", T.StringType()),
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("weights", T.ArrayType(T.LongType())),
     ]
 )
 AUDIT = T.StructType(
     [
-        T.StructField("label", T.LongType()),
+        T.StructField("label", T.StringType()),
         T.StructField("dim", T.IntegerType()),
         T.StructField("shard_a", T.IntegerType()),
         T.StructField("shard_b", T.IntegerType()),
@@ -295,62 +297,82 @@ def build_shards(vectors: DataFrame, folder: str, shard_rows: int = SHARD_ROWS)
         system, top = open_folder(folder)
         system.create_dir(top, recursive=True)
         with system.open_output_stream(f"{top}/{name}") as sink:
-            Graph.build(vectors).save(sink)
+            Graph.build(vectors).save(sink, ids=group["id"].to_numpy(), weights=group["weight"].to_numpy())
         head = group.iloc[0]
-        return pd.DataFrame(
-            [(head["label"], head["dim"], head["shard"], name, group["id"].to_list(), group["weight"].to_list())],
-            columns=SHARDS.names,
-        )
+        return pd.DataFrame([(head["label"], head["dim"], head["shard"], name)], columns=SHARDS.names)
 
     return written(dealt.groupBy("label", "dim", "shard").applyInPandas(build, SHARDS), "shards")
 
 
-def _groups(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id that each vertex reaches over a symmetric matrix of links."""
-    least = ids.copy()
-    todo = np.ones(len(ids), bool)
-    for start in np.argsort(ids, kind="stable").tolist():
-        frontier = np.array([start]) if todo[start] else np.empty(0, int)
-        todo[start] = False
-        while len(frontier):
-            least[frontier] = ids[start]
-            frontier = np.flatnonzero(linked[frontier].any(axis=0) & todo)
-            todo[frontier] = False
-    return least
+def _blocks(bits: np.ndarray, n: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of a bit matrix of ``n`` columns, some at a time."""
+    for first in range(0, len(bits), TOGETHER):
+        rows = slice(first, min(first + TOGETHER, len(bits)))
+        yield rows, np.unpackbits(bits[rows], axis=1, count=n).astype(bool)
+
+
+def symmetric(bits: np.ndarray) -> np.ndarray:
+    """A square bit matrix made the same both ways, its diagonal empty."""
+    n = len(bits)
+    whole = np.empty_like(bits)
+    for rows, block in _blocks(bits, n):
+        # blocks begin at whole bytes
+        columns = np.unpackbits(bits[:, rows.start // 8 : -(-rows.stop // 8)], axis=1, count=rows.stop - rows.start)
+        block |= columns.astype(bool).T
+        block[np.arange(len(block)), np.arange(rows.start, rows.stop)] = False
+        whole[rows] = np.packbits(block, axis=1)
+    return whole
+
+
+def merge_groups(least: np.ndarray, one: int, others: np.ndarray) -> None:
+    """Join the groups of ``one`` and ``others``: ``least`` has each vertex's smallest id."""
+    met = np.unique(np.append(least[others], least[one]))
+    if len(met) > 1:
+        least[np.isin(least, met)] = met[0]
 
 
 def query_shards(shards: DataFrame, folder: str, cosine: float = COSINE) -> DataFrame:
-    """Query every shard with all vectors of its label. For each pair of shards and
-    vector that links there: id, n_links (rows linked in that pair), least_id (the
-    smallest id reached in it). A row without id for each pair holds its audit."""
-    left = shards.select("label", "dim", *(F.col(c).alias(f"{c}_a") for c in ("shard", "file", "ids", "weights")))
-    right = shards.select("label", "dim", *(F.col(c).alias(f"{c}_b") for c in ("shard", "file", "ids", "weights")))
+    """Query the shards of each label with its vectors: each shard with its own, and of two
+    shards the first with those of the second. A link of two vectors is the same both ways,
+    so one direction is enough, and the audit of a pair holds it against all true links
+    of its sample.
+
+    For each pair of shards and vector that links there: id, n_links (rows linked in that
+    pair), least_id (the smallest id reached in it). A row without id for each pair
+    holds its audit. Links are held as bits, one for each two vertices of a pair.
+    """
+    left = shards.select("label", "dim", *(F.col(c).alias(f"{c}_a") for c in ("shard", "file")))
+    right = shards.select("label", "dim", *(F.col(c).alias(f"{c}_b") for c in ("shard", "file")))
     pairs = left.join(right, ["label", "dim"]).where("shard_a <= shard_b")
 
     def query(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, top = open_folder(folder)
 
-        def graph(name: str) -> Graph:
+        def graph(name: str) -> tuple[Graph, dict[str, np.ndarray]]:
             with system.open_input_stream(f"{top}/{name}") as source:
                 return Graph.load(source)
 
         for batch in batches:
             for pair in batch.itertuples(index=False):
-                ids, weights = np.array(pair.ids_a), np.array(pair.weights_a)
-                if pair.shard_a == pair.shard_b:
-                    own = graph(pair.file_a)
-                    linked, *audit = own.audit(own.vectors, cosine, own=True)
-                    np.fill_diagonal(linked, False)
-                    linked |= linked.T
+                own, names = graph(pair.file_a)
+                ids, weights, n = names["ids"], names["weights"], len(names["ids"])
+                within = pair.shard_a == pair.shard_b
+                if within:
+                    bits, *audit = own.audit(own.vectors, cosine, own=True)
+                    bits = symmetric(bits)
                 else:
-                    met, *audit = graph(pair.file_a).audit(graph(pair.file_b).vectors, cosine)
-                    n = len(ids)
-                    ids, weights = np.append(ids, pair.ids_b), np.append(weights, pair.weights_b)
-                    linked = np.zeros((len(ids), len(ids)), bool)
-                    linked[n:, :n] = met
-                    linked[:n, n:] = met.T
-                counts = linked @ weights
-                least = _groups(linked, ids)
+                    other, others = graph(pair.file_b)
+                    bits, *audit = own.audit(other.vectors, cosine)
+                    ids, weights = np.append(ids, others["ids"]), np.append(weights, others["weights"])
+                shift = 0 if within else n  # vertices of the rows come after those of the columns
+                counts, least = np.zeros(len(ids), np.int64), ids.copy()
+                for rows, block in _blocks(bits, n):
+                    at = np.arange(rows.start, rows.stop) + shift
+                    counts[at] += block @ weights[:n]
+                    if not within:
+                        counts[:n] += weights[at] @ block
+                    for k in np.flatnonzero(block.any(axis=1)).tolist():
+                        merge_groups(least, int(at[k]), np.flatnonzero(block[k]))
                 some = counts > 0
                 yield pd.DataFrame({"id": ids[some], "n_links": counts[some], "least_id": least[some], "audit": None})
                 audit = (pair.label, pair.dim, pair.shard_a, pair.shard_b, *audit)
@@ -374,7 +396,8 @@ def _searched(embeddings: DataFrame, cosine: float, shard_rows: int) -> tuple[Da
     )
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("label").cast("long").alias("label"),
+        # as text, so that labels of any type meet only their like
+        F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("vector"),
     )
     usable = rows.where(F.coalesce(valid, F.lit(False)))
@@ -391,7 +414,8 @@ def audit_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int
     shard_a, shard_b, width of the beam, recall, and sought (the true links and
     neighbours, found by brute force, that the recall rests on)."""
     found = _searched(embeddings, cosine, shard_rows)[2]
-    return found.where("audit is not null").select("audit.*")
+    audits = found.where("audit is not null").select("audit.*")
+    return audits.withColumn("label", F.col("label").cast(embeddings.schema["label"].dataType))
 
 
 def near_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -399,7 +423,8 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int
     reachable) and kept (vec_id = component_id), one row for each input row.
 
     Rows without a label or id, and vectors that are null, empty, zero or hold null or
-    non-finite components, link with nothing; such a row is its own component (null,
+    non-finite components, link with nothing; labels may be of any type with a text of
+    its own, and meet only their like. A row without links is its own component (null,
     and not kept, without an id). Equal vectors of a label are searched once and link
     with each other. Vectors of other lengths do not link. A vec_id that repeats counts
     as one name: its rows share links and component. Only vec_id, embedding and label

@@ -360,3 +360,23 @@ def test_tool_rows(spark):
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_sql_twins(spark, name, sf_dir="/root/testdata/sf0.01"):
     assert not differences(queries.queries()[name](spark, sf_dir), connect(sf_dir), queries.oracle_sql()[name])
+
+
+def test_bit_matrices():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 8, 300, 530):
+        linked = rng.random((n, n)) < 0.05
+        bits = hnsw.symmetric(np.packbits(linked, axis=1))
+        both = linked | linked.T
+        np.fill_diagonal(both, False)
+        assert (np.unpackbits(bits, axis=1, count=n).astype(bool) == both).all()
+        assert (np.concatenate([block for _, block in hnsw._blocks(bits, n)]) == both).all()
+
+
+def test_labels_of_any_type_meet_only_their_like(spark):
+    """Texts, fractions that would be cut to the same whole number, and truth values."""
+    vector = [1.0, 0.0]
+    for kind, labels in (("string", ["a", "b", "a", None]), ("double", [1.2, 1.7, 1.2, None]), ("boolean", [True, False, True, None])):
+        rows = spark.createDataFrame([(k, x, vector) for k, x in enumerate(labels)], f"vec_id long, label {kind}, embedding array<float>")
+        found = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_vectors(rows).collect()}
+        assert found == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (0, 3)}
