@@ -10,7 +10,6 @@ whatever order its passages stand there.
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,26 +44,39 @@ def running_hash(ids: np.ndarray, length: int) -> np.ndarray:
     return hashes
 
 
+def common_runs(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
+    """All (length, start in item, start in doc) of runs of ``min_match`` words or more that
+    both texts share and that cannot be made longer. Runs grow word by word of the item,
+    at all places of the document at once."""
+    runs: list[tuple[int, int, int]] = []
+    length = np.zeros(len(doc) + 1, np.int32)  # of the run that ends before each place
+    for q in range(len(item) + 1):
+        same = doc == item[q] if q < len(item) else np.zeros(len(doc), bool)
+        ended = length >= min_match
+        ended[:-1] &= ~same
+        for p in np.flatnonzero(ended).tolist():
+            n = int(length[p])
+            runs.append((n, q - n, p - n))
+        length[1:] = np.where(same, length[:-1] + 1, 0)
+        length[0] = 0
+    return runs
+
+
 def tile(doc: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
     """Greedy tiles (length, start in item, start in doc), longest first; equal ones
-    by their place in the item, then in the document."""
-    places = defaultdict(list)
-    for q, h in enumerate(running_hash(item, min_match).tolist()):
-        places[h].append(q)
-    ahead: dict[int, list[int]] = defaultdict(list)  # by diagonal, places in the document
-    hashes = running_hash(doc, min_match)
-    for p in np.flatnonzero(np.isin(hashes, np.fromiter(places, np.uint64, len(places)))).tolist():
-        for q in places[int(hashes[p])]:
-            if np.array_equal(doc[p : p + min_match], item[q : q + min_match]):
-                ahead[p - q].append(p)
+    by their place in the item, then in the document. Places of the document that hold no
+    seed, found by the running hash, are never compared."""
+    seeded = np.isin(running_hash(doc, min_match), running_hash(item, min_match))
+    under = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(under, np.flatnonzero(seeded), 1)
+    np.add.at(under, np.flatnonzero(seeded) + min_match, -1)
+    places = np.flatnonzero(np.cumsum(under[:-1]) > 0)
     waiting: list[tuple[int, int, int]] = []
-    for diagonal, starts in ahead.items():
-        first = last = starts[0]
-        for p in [*starts[1:], -1]:
-            if p != last + 1:
-                heapq.heappush(waiting, (-(last - first + min_match), first - diagonal, first))
-                first = p
-            last = p
+    # stretches of words under seeds, each on its own
+    for part in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else []:
+        first = int(part[0])
+        waiting += [(-n, q, first + p) for n, q, p in common_runs(doc[part], item, min_match)]
+    heapq.heapify(waiting)
     taken_doc, taken_item = np.zeros(len(doc), bool), np.zeros(len(item), bool)
     tiles = []
     while waiting:
@@ -74,6 +86,9 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH) -> list[
         if not used.any():
             taken_doc[p : p + length] = taken_item[q : q + length] = True
             tiles.append((length, q, p))
+            left = np.cumsum(np.append(0, ~taken_item))
+            if not (left[min_match:] - left[:-min_match] == min_match).any():
+                break  # what is left of the item is too short for another tile
             continue
         # what is left between taken words waits for its turn
         edges = np.flatnonzero(np.diff(np.concatenate(([True], used, [True])).astype(np.int8)))
@@ -88,6 +103,11 @@ class SeedIndex:
 
     def __init__(self, rows: list[tuple[int, str | None]]):
         texts = [(key, words_of(text)) for key, text in rows]
+        # items too short for a seed are looked for as a whole, by their number of words
+        self.short: dict[int, dict[tuple[bytes, ...], list]] = {}
+        for key, words in texts:
+            if 0 < len(words) < MIN_MATCH:
+                self.short.setdefault(len(words), {}).setdefault(tuple(words), []).append(key)
         texts = [(key, words) for key, words in texts if len(words) >= MIN_MATCH]
         self.number: dict[bytes, int] = {}
         for _, words in texts:
@@ -104,16 +124,16 @@ class SeedIndex:
         """(item_id, coverage, n_tiles, longest, tiles) of the items in one text."""
         get = self.number.get
         words = words_of(text)
+        out = self._short_found(words)
         ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
         # only windows of benchmark words throughout can be seeds
         known = np.concatenate(([0], np.cumsum(ids > 0)))
         full = np.flatnonzero(known[MIN_MATCH:] - known[:-MIN_MATCH] == MIN_MATCH)
         if not len(full) or not len(self.seeds):
-            return []
+            return out
         hashes = running_hash(ids, MIN_MATCH)[full]
         low, high = np.searchsorted(self.seeds, hashes, "left"), np.searchsorted(self.seeds, hashes, "right")
         hit = hashes[high > low]
-        out = []
         for owner in sorted({o for h in set(hit.tolist()) for o in self._owners(h)}):
             key, item = self.items[owner]
             # words under any shared seed bound what tiles can cover
@@ -130,6 +150,17 @@ class SeedIndex:
                 out.append((key, covered / len(item), len(tiles), max(length for length, *_ in tiles), spans))
         return out
 
+    def _short_found(self, words: list[bytes]) -> list[tuple]:
+        """Short items that stand in a text word by word, at their first place."""
+        out = []
+        for n, items in self.short.items():
+            first: dict[tuple[bytes, ...], int] = {}
+            for p, run in enumerate(zip(*(words[k:] for k in range(n)))):
+                if run in items:
+                    first.setdefault(run, p)
+            out += [(key, 1.0, 1, n, [(0, p, n)]) for run, p in first.items() for key in items[run]]
+        return out
+
     def _owners(self, seed: int) -> np.ndarray:
         low = np.searchsorted(self.seeds, np.uint64(seed), "left")
         high = np.searchsorted(self.seeds, np.uint64(seed), "right")
@@ -188,8 +219,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK
     """One row for each document and benchmark item that it holds: doc_id, item_id,
     coverage (share of the item's words under tiles), n_tiles, longest, tiles.
 
-    Null and empty texts hold nothing, items under ``MIN_MATCH`` words are held by
-    nothing. Repeated rows of either table give repeated rows here; null ids stay
+    Null and empty texts hold nothing, and nothing holds an item without words. An item
+    of fewer than ``MIN_MATCH`` words is held where all its words stand together. Repeated rows of either table give repeated rows here; null ids stay
     null. No other column is read. Either table empty: an empty result. Each block
     of the benchmark is one pass over the documents.
     """

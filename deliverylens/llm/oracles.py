@@ -79,7 +79,11 @@ FROM linked
 UNION ALL
 SELECT conv_id, call_id, NULL, NULL, NULL, result_turn::BIGINT, n_results::BIGINT, 'orphan', '',
        '{"call_id":' || to_json(call_id) || ',"result":' || to_json(content) || '}'
-FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)"""
+FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+UNION ALL
+SELECT conv_id, NULL, turn::BIGINT, NULL, NULL, NULL, 0, 'message', '',
+       '{' || concat_ws(',', '"content":' || to_json(text), '"role":' || to_json(role)) || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')"""
 
 NEAR_VECTORS = """WITH RECURSIVE unit AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings

@@ -65,8 +65,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = table(spark, sf_dir, "conversations")
-    return toolcalls.link_tools(toolcalls.calls_of(messages), toolcalls.results_of(messages), toolcalls.SCHEMAS)
+    return toolcalls.chat_rows(table(spark, sf_dir, "conversations"))
 
 
 def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

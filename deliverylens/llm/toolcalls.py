@@ -271,3 +271,28 @@ def results_of(messages: DataFrame) -> DataFrame:
         F.col("turn").cast("long").alias("turn"),
         F.col("text").alias("content"),
     )
+
+
+def other_messages(messages: DataFrame) -> DataFrame:
+    """Messages of neither users nor assistants (of a system, of any other or no role), in the
+    columns of ``link_tools``: they carry no call, keep their turn, and have the status
+    ``message`` and their content and role as canonical JSON."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return messages.where("role is null or role not in ('user', 'assistant')").select(
+        "conv_id",
+        none("string").alias("call_id"),
+        F.col("turn").cast("long").alias("turn"),
+        none("string").alias("tool"),
+        none("long").alias("level"),
+        none("long").alias("result_turn"),
+        F.lit(0).cast("long").alias("n_results"),
+        F.lit("message").alias("status"),
+        F.lit("").alias("errors"),
+        F.to_json(F.struct(F.col("text").alias("content"), "role")).alias("json"),
+    )
+
+
+def chat_rows(messages: DataFrame) -> DataFrame:
+    """All messages of conversations as linked calls, orphan results and other messages. Every
+    row of ``messages`` is one of these, or a result that counts in one's ``n_results``."""
+    return link_tools(calls_of(messages), results_of(messages), SCHEMAS).unionByName(other_messages(messages))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -185,6 +186,29 @@ def test_decontamination_rows(spark):
     assert decontaminate.contaminated(table.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_as_a_whole(spark):
+    table = spark.createDataFrame([(1, "So, Call me. Ishmael said"), (2, "call you me ishmael"), (3, "me"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "Call me Ishmael!"), (8, "me"), (9, "..."), (10, None), (7, "call me ishmael")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.coverage, r.longest, r.tiles[0].doc_start) for r in decontaminate.contaminated(table, bench).collect()}
+    assert found == {(1, 7, 1.0, 3, 1), (1, 8, 1.0, 1, 2), (2, 8, 1.0, 1, 2), (3, 8, 1.0, 1, 0)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()] == [4]
+
+
+def test_repetitive_texts_are_tiled_quickly():
+    started = time.perf_counter()
+    same = np.ones(20_000, np.int64)
+    assert decontaminate.tile(same, np.ones(100, np.int64)) == [(100, 0, 0)]
+    page = np.tile(np.arange(1, 8), 5_000)
+    assert sum(n for n, *_ in decontaminate.tile(page, np.tile(np.arange(1, 8), 30))) == 210
+    assert time.perf_counter() - started < 2
+
+
+@given(st.lists(st.integers(0, 2), max_size=40), st.lists(st.integers(1, 2), max_size=20), st.integers(1, 4))
+@settings(max_examples=300, deadline=None)
+def test_tiles_of_repetitive_texts_match_brute_force(doc, item, least):
+    assert decontaminate.tile(np.array(doc, np.int64), np.array(item, np.int64), least) == plain_tiles(doc, item, least)
+
+
 # --- quality ---
 
 

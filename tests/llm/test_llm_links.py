@@ -1,5 +1,6 @@
 """SimHash, components, vectors, tool calls and the SQL twins."""
 
+import os
 import random
 
 import numpy as np
@@ -13,6 +14,7 @@ from compare import connect, differences
 from deliverylens.llm import hnsw, queries, simhash, toolcalls
 from deliverylens.llm.components import connected_components
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string"
 
 
@@ -380,3 +382,23 @@ def test_labels_of_any_type_meet_only_their_like(spark):
         rows = spark.createDataFrame([(k, x, vector) for k, x in enumerate(labels)], f"vec_id long, label {kind}, embedding array<float>")
         found = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_vectors(rows).collect()}
         assert found == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (0, 3)}
+
+
+def test_every_message_is_accounted_for(spark):
+    rows = [(1, 0, "system", "Be kind."), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 2, "assistant", "c")]
+    rows += [(1, 3, None, None), (2, 5, "assistant", "alone"), (None, 0, "tool", 'q"'), (1, 0, "system", "Be kind.")]
+    found = toolcalls.chat_rows(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
+    calls = sum(r.status not in ("orphan", "message") for r in found)
+    messages = [r for r in found if r.status == "message"]
+    assert calls + sum(r.n_results for r in found) + len(messages) == len(rows)
+    assert sorted(r.json for r in messages) == [
+        '{"content":"Be kind.","role":"system"}', '{"content":"Be kind.","role":"system"}', '{"content":"q\\"","role":"tool"}', "{}",
+    ]
+    assert {r.turn for r in messages} == {0, 3}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
+def test_every_sample_message_is_accounted_for(spark):
+    found = queries.op8_tool_calls(spark, SF_DIR)
+    told = found.agg(F.sum(F.when(F.col("status") == "orphan", 0).otherwise(1) + F.col("n_results"))).first()[0]
+    assert told == spark.read.parquet(f"{SF_DIR}/conversations.parquet").count()
