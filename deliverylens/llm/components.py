@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.storage import written
+from deliverylens.llm.storage import drop_folders, folders_made, written
 
 PART_ROWS = 500_000  # of links in one task that writes them
 
@@ -39,6 +39,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     the links at hand and a lost executor costs a re-read. Only row counts and a sum
     come to the driver.
     """
+    spark, mark = links.sparkSession, folders_made()
     links = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
@@ -52,6 +53,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         now = links.agg(
             F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
+        # what went before the links at hand has been read for the last time
+        drop_folders(spark, mark, keep=1)
         if now == state:
             break
         state = now

@@ -11,12 +11,32 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.session import scratch_dir
+from deliverylens.session import remove_folder, scratch_dir
+
+_made: list[str] = []  # folders of this application that are still there
+
+# Other names that Hadoop has for file systems which Arrow opens
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder of ``spark.checkpoint.dir``."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def folders_made() -> int:
+    """A mark for ``drop_folders``."""
+    return len(_made)
+
+
+def drop_folders(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the folders made after a mark, but for the last ``keep`` ones. Frames that still
+    read them can no longer be used."""
+    gone = _made[since : len(_made) - keep]
+    del _made[since : len(_made) - keep]
+    for path in gone:
+        remove_folder(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,7 +48,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's address, and its path there."""
-    return fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition(":")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{colon}{rest}")
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
