@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.llm import bpe, decontaminate, quality, secrets, simhash
-from deliverylens.llm.storage import written
+from deliverylens.llm.storage import drop_folders, folders_made, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder. What a stage has written is deleted once
+    the next one is, but for the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = folders_made()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        drop_folders(spark, mark, keep=1)
     return docs
