@@ -33,13 +33,19 @@ AUDIT_RECALL = 0.99
 AUDIT_LINKS = 100  # in a sample; with fewer, the nearest neighbours of its queries count too
 AUDIT_NEAREST = 10
 TOGETHER = 256  # searches in step
+MOST_EXPANDED = 32  # vertices of one beam in a step
+CACHED = 1 << 18  # numbers of vectors that are gathered at a time
+SLACK = 1e-5  # by which single precision may miss a cosine
+# a place of a beam: the distance in steps of 1 / DISTANCE, 31 bits for the vertex, one if expanded
+DISTANCE, VERTEX, NOWHERE = 1 << 30, (1 << 31) - 1, np.int64((1 << 63) - 1)
 
 
 class Graph:
-    """A layered neighbourhood graph over unit vectors."""
+    """A layered neighbourhood graph over unit vectors. It is walked in single precision."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
+        self.walked = vectors.astype(np.float32)
         self.layers: list[np.ndarray] = []  # per layer: row of neighbours, -1 where none
         self.entry = 0
 
@@ -63,120 +69,157 @@ class Graph:
         return self
 
     def _insert(self, batch: np.ndarray, heights: np.ndarray) -> None:
-        queries = self.vectors[batch]
+        queries = self.walked[batch]
         beam = np.full((len(batch), 1), self.entry, np.int64)
         near_batch = queries @ queries.T
         np.fill_diagonal(near_batch, -2)
         for layer in range(len(self.layers) - 1, -1, -1):
-            found, near = self.search_layer(queries, beam, layer, BUILD_BEAM if layer < 2 else 8)
-            joins = heights[batch] >= layer
-            for k in np.flatnonzero(joins):
+            if layer:
+                beam = self.search_layer(queries, beam, layer, 8)[0]
+            joins = np.flatnonzero(heights[batch] >= layer)
+            if len(joins):
+                found, near = self.search_layer(queries[joins], beam[joins], layer, BUILD_BEAM)
                 # the batch's own members are not in the graph yet
-                peers = np.flatnonzero(joins & (near_batch[k] > -2))
-                peers = peers[np.argsort(-near_batch[k, peers], kind="stable")[: 2 * NEIGHBOURS]]
-                known = found[k] >= 0
-                ids = np.concatenate((found[k][known], batch[peers]))
-                sims = np.concatenate((near[k][known], near_batch[k, peers]))
-                self._connect(int(batch[k]), ids, sims, layer)
-            beam = found[:, :8] if found.shape[1] > 8 else found
+                among = near_batch[np.ix_(joins, joins)]
+                peers = np.argsort(-among, axis=1, kind="stable")[:, : 2 * NEIGHBOURS]
+                sims = np.concatenate((near, np.take_along_axis(among, peers, 1)), axis=1)
+                ids = np.where(sims > -2, np.concatenate((found, batch[joins][peers]), axis=1), -1)
+                self._connect(batch[joins], ids, sims, layer)
 
     def _chosen(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
-        """The nearest that are not nearer to one already chosen than to the vertex
-        (so that paths lead out of dense groups), filled up with the nearest others."""
-        order = np.argsort(-sims, kind="stable")[: 3 * most]
-        ids, sims = ids[order], sims[order]
-        if len(ids) <= most // 2:
-            return ids
-        between = self.vectors[ids] @ self.vectors[ids].T
-        blocked = np.zeros(len(ids), bool)
-        taken = []
-        for k in range(len(ids)):
-            if not blocked[k]:
-                taken.append(k)
-                if len(taken) == most:
-                    break
-                blocked |= between[k] > sims
-        rest = [k for k in range(len(ids)) if blocked[k] and k not in set(taken)][: most - len(taken)]
-        return ids[taken + rest]
-
-    def _connect(self, vertex: int, ids: np.ndarray, sims: np.ndarray, layer: int) -> None:
+        """For each vertex, of a row of candidates (-1 where none) and their cosines: the
+        nearest that are not nearer to one already chosen than to the vertex (so that
+        paths lead out of dense groups), filled up with the nearest others."""
+        order = np.argsort(-sims, axis=1, kind="stable")[:, : 3 * most]
+        ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+        near = self.walked[ids]
+        blocks = near @ near.transpose(0, 2, 1) > sims[:, None, :]
+        free, taken, count = ids >= 0, np.zeros(ids.shape, bool), np.zeros(len(ids), int)
+        for k in range(ids.shape[1]):
+            takes = free[:, k] & (count < most)
+            taken[:, k] = takes
+            count += takes
+            free &= ~(blocks[:, k] & takes[:, None])
+        rest = np.where(taken, 0, np.where(ids >= 0, 1, 2))
+        chosen = np.take_along_axis(ids, np.argsort(rest, axis=1, kind="stable")[:, :most], 1)
+        return np.pad(chosen, ((0, 0), (0, most - chosen.shape[1])), constant_values=-1)
+
+    def _connect(self, vertices: np.ndarray, ids: np.ndarray, sims: np.ndarray, layer: int) -> None:
+        """Link new vertices with candidates, and those back, all vertices at once."""
         links = self.layers[layer]
         most = links.shape[1]
+        step = max(1, CACHED // (ids.shape[1] * self.walked.shape[1]))
         # half of the places are left to those that come later
-        chosen = self._chosen(ids, sims, most // 2)
-        links[vertex] = -1
-        links[vertex, : len(chosen)] = chosen
-        for other in chosen.tolist():
-            row = links[other]
-            free = np.flatnonzero(row < 0)
-            if vertex in row:
-                continue
-            if len(free):
-                row[free[0]] = vertex
-            else:
-                all_ids = np.append(row, vertex)
-                keep = self._chosen(all_ids, self.vectors[all_ids] @ self.vectors[other], most)
-                row[:] = -1
-                row[: len(keep)] = keep
+        for k in range(0, len(vertices), step):
+            part = slice(k, k + step)
+            links[vertices[part], : most // 2] = self._chosen(ids[part], sims[part], most // 2)
+        rows, at = np.nonzero(links[vertices] >= 0)
+        ends, starts = links[vertices[rows], at], vertices[rows]
+        known = (links[ends] == starts[:, None]).any(axis=1)
+        ends, starts = ends[~known], starts[~known]
+        order = np.argsort(ends, kind="stable")
+        ends, starts = ends[order], starts[order]
+        others, first, counts = np.unique(ends, return_index=True, return_counts=True)
+        if not len(others):
+            return
+        held = np.full((len(others), most + counts.max()), -1, links.dtype)
+        held[:, :most] = links[others]
+        held[np.repeat(np.arange(len(others)), counts), most + np.arange(len(ends)) - np.repeat(first, counts)] = starts
+        held = np.take_along_axis(held, np.argsort(held < 0, axis=1, kind="stable"), 1)
+        sizes = (held >= 0).sum(axis=1)
+        links[others] = held[:, :most]
+        # where there is no room some must go; rows of like size are done together
+        crowded = np.flatnonzero(sizes > most)
+        crowded = crowded[np.argsort(-sizes[crowded], kind="stable")]
+        while len(crowded):
+            size = sizes[crowded[0]]
+            step = max(1, CACHED // (size * self.walked.shape[1]))
+            part, crowded = crowded[:step], crowded[step:]
+            some = held[part, :size]
+            near = np.einsum("rd,rkd->rk", self.walked[others[part]], self.walked[some])
+            links[others[part]] = self._chosen(some, np.where(some < 0, np.float32(-2), near), most)
 
     def search_layer(self, queries: np.ndarray, starts: np.ndarray, layer: int, width: int):
         """Beam searches in step: the ``width`` nearest vertices that each query meets,
-        nearest first, as (ids, cosines); -1 and -2 where there are fewer."""
+        nearest first, as (ids, cosines in single precision); -1 and -2 where there are
+        fewer. A step expands the nearest of what is open, more of a wide beam, so that
+        wide beams do not take more steps."""
         links, n = self.layers[layer], len(self.vectors)
-        rows = np.arange(len(queries))
-        seen = np.zeros((len(queries), n + 1), bool)
-        seen[:, n] = True
-        ids = np.where(starts < 0, n, starts)
-        near = np.where(starts < 0, -2.0, np.einsum("qd,qsd->qs", queries, self.vectors[np.maximum(starts, 0)]))
-        np.put_along_axis(seen, ids, True, axis=1)
-        open_ = ids < n
+        together = min(MOST_EXPANDED, max(1, width // BEAM))
+        seen = np.zeros(len(queries) * n, np.int32)
+        # a place of a beam is one number: distance, vertex, and whether it has been expanded
+        beam = np.full((len(queries), width), NOWHERE)
+
+        def meet(rows: np.ndarray, vertices: np.ndarray) -> None:
+            """Put what queries (in ascending order) have not seen into their beams."""
+            at = rows * n + vertices
+            new = seen[at] == 0
+            rows, vertices, at = rows[new], vertices[new], at[new]
+            # a vertex that a query meets twice in a step counts once
+            turn = np.arange(1, len(at) + 1, dtype=np.int32)
+            seen[at] = turn
+            new = seen[at] == turn
+            rows, vertices = rows[new], vertices[new]
+            near = np.empty(len(rows), np.float32)
+            step = max(1, CACHED // queries.shape[1])
+            for k in range(0, len(rows), step):
+                part = slice(k, k + step)
+                near[part] = np.einsum("nd,nd->n", queries[rows[part]], self.walked[vertices[part]])
+            places = (np.maximum(1.0 - near.astype(np.float64), 0) * DISTANCE).astype(np.int64) << 32 | vertices << 1
+            nearer = places < beam[rows, -1]
+            rows, places = rows[nearer], places[nearer]
+            if len(rows):
+                some, first, counts = np.unique(rows, return_index=True, return_counts=True)
+                joined = np.full((len(some), width + counts.max()), NOWHERE)
+                joined[:, :width] = beam[some]
+                joined[np.repeat(np.arange(len(some)), counts), width + np.arange(len(rows)) - np.repeat(first, counts)] = places
+                joined.sort(axis=1)
+                beam[some] = joined[:, :width]
+
+        rows, at = np.nonzero(starts >= 0)
+        meet(rows, starts[rows, at])
+        active = np.arange(len(queries))
         while True:
-            best = np.where(open_, near, -3.0).argmax(axis=1)
+            open_ = beam[active] & 1 == 0
             # a beam is done when it has nothing left to expand
-            going = open_[rows, best]
-            if not going.any():
+            going = open_.any(axis=1)
+            active, open_ = active[going], open_[going]
+            if not len(active):
                 break
-            active = rows[going]
-            at = best[going]
-            open_[active, at] = False
-            ahead = links[ids[active, at]].astype(np.int64)
-            ahead[ahead < 0] = n
-            new = ~seen[active[:, None], ahead]
-            ahead[~new] = n
-            seen[active[:, None], ahead] = True
-            sims = np.einsum("qd,qsd->qs", queries[active], self.vectors[np.minimum(ahead, n - 1)])
-            sims[ahead == n] = -2.0
-            every = np.concatenate((ids[active], ahead), axis=1)
-            every_near = np.concatenate((near[active], sims), axis=1)
-            every_open = np.concatenate((open_[active], ahead < n), axis=1)
-            top = np.argsort(-every_near, axis=1, kind="stable")[:, :width]
-            size = top.shape[1]
-            if ids.shape[1] < size:
-                pad = size - ids.shape[1]
-                ids = np.pad(ids, ((0, 0), (0, pad)), constant_values=n)
-                near = np.pad(near, ((0, 0), (0, pad)), constant_values=-2.0)
-                open_ = np.pad(open_, ((0, 0), (0, pad)))
-            ids[active, :size] = np.take_along_axis(every, top, 1)
-            near[active, :size] = np.take_along_axis(every_near, top, 1)
-            open_[active, :size] = np.take_along_axis(every_open, top, 1)
-        order = np.argsort(-near, axis=1, kind="stable")
-        ids = np.take_along_axis(ids, order, 1)
-        return np.where(ids == n, -1, ids), np.take_along_axis(near, order, 1)
-
-    def nearest(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+            rows, at = np.nonzero(open_ & (np.cumsum(open_, axis=1) <= together))
+            rows = active[rows]
+            ahead = links[beam[rows, at] >> 1 & VERTEX].astype(np.int64)
+            beam[rows, at] |= 1
+            rows = np.repeat(rows, links.shape[1])[ahead.ravel() >= 0]
+            meet(rows, ahead[ahead >= 0])
+        none = beam == NOWHERE
+        return np.where(none, -1, beam >> 1 & VERTEX), np.where(none, -2, 1 - (beam >> 32) / DISTANCE)
+
+    def _down(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """A beam down the layers: ids and cosines as of ``search_layer``."""
+        walking = queries.astype(np.float32)
         beam, near = np.full((len(queries), 1), self.entry, np.int64), np.empty(0)
         for layer in range(len(self.layers) - 1, -1, -1):
-            beam, near = self.search_layer(queries, beam, layer, 8 if layer else width)
+            beam, near = self.search_layer(walking, beam, layer, 8 if layer else width)
         return beam, near
 
+    def nearest(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """A beam down the layers: ids, and cosines in double precision, as nearest first
+        as single precision tells; -1 and -2 where there are fewer than ``width``."""
+        beam, _ = self._down(queries, width)
+        near = np.stack([self.vectors[ids] @ query for ids, query in zip(beam, queries, strict=True)])
+        return beam, np.where(beam < 0, -2.0, near)
+
     def within(self, queries: np.ndarray, width: int, least: float) -> np.ndarray:
         """For each query, which vertices with a cosine of ``least`` or more it meets:
-        a beam down the layers, then on from each such vertex to those around it."""
+        a beam down the layers, then on from each such vertex to those around it.
+        Double precision decides."""
         met = np.zeros((len(queries), len(self.vectors)), bool)
-        beam, near = self.nearest(queries, width)
-        for k in np.flatnonzero(near[:, 0] >= least).tolist():
-            frontier = beam[k][near[k] >= least]
+        beam, near = self._down(queries, width)
+        close = near >= least - SLACK
+        for k in np.flatnonzero(close[:, 0]).tolist():
+            frontier = beam[k][close[k]]
+            frontier = frontier[self.vectors[frontier] @ queries[k] >= least]
             hits = met[k]
             hits[frontier] = True
             looked = hits.copy()

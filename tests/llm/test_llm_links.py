@@ -250,6 +250,52 @@ def test_hits_of_vectors_on_themselves_are_no_evidence():
     assert width > hnsw.BEAM and recall >= 0.99 and (met == true).all()
 
 
+class Looked(np.ndarray):
+    """Neighbours that count how often they are looked up."""
+
+    looks = 0
+
+    def __getitem__(self, key):
+        Looked.looks += 1
+        return np.asarray(self)[key]
+
+
+def test_a_shard_is_worked_in_few_large_steps(monkeypatch):
+    """What made CPU seconds grow faster than vectors: choices of neighbours came one by one, and
+    a beam took a step for each of its vertices."""
+    n, calls, choose = 1500, [], hnsw.Graph._chosen
+
+    def counted(self, *args):
+        calls.append(1)
+        return choose(self, *args)
+
+    monkeypatch.setattr(hnsw.Graph, "_chosen", counted)
+    vectors = unit_rows(n, 32, 6)
+    graph = hnsw.Graph.build(vectors)
+    assert len(calls) < n / 4
+    asked = unit_rows(50, 32, 7)
+    true = np.argsort(-(asked @ vectors.T), axis=1)[:, :10]
+    graph.layers[0] = graph.layers[0].view(Looked)
+    Looked.looks = 0
+    found = graph.nearest(asked, 256)[0]
+    assert Looked.looks < 256 / 4
+    assert np.mean([len(set(f) & set(t)) / 10 for f, t in zip(found.tolist(), true.tolist())]) >= 0.99
+
+
+def test_double_precision_decides_about_links():
+    """Cosines so near to the bound that single precision cannot tell on which side they are."""
+    rng = np.random.default_rng(8)
+    one = unit_rows(1, 16, 9)[0]
+    across = rng.normal(size=(400, 16))
+    across -= np.outer(across @ one, one)
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    cosines = 0.93 + rng.choice([-1, 1], 400) * 1e-9
+    vectors = np.vstack((one, cosines[:, None] * one + np.sqrt(1 - cosines**2)[:, None] * across))
+    graph = hnsw.Graph.build(vectors)
+    assert (graph.within(vectors[:1], 512, 0.93)[0] == (vectors @ one >= 0.93)).all()
+    assert (np.sum(vectors @ one >= 0.93) == 1 + (cosines > 0.93).sum())
+
+
 def test_audit_of_each_pair_of_shards(spark):
     rows = [(k, v.tolist(), k % 2) for k, v in enumerate(unit_rows(300, 16, 4))]
     audits = hnsw.audit_vectors(spark.createDataFrame(rows, VECTORS), shard_rows=50).collect()
