@@ -131,7 +131,9 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     keyed = variants(prints.select("fp").repartition(tasks, "fp"))
     # a variant with one fingerprint has nothing to compare
     crowd = keyed.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = keyed.join(crowd, "variant").select(
+    # merged at every size: the planner knows no sizes behind an explode, and takes the
+    # variants for as few bytes as the fingerprints that they are made of
+    shared = keyed.join(crowd.hint("merge"), "variant").select(
         "variant",
         "fp",
         F.ceil(F.col("n") / TILE).cast("int").alias("tiles"),

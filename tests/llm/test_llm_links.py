@@ -102,6 +102,17 @@ def test_every_near_pair_is_connected(spark, monkeypatch, tile):
     assert roots(prints, links) == roots(prints, near(prints))
 
 
+def test_variants_of_fingerprints_are_never_broadcast(spark):
+    """They are 64 rows a fingerprint, which the planner does not know of."""
+    rng = random.Random(5)
+    lone = [rng.getrandbits(64) - (1 << 63) for _ in range(2_000)]
+    prints = lone + [fp ^ 5 for fp in lone[:200]]
+    links = simhash.near_links(spark.createDataFrame([(fp,) for fp in prints], "fp long"))
+    assert {tuple(sorted(r)) for r in links.collect()} == {tuple(sorted((fp, fp ^ 5))) for fp in lone[:200]}
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "BroadcastExchange" not in plan
+
+
 def test_simhash_rows(spark):
     rng = random.Random(4)
     words = [f"w{k}" for k in range(300)]
