@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from deliverylens.llm import decontaminate, quality, queries, secrets
+from deliverylens.llm import decontaminate, quality, queries, secrets, simhash
 from deliverylens.llm.storage import fresh_folder
 from deliverylens.llm.words import utf8
 
@@ -404,6 +404,15 @@ def test_queries_apply_their_operators_to_whole_tables(spark, name, sf_dir="/roo
         assert len(rows) == len(ids) and {r[0] for r in rows} == ids
 
 
+def test_dedup_stage_broadcasts_no_variants(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(simhash, "near_links", lambda *a, near=simhash.near_links: made.append(near(*a)) or made[-1])
+    texts = ["one two three four", "one two three four", "five six seven", None]
+    kept = corpus_pipeline.dedup_stage(spark, docs(spark, texts, [1, 2, 3, 4]), "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+    assert len(made) == 1 and "BroadcastExchange" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
