@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 from deliverylens.operators import profile as P
 from deliverylens.operators import quality, sketches
 from deliverylens.operators.scaling import minmax_scale
+from deliverylens.operators.slices import even_cuts, ordered_slices, slice_count
 from deliverylens.plans import cleaning, cube, dashboard, explore, features, kpi, questions, refresh, report, risk
 from deliverylens.plans.stages import raw_tables, sample_tables
 from deliverylens.schema import ALL_REFERENCES, CORE_REFERENCES, KPI_TABLES, TABLES
-from deliverylens.session import materialized, remove_folder, scratch_dir
+from deliverylens.session import materialized, remove_folder, scratch_dir, shuffles_dropped
 from deliverylens.sources import layout, loads
 from deliverylens.sources import tables as tables_io
+from deliverylens.sources.driver_tables import ARRIVES_BY
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -262,21 +264,32 @@ def _csv_round_trip(table: str):
 
     def run(spark, sf_dir):
         raw = raw_tables(spark, sf_dir)[table]
-        ordered = "arrival" in raw.columns
-        # lines in order of arrival, which the reader takes from their places
-        rows = raw.orderBy("arrival") if ordered else raw
+        ordered = table in ARRIVES_BY
         # the exported column order differs from the table's, so only names can bind
         names = sorted(c for c in raw.columns if c != "arrival")
-        return _plain(
-            _scratch_copy(
-                spark,
-                "export",
-                lambda folder: tables_io.write_csv_table(rows.select(*names), f"{folder}/{table}.csv"),
-                lambda folder: cleaning.CLEANERS[table](
-                    tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table, with_arrival=ordered)
-                ),
-            )
-        )
+        slices, parts, order = 1, [raw], []
+        if ordered:
+            source, first = ARRIVES_BY[table]
+            rows = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+            slices = slice_count(rows.count())
+            parts = ordered_slices(raw, F.col(f"arrival.{first}"), even_cuts(rows, first, slices))
+            # by its fields, the first of which is then compared without looking into rows
+            order = [F.col(f"arrival.{f}") for f in raw.schema["arrival"].dataType.names]
+
+        def write(folder: str) -> None:
+            # lines in order of arrival, which the reader takes from their places: slice by
+            # slice, in folders whose names follow each other
+            for k, part in enumerate(parts):
+                lines = (part.orderBy(*order) if ordered else part).select(*names)
+                with shuffles_dropped(spark):
+                    tables_io.write_csv_table(lines, f"{folder}/{table}.csv/slice={k:04d}", packed=True)
+
+        def read(folder: str) -> DataFrame:
+            return tables_io.read_csv_table(spark, f"{folder}/{table}.csv", table, with_arrival=ordered)
+
+        # the lines are gone before the rows that were read from them are cleaned
+        back = _scratch_copy(spark, "export", write, read)
+        return _plain(cleaning.CLEANERS[table](back, **({"slices": slices} if ordered else {})))
 
     return run
 

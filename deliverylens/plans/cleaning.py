@@ -14,8 +14,9 @@ from deliverylens.operators.dedupe import first_copies, keep_first
 from deliverylens.operators.observed import Counters
 from deliverylens.operators.quantiles import exact_quantile
 from deliverylens.operators.sketches import rank_sketches, sketch_quantile
+from deliverylens.operators.slices import key_slices
 from deliverylens.schema import ISSUE_STATUSES
-from deliverylens.session import materialized
+from deliverylens.session import materialized, materialized_in_turn
 
 OUTLIER_QUANTILE = 0.995
 COMPLETION_CAP = 1.2
@@ -92,9 +93,13 @@ def clean_issues(
     arrival: str | None = "arrival",
     counters: Counters | None = None,
     sketch_size: int | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """First copy per key, tidy status, winsorized hours, cycle time from the dates.
 
+    With more than one of ``slices``, copies are looked for in one slice of the keys after
+    the other: each reads ``df`` anew, and shuffle files are those of a slice at a time.
+
     Of the audit's counters, ``status_fixes`` counts labels that really change;
     ``status_fixes_naive`` also counts every clean "Won't Fix" and missing label, as a
     comparison with plain title case would. ``hours_cap`` is the largest value left.
@@ -102,19 +107,22 @@ def clean_issues(
     status = F.col("status")
     plain_title = F.when(tidy_label(status) == "Won't Fix", "Won'T Fix").otherwise(tidy_label(status))
     # read again below, for the cap and for the rows, so the de-duplication runs once and is kept
-    first = materialized(
-        _first_arrivals(
-            df,
-            "issue_id",
-            arrival,
-            counters,
-            "issues",
-            status_fixes=F.count_if(status != tidy_label(status)),
-            status_fixes_naive=F.count_if(status.isNull() | (status != plain_title)),
-            severity_missing=F.count_if(F.col("severity").isNull()),
-        ),
-        "first-issues",
+    first_of = lambda rows: _first_arrivals(
+        rows,
+        "issue_id",
+        arrival,
+        counters,
+        "issues",
+        status_fixes=F.count_if(status != tidy_label(status)),
+        status_fixes_naive=F.count_if(status.isNull() | (status != plain_title)),
+        severity_missing=F.count_if(F.col("severity").isNull()),
     )
+    if slices > 1:
+        if counters is not None:
+            raise ValueError("the audit counts rows that are cleaned in one go")
+        first = materialized_in_turn(map(first_of, key_slices(df, ["issue_id"], slices)), "first-issues")
+    else:
+        first = materialized(first_of(df), "first-issues")
     typed = _lenient(_strict(first, created_date="timestamp_ntz"), resolved_date="timestamp_ntz")
     cap = outlier_cap(first, sketch_size)
     cleaned = typed.withColumns(

@@ -265,6 +265,9 @@ def releases(spark, sf_dir):
     )
 
 
+# the sample table that a table with an arrival is made of, row by row, and the arrival's first column
+ARRIVES_BY = {"issues": ("lineitem", "l_shipdate")}
+
 RAW_LOADERS = {
     loader.__name__: loader
     for loader in (

@@ -78,10 +78,14 @@ def read_csv_set(spark: SparkSession, folder: str, names=None, processed: bool =
     }
 
 
-def write_csv_table(df: DataFrame, path: str) -> None:
+def write_csv_table(df: DataFrame, path: str, packed: bool = False) -> None:
     """CSV with header and doubled quotes. Values with line breaks need ``multi_line`` when
-    read; Parquet keeps every value and stays splittable."""
-    df.write.mode("overwrite").options(**QUOTING, **EXACT_TIMES).option("header", True).csv(path)
+    read; Parquet keeps every value and stays splittable. ``packed`` files are compressed
+    (gzip) and one task each when read."""
+    writer = df.write.mode("overwrite").options(**QUOTING, **EXACT_TIMES).option("header", True)
+    if packed:
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.csv(path)
 
 
 def write_parquet_set(tables: Mapping[str, DataFrame], folder: str) -> None:

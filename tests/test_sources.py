@@ -1,12 +1,18 @@
 """Readers and writers."""
 
 import datetime as dt
+import gzip
+import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
+from deliverylens.operators import slices
 from deliverylens.plans import cleaning, questions, report
-from deliverylens.plans.stages import sample_tables
+from deliverylens.plans.stages import raw_tables, sample_tables
 from deliverylens.schema import TABLES
 from deliverylens.session import scratch_dir
 from deliverylens.sources import tables as io
@@ -136,3 +142,70 @@ def test_scratch_folder_is_the_configured_one():
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(_Session(None, "yarn"))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").splitlines() if "/shuffle_" in f}
+
+
+def line_rows(rng, n):
+    """Order lines with repeated keys, NULL dates and arrivals that all differ."""
+    days = [None, *[dt.datetime(1996, 1, 1) + dt.timedelta(days=d) for d in range(40)]]
+    return [
+        (rng.randrange(60), rng.randrange(9), rng.choice([*range(5), 77]), rng.randrange(1, 4), float(rng.randrange(1, 51)), 100.0 + k, 0.05, 0.07,
+         rng.choice("RAN"), rng.choice("OF"), rng.choice(days)) for k in range(n)
+    ]
+
+
+@pytest.mark.parametrize("rows", [0, 600])
+def test_csv_round_trip_works_off_slices(spark, tmp_path, monkeypatch, rows):
+    """Lines are packed and in order of arrival over all slices; each write drops its shuffle
+    files; the rows are those of the table that was never exported."""
+    rng = random.Random(3)
+    lines = line_rows(rng, rows)
+    types = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+    types += " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    orders = [(k, k % 7, "FOP"[k % 3], f"{k % 5 + 1}-X") for k in range(55)]
+    spark.createDataFrame(lines, types).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, k) for k in range(5)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(slices, "ROWS_A_SLICE", 200)
+    exported, left = [], []
+
+    def watched(df, path, *args, write=io.write_csv_table, **options):
+        before = shuffle_files(spark)
+        write(df, path, *args, **options)
+        for name in sorted(f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")):
+            assert name.endswith(".csv.gz")
+            with gzip.open(f"{path.removeprefix('file:')}/{name}", "rt") as f:
+                head, *body = f.read().splitlines()
+            exported.extend(int(x.split(",")[head.split(",").index("issue_id")]) for x in body)
+        until = time.time() + 20
+        while shuffle_files(spark) - before and time.time() < until:
+            time.sleep(0.1)
+        left.append(shuffle_files(spark) - before)
+
+    monkeypatch.setattr(io, "write_csv_table", watched)
+    found = entry_point.queries()["io_csv_issues"](spark, str(tmp_path))
+    assert left == [set()] * (1 + min(3, rows // 200))
+    kept = sorted(
+        (x for x in lines if x[0] < 55 and x[2] < 5), key=lambda x: (x[10] is not None, x[10] or 0, x[1], x[2], x[4], x[5])
+    )
+    assert exported == [x[0] * 10 + x[3] for x in kept]
+    direct = entry_point._plain(cleaning.clean_issues(raw_tables(spark, str(tmp_path))["issues"]))
+    text = lambda df: sorted(map(str, df.select(*[F.col(c).cast("string") for c in sorted(df.columns)]).collect()))
+    assert text(found) == text(direct) and len(text(direct)) == len(set(exported))
+
+
+def test_slices_hold_every_row_once(spark):
+    rows = [(k % 50 / 7 if k % 11 else None, k) for k in range(300)] + [(float("nan"), 300), (float("-inf"), 301)]
+    df = spark.createDataFrame(rows, "x double, k long")
+    parts = slices.ordered_slices(df, F.col("x"), slices.even_cuts(df, "x", 4))
+    rank = lambda x: (x is not None, x is not None and x != x, 0 if x is None or x != x else x)
+    found = [sorted(((rank(r.x), r.k) for r in part.collect())) for part in parts]
+    assert len(found) == 4 and sum(found, []) == sorted((rank(x), k) for x, k in rows)
+    nothing = df.where("k < 0")
+    assert len(slices.ordered_slices(nothing, F.col("x"), slices.even_cuts(nothing, "x", 4))) == 1
+    by_key = [{r.x for r in part.collect()} for part in slices.key_slices(df.where("not isnan(x) or x is null"), ["x"], 3)]
+    assert sum(map(len, by_key)) == len(set.union(*by_key))
